@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The toolkit compares *complete snapshots*; nothing in the behaviour it
+rebuilds reads a change log, keeps state between micro-batches or handles
+late data, so there is no streaming operator here. A snapshot that lands in
+``<root>/<table>/prep/`` is loaded by ``tidemark.plans.cdc_job.run_cdc`` as a
+batch job.
+"""
