@@ -1,0 +1,74 @@
+"""Quality checks and dedupe."""
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import checks
+from tidemark.operators.dedupe import dedupe
+from conftest import SF01
+
+
+def test_filtered_rows_and_count(spark):
+    o = spark.read.parquet(f"{SF01}/orders.parquet")
+    assert checks.filtered_rows(o, "o_orderstatus = 'F'").count() == 4933
+    assert checks.filtered_rows(o, "1=1").count() == o.count()
+    row = checks.row_count(o, F.col("o_orderstatus") == "F").collect()
+    assert len(row) == 1 and row[0].cnt == 4933
+
+
+def test_duplicate_groups(spark):
+    d = spark.read.parquet(f"{SF01}/documents.parquet")
+    g = checks.duplicate_groups(d, ["text"])
+    assert g.count() == 62 and g.agg(F.sum("cnt")).first()[0] == 135
+    e = spark.read.parquet(f"{SF01}/events.parquet")
+    g2 = checks.duplicate_groups(e, "user_id, event_type")
+    assert g2.count() == 750 and g2.agg(F.sum("cnt")).first()[0] == 10000
+
+
+def test_duplicate_groups_null_keys_group_together(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
+    assert [tuple(r) for r in checks.duplicate_groups(df, ["k"]).collect()] == [(None, 2)]
+
+
+def test_duplicate_groups_aggregates_map_side(spark):
+    e = spark.read.parquet(f"{SF01}/events.parquet")
+    plan = checks.duplicate_groups(e, ["user_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+
+
+def test_catalog_checks(spark):
+    spark.read.parquet(f"{SF01}/orders.parquet").createOrReplaceTempView("orders_v")
+    assert checks.count_check(spark, "orders_v", "o_orderstatus = 'F'").count() == 4933
+    assert checks.count_value(spark, "orders_v").first().cnt == 15000
+    assert checks.duplicate_check(spark, "orders_v", "o_orderkey").count() == 0
+
+
+def test_dedupe_documents(spark):
+    d = spark.read.parquet(f"{SF01}/documents.parquet")
+    out = dedupe(d, ["text"], order_by=["doc_id"])
+    assert out.count() == 927
+    assert out.agg(F.sum("doc_id")).first()[0] == 450236
+    assert out.columns == d.columns
+
+
+def test_dedupe_default_order_is_deterministic(spark):
+    df = spark.createDataFrame([("a", 3), ("A", 1), (" a", 2)], "k string, v int")
+    rows = dedupe(df, ["k"]).collect()
+    assert [tuple(r) for r in rows] == [("A", 1)]
+
+
+def test_dedupe_hot_key_is_limited_before_shuffle(spark):
+    # a third of all rows on one key, the rest on distinct keys
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id")))
+    rows = spark.range(0, 90000).select(key.alias("k"), F.col("id").alias("v"))
+    out = dedupe(rows, ["k"], order_by=[F.col("v").desc()])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")  # partial limit below the shuffle
+    assert out.count() == 60001
+    assert out.where("k = 'hot'").first().v == 89997
+
+
+def test_inverted_intervals(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.date(2024, 6, 1), dt.date(2024, 5, 31)),
+                                (dt.date(2024, 5, 1), dt.date(2024, 5, 31))], "bgn_dt date, end_dt date")
+    assert checks.inverted_intervals(df).count() == 1

@@ -22,10 +22,26 @@ def _options(url: str, properties: dict | None) -> dict:
     return opts
 
 
+def _resolve_column(spark: SparkSession, url: str, table: str, column: str,
+                    properties: dict | None) -> str:
+    """The table's own spelling of ``column`` (matched case-insensitively,
+    as Spark matches ``partitionColumn``); only the schema is fetched."""
+    names = (spark.read.format("jdbc").options(**_options(url, properties))
+             .option("dbtable", table).load().columns)
+    hits = [n for n in names if n == column] or [n for n in names if n.lower() == column.lower()]
+    if not hits:
+        raise ValueError(f"column {column!r} not in {table}: {names}")
+    return hits[0]
+
+
 def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
                 properties: dict | None = None) -> tuple:
-    """(min, max) of ``column``, computed by the database."""
-    q = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+    """(min, max) of ``column``, computed by the database; the name is
+    quoted with Spark's dialect for ``url``."""
+    real = _resolve_column(spark, url, table, column, properties)
+    quoted = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url) \
+        .quoteIdentifier(real)
+    q = f"SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table}"
     row = (spark.read.format("jdbc").options(**_options(url, properties))
            .option("query", q).load().first())
     return row[0], row[1]
