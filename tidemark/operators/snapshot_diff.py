@@ -29,7 +29,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .. import config as C
 from ..functions.keys import (all_present, any_null, as_list, column,
@@ -305,5 +304,3 @@ def full_table(target: DataFrame, prep: DataFrame, keys: str | Iterable[str], st
     return history.select(*[column(c) for c in nxt.columns]).unionByName(nxt)
 
 
-def struct_fields(df: DataFrame) -> StructType:
-    return df.schema

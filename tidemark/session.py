@@ -15,6 +15,25 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings the jobs assume on a large cluster (apply with builder.config or
+# spark-submit --conf). AQE sizes shuffle partitions from runtime statistics
+# and splits skewed join partitions; the advisory size keeps each task's
+# shuffle input well inside executor memory; the initial partition number
+# is high enough for 100 TB inputs and is coalesced down by AQE when smaller.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.sources.partitionOverwriteMode": "static",   # jobs ask for dynamic per write
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tidemark") -> SparkSession:
     """Session for tests and benchmarks on one machine."""

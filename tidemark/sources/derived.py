@@ -6,7 +6,7 @@ A snapshot pair is two full extracts of one table taken on two days: the
 Both are computed by Spark from the *whole* table; the residues of the key
 only decide which rows were inserted, deleted or changed between the two
 days - every row of the table is in at least one snapshot, so the work grows
-with the table. The same rules are written as SQL in ``plans.registry`` for
+with the table. The same rules are written as SQL in ``plans.oracle_sql`` for
 the DuckDB twins.
 
 Customer pair (key: the name, matched case- and space-insensitively):
@@ -34,8 +34,16 @@ HISTORY_TS = "2020-01-01 00:00:00"
 SCD2_OLD_EXPIRY = "2024-01-01"
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table. The relation (file listing, footer schema) is
+    resolved once per session and path; the driver's tables are read-only."""
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _READS[key]
 
 
 def _k(m: int) -> Column:
