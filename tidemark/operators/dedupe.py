@@ -22,11 +22,14 @@ _RANK = "_tm_rank"
 
 
 def default_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    """Deterministic tie-break: every non-key, orderable column ascending."""
-    key_set = {resolve(df, k) for k in keys}
-    return [column(f.name).asc_nulls_first() for f in df.schema.fields
-            if f.name not in key_set and orderable(f.dataType)
-            and not f.name.startswith("_mk")]
+    """Deterministic tie-break: every non-key, orderable column ascending
+    (NULLs first), then the raw key columns (``'a'`` and ``'A '`` share a
+    match key, so their spelling decides between otherwise equal rows)."""
+    key_names = [resolve(df, k) for k in keys]
+    key_set = set(key_names)
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    rest = [f for f in fields if f not in key_set and not f.startswith("_mk")]
+    return [column(c).asc_nulls_first() for c in rest + key_names if orderable(fields[c])]
 
 
 def _order_columns(df: DataFrame, order_by) -> list[Column]:

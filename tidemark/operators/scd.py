@@ -80,7 +80,8 @@ def new_keys(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,
     src = _source(source, keys, normalize, dedupe_source, order_by)
     tgt = with_match_key(target, [resolve(target, k) for k in keys], normalize)
     types = {f.name: f.dataType for f in target.schema.fields}
-    fresh = src.join(tgt.select(*[F.col(m) for m in mk]), on=mk, how="left_anti")
+    # distinct target keys: repeated keys are reduced map-side before the shuffle
+    fresh = src.join(tgt.select(*[F.col(m) for m in mk]).distinct(), on=mk, how="left_anti")
     return fresh.select(_packed(fresh, target.columns, types, _NEW)).select(f"{_NEW}.*")
 
 

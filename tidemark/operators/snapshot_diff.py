@@ -148,7 +148,9 @@ def deleted(prep: DataFrame, current: DataFrame, keys: str | Iterable[str], *,
     outer join plus IS NULL, so it is written as one)."""
     keys = as_list(keys)
     mk = match_key_names(len(keys))
-    p = _keyed(prep, keys, normalize).select(*[F.col(m) for m in mk])
+    # distinct keys: a key repeated in an undeduplicated snapshot is reduced
+    # map-side (partial aggregate) before it is shuffled
+    p = _keyed(prep, keys, normalize).select(*[F.col(m) for m in mk]).distinct()
     cur = _keyed(current, keys, normalize)
     audit = {a.lower() for a in C.AUDIT_COLUMNS}
     keep = [c for c in current.columns if c.lower() not in audit and not c.startswith("_mk")]

@@ -12,9 +12,9 @@ One run:
 4. Stage, verify, publish the touched partitions (``plans.publish``), then
    register / repair the catalog table when a name is given.
 
-Jobs (actions) per run: emptiness probe, backup write, emptiness probe of the
-backup, staged write, read-back count, publish write, rejected write. The
-diff itself (dedupe + join) runs exactly once, inside the staged write.
+Jobs (actions) per run: rejected write, emptiness probe, backup write (it
+also counts the current rows), staged write, read-back count, publish write.
+The diff itself (dedupe + join) runs exactly once, inside the staged write.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from .. import config as C
 from ..functions.keys import as_list, column, conform
 from ..operators import snapshot_diff as sd
 from ..sources.files import partition_filter, read_snapshot, read_target
-from .publish import (TablePaths, backup as write_backup, publish_partitions, register_table,
-                      verify_staged, write_observed)
+from .publish import (TablePaths, publish_partitions, register_table, verify_staged,
+                      write_observed)
 
 CARRIED = "H"          # a row already in the closed partition, carried over
 CHANGES = (C.INSERTED, C.UPDATED, C.UNCHANGED, sd.CLOSED_BY_UPDATE, C.DELETED, CARRIED)
@@ -68,8 +68,7 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
     valid, rejected = sd.split_rejected(raw, keys)
     result: dict = {"table": table, "as_of": str(stamps.as_of)}
 
-    rejected_count = write_observed(rejected.withColumn("_r", F.lit("R")), paths.rejected,
-                                    "_r", ["R"], name=f"{table}_rejected")["R"]
+    rejected_count = write_observed(rejected, paths.rejected, name=f"{table}_rejected")["_total"]
     result["rejected"] = rejected_count
     if valid.isEmpty():
         result["status"] = "empty_prep"
@@ -81,9 +80,10 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
     if target is not None:
         current = target.where(partition_filter(C.OPEN_END))
         if backup:
-            write_backup(current, paths.backup)
-            current = spark.read.parquet(paths.backup)
-        if current.isEmpty():
+            # the backup write counts the rows it copies: no extra probe job
+            copied = write_observed(current, paths.backup, name=f"{table}_backup")["_total"]
+            current = spark.read.parquet(paths.backup) if copied else None
+        elif current.isEmpty():
             current = None
 
     if current is None:

@@ -112,10 +112,10 @@ def scd_join(name: str, src: str, tgt: str, key: str, data: Sequence[str],
 
 CUST_DATA = ["k", "nm", "bal", "seg", "row_md5"]
 CUST_PLAIN = ["k", "nm", "bal", "seg"]
-CUST_DEDUPE = dedupe("prep_d", "prep", "trim(upper(nm))", ["k", "bal", "seg", "row_md5"])
-CUST_SRC = dedupe("src", "prep0", "k", ["nm", "bal", "seg"])
+CUST_DEDUPE = dedupe("prep_d", "prep", "trim(upper(nm))", ["k", "bal", "seg", "row_md5", "nm"])
+CUST_SRC = dedupe("src", "prep0", "k", ["nm", "bal", "seg", "k"])
 ORD_DATA = ["k"] + ORDER_VALUES
-ORD_SRC = dedupe("osrc", "oprep0", "k", ORDER_VALUES)
+ORD_SRC = dedupe("osrc", "oprep0", "k", ORDER_VALUES + ["k"])
 
 
 def _cdc_next_customer(which=("new", "kept", "closed")) -> str:
@@ -206,7 +206,7 @@ open_b as (select * from state_b where end_dt = date '{OPEN_END}'),
 closed_b as (select * from state_b where end_dt <> date '{OPEN_END}'),
 prep2 as (select k, nm, case when k % 3 = 0 then bal + 1 else bal end as bal, seg from prep0),
 prep2m as (select k, nm, bal, seg, {MD5} as row_md5 from prep2),
-{dedupe('prep2_d', 'prep2m', 'trim(upper(nm))', ['k', 'bal', 'seg', 'row_md5'])},
+{dedupe('prep2_d', 'prep2m', 'trim(upper(nm))', ['k', 'bal', 'seg', 'row_md5', 'nm'])},
 {cdc_join('j2', 'prep2_d', 'open_b', 'trim(upper(nm))', CUST_DATA, ['row_md5']).lstrip()}
 select * from closed_b
 union all
@@ -221,7 +221,7 @@ select {_list(CUST_PLAIN, 's.')} from src s where not exists (select 1 from cur0
     "scd1_upsert": f"""with {CUSTOMER},
 s1 as (select k, nm, bal, case when k % 7 = 0 then null else seg end as seg from prep0),
 t1 as (select k, nm, bal, case when k % 11 = 0 then null else seg end as seg from cur0),
-{_scd1(dedupe('src1', 's1', 'k', ['nm', 'bal', 'seg']), 'src1', 't1', 'k', CUST_PLAIN, ['bal', 'seg'])}""",
+{_scd1(dedupe('src1', 's1', 'k', ['nm', 'bal', 'seg', 'k']), 'src1', 't1', 'k', CUST_PLAIN, ['bal', 'seg'])}""",
     "scd2_initial": f"""with {CUSTOMER},
 {CUST_SRC}
 select {_list(CUST_PLAIN)}, 1 as flag, cast(null as date) as expiry_date from src""",
@@ -232,7 +232,7 @@ t2 as (select k, nm, bal, seg, 1 as flag, cast(null as date) as expiry_date from
 {_scd2(CUST_SRC, 'src', 't2', 'k', CUST_PLAIN, ['bal', 'seg'])}""",
     # the orders pair (key o_orderkey, every value column compared)
     "cdc_orders_next_state": f"""with {ORDERS},
-{dedupe('op_d', 'oprep0', 'k', ORDER_VALUES)},{cdc_join('j', 'op_d', 'ocur', 'k', ORD_DATA, ORDER_VALUES)}
+{dedupe('op_d', 'oprep0', 'k', ORDER_VALUES + ['k'])},{cdc_join('j', 'op_d', 'ocur', 'k', ORD_DATA, ORDER_VALUES)}
 {cdc_rows('j', ORD_DATA, AS_OF, CLOSED, TS_AS_OF)}""",
     "scd0_orders": f"""with {ORDERS},
 {ORD_SRC}

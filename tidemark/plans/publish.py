@@ -67,11 +67,11 @@ def backup(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_observed(df: DataFrame, path: str, change_col: str, changes: Sequence[str],
-                   partition_by: Sequence[str] = (), mode: str = "overwrite",
-                   name: str = "staged") -> dict[str, int]:
-    """Write ``df`` and return its row count per value of ``change_col``,
-    observed by the write job itself."""
+def write_observed(df: DataFrame, path: str, change_col: str | None = None,
+                   changes: Sequence[str] = (), partition_by: Sequence[str] = (),
+                   mode: str = "overwrite", name: str = "staged") -> dict[str, int]:
+    """Write ``df`` and return its row count (``_total``) and the count per
+    value of ``change_col``, observed by the write job itself."""
     obs = Observation(name)
     metrics = [F.count_if(F.col(change_col) == F.lit(c)).alias(c) for c in changes]
     metrics.append(F.count(F.lit(1)).alias("_total"))
