@@ -6,6 +6,28 @@ Subpackages:
   sources    Parquet / catalog / JDBC readers and writers, derived snapshot pairs
   plans      jobs with I/O (CDC publish protocol, SCD loads), registered queries
   streaming  (empty: the toolkit works on complete snapshots)
+
+The names below are the public API.
 """
 
+from .functions import (cast_to_date, cast_to_string, normalize_column_name,
+                        normalize_column_names, normalize_strings)
+from .operators import (Stamps, classify, close_history, count_check, count_value, dedupe,
+                        deleted, diff_flags, duplicate_check, duplicate_groups,
+                        filtered_rows, full_table, initial_load, inverted_intervals,
+                        new_versions, next_state, prepare_snapshot, rebuild_current,
+                        row_count, scd0, scd1, scd2, split_rejected)
+from .plans.cdc_job import incremental_insert_update, run_cdc
+from .plans.scd_job import run_scd, run_scd_jdbc, run_scd_parquet
+
 __version__ = "0.1.0"
+
+__all__ = [
+    "cast_to_date", "cast_to_string", "normalize_column_name", "normalize_column_names",
+    "normalize_strings", "Stamps", "classify", "close_history", "count_check", "count_value",
+    "dedupe", "deleted", "diff_flags", "duplicate_check", "duplicate_groups", "filtered_rows",
+    "full_table", "initial_load", "inverted_intervals", "new_versions", "next_state",
+    "prepare_snapshot", "rebuild_current", "row_count", "scd0", "scd1", "scd2",
+    "split_rejected", "incremental_insert_update", "run_cdc", "run_scd", "run_scd_jdbc",
+    "run_scd_parquet",
+]

@@ -114,3 +114,10 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
         "carried": observed[CARRIED], "current": open_rows,
     })
     return result
+
+
+def incremental_insert_update(spark: SparkSession, tablename: str, naturalkeys,
+                              bucket: str, tgtdatabase: str | None = None, **kw) -> dict:
+    """The CDC job under its original argument order: ``bucket`` is the
+    root folder holding ``<tablename>/prep`` and ``<tablename>/tgt``."""
+    return run_cdc(spark, tablename, naturalkeys, bucket, database=tgtdatabase, **kw)

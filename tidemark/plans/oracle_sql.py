@@ -147,9 +147,12 @@ select {_list(data, 't_')}, 0, date '{AS_OF}' from j where state = 'U'"""
 
 def _normalize(x: str) -> str:
     """The string rule in DuckDB terms: '_' to ' ', initcap (each
-    space-separated word: first letter upper, rest lower), trim, '' to NULL."""
+    space-separated word: first letter in title case, rest lower), trim, ''
+    to NULL. Title case of a word-initial 'ß' is 'Ss' in Spark (full Unicode
+    mapping), where DuckDB's upper() gives 'ẞ'; the twin says so."""
+    first = "case when w[1] = 'ß' then 'Ss' else upper(w[1]) end"
     init = (f"list_aggregate(list_transform(string_split(lower(replace({x}, '_', ' ')), ' '), "
-            f"lambda w: upper(w[1]) || w[2:]), 'string_agg', ' ')")
+            f"lambda w: {first} || w[2:]), 'string_agg', ' ')")
     return f"nullif(trim({init}), '')"
 
 
@@ -250,6 +253,9 @@ ot2 as (select *, 1 as flag, cast(null as date) as expiry_date from ocur0),
     "normalize_strings_part":
         f"select p_partkey, {_normalize('p_name')} as p_name, {_normalize('p_brand')} as p_brand, "
         f"{_normalize('p_type')} as p_type, p_size, p_retailprice from part",
+    "normalize_strings_documents":
+        f"select doc_id, {_normalize('text')} as text, {_normalize('lang')} as lang, "
+        f"{_normalize('source')} as source, n_chars from documents",
     "normalize_strings_orders":
         f"select o_orderkey, {_normalize('o_orderstatus')} as o_orderstatus, "
         f"{_normalize('o_orderpriority')} as o_orderpriority from orders",

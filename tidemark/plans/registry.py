@@ -192,6 +192,11 @@ def q_normalize_strings_part(spark, d):
     return normalize_strings(X.table(spark, d, "part"), ["p_name", "p_brand", "p_type"])
 
 
+def q_normalize_strings_documents(spark, d):
+    """Whole document texts (up to 20,000 words each) in four languages."""
+    return normalize_strings(X.table(spark, d, "documents"), ["text", "lang", "source"])
+
+
 def q_normalize_strings_orders(spark, d):
     o = X.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     return normalize_strings(o, "o_orderstatus, o_orderpriority")
