@@ -93,7 +93,19 @@ def test_reads_prep_folder_and_registers_table(spark, tmp_root):
     assert "audit_inserted_ts" in spark.table("tm_test.cust").columns
     cur = read_current(spark, p.target)
     plan = cur._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(end_dt" in plan
+    assert "end_dt=9999-12-31" in plan                # only the open partition is listed
+    assert dict(cur.dtypes)["end_dt"] == "date"
+    # a second run adds just the touched partitions to the catalog
+    changed = X.customer_prep(spark, SF001).withColumn("bal", F.col("bal") + 1) \
+        .withColumn("row_md5", X.row_md5("bal", "seg"))
+    r2 = run_cdc(spark, "cust", ["nm"], tmp_root, database="tm_test", as_of="2024-07-01",
+                 load_ts="2024-07-01 00:00:00", prep=changed)
+    assert r2["U"] == r["I"]
+    t = spark.table("tm_test.cust")
+    assert t.count() == 2 * r["I"]
+    assert t.where("end_dt = DATE'2024-06-30'").count() == r["I"]
+    parts = {r[0] for r in spark.sql("SHOW PARTITIONS tm_test.cust").collect()}
+    assert parts == {"end_dt=2024-06-30", "end_dt=9999-12-31"}
 
 
 def test_staging_mismatch_is_detected(spark, tmp_root):

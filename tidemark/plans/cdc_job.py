@@ -5,7 +5,8 @@ One run:
 1. Read the snapshot; set rows with a NULL key part apart (written to
    ``rejected/``); stop with the target untouched if no valid row is left.
 2. Copy the current partition to ``currbackup/`` and diff against that copy
-   (one consistent snapshot; the target is read once).
+   (one consistent snapshot; the target is read once). Only the folders of
+   the two partitions a run touches are listed, never the whole history.
 3. No current rows (new table, or history only): initial load. Otherwise the
    single-join ``next_state`` plus the rows already present in the partition
    ``end_dt = as_of - 1`` (a same-day re-run must not lose them).
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.keys import as_list, column, conform
 from ..operators import snapshot_diff as sd
-from ..sources.files import partition_filter, read_snapshot, read_target
+from ..sources.files import read_partition, read_snapshot
 from .publish import (TablePaths, publish_partitions, register_table, verify_staged,
                       write_observed)
 
@@ -75,10 +76,10 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
         return result
 
     snap = sd.prepare_snapshot(valid, keys, order_by=order_by, normalize=normalize)
-    target = read_target(spark, paths.target)
-    current = None
-    if target is not None:
-        current = target.where(partition_filter(C.OPEN_END))
+    # only the two partitions a run touches are listed and read
+    current = read_partition(spark, paths.target, C.OPEN_END.isoformat())
+    closed_day = _closed_date(stamps)
+    if current is not None:
         if backup:
             # the backup write counts the rows it copies: no extra probe job
             copied = write_observed(current, paths.backup, name=f"{table}_backup")["_total"]
@@ -92,9 +93,9 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
     else:
         staged = sd.next_state(snap, current, keys, stamps, compare=compare,
                                fingerprint=fingerprint, normalize=normalize, tag=True)
-        carried = conform(target.where(partition_filter(_closed_date(stamps))), staged,
-                          {sd.CHANGE: F.lit(CARRIED)})
-        staged = staged.unionByName(carried)
+        existing = read_partition(spark, paths.target, closed_day.isoformat())
+        if existing is not None:
+            staged = staged.unionByName(conform(existing, staged, {sd.CHANGE: F.lit(CARRIED)}))
         result["status"] = "incremental"
 
     columns = [c for c in staged.columns if c != sd.CHANGE]
@@ -106,7 +107,10 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
     verify_staged(spark, paths.stage, sd.CHANGE, observed)
     publish_partitions(spark, paths.stage, paths.target, drop=[sd.CHANGE], columns=columns)
     if database:
-        register_table(spark, f"{database}.{table}", paths.target)
+        touched = [C.OPEN_END.isoformat()]
+        if observed[sd.CLOSED_BY_UPDATE] + observed[C.DELETED] + observed[CARRIED]:
+            touched.append(closed_day.isoformat())
+        register_table(spark, f"{database}.{table}", paths.target, touched)
 
     result.update({
         "I": observed[C.INSERTED], "U": observed[C.UPDATED], "Z": observed[C.UNCHANGED],

@@ -117,13 +117,25 @@ def publish_partitions(spark: SparkSession, staged_path: str, target_path: str,
      .parquet(target_path))
 
 
-def register_table(spark: SparkSession, name: str, path: str) -> None:
+def register_table(spark: SparkSession, name: str, path: str,
+                   partitions: Sequence[str] | None = None) -> None:
     """Make ``name`` an external Parquet table over ``path`` and bring its
     partition list and file listing up to date. Nothing may read the table
-    between the publish and this call."""
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=path, source="parquet")
-    repair(spark, name)
+    between the publish and this call.
+
+    A new table is created and repaired once (``MSCK REPAIR`` lists every
+    partition). Afterwards only the ``partitions`` (``end_dt`` values) a run
+    touched are added, which costs one catalog call each instead of a scan
+    of the whole history."""
+    if not spark.catalog.tableExists(name) or partitions is None:
+        if not spark.catalog.tableExists(name):
+            spark.catalog.createTable(name, path=path, source="parquet")
+        repair(spark, name)
+        return
+    for value in partitions:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION "
+                  f"({C.PARTITION_COLUMN} = DATE'{value}')")
+    spark.catalog.refreshTable(name)
 
 
 def repair(spark: SparkSession, name: str) -> None:

@@ -1,11 +1,11 @@
 """Sources and sinks: Parquet folders, catalog tables, JDBC databases."""
 
-from .files import (partition_filter, path_exists, read_current, read_snapshot,
-                    read_table, read_target)
+from .files import (partition_dir, partition_filter, path_exists, read_current,
+                    read_partition, read_snapshot, read_table, read_target)
 from .jdbc import jdbc_bounds, read_jdbc, write_append, write_jdbc, write_overwrite
 
 __all__ = [
-    "partition_filter", "path_exists", "read_current", "read_snapshot", "read_table",
+    "partition_dir", "partition_filter", "path_exists", "read_partition", "read_current", "read_snapshot", "read_table",
     "read_target", "jdbc_bounds", "read_jdbc", "write_append", "write_jdbc",
     "write_overwrite",
 ]

@@ -57,10 +57,33 @@ def partition_filter(end_dt: _dt.date | str):
     return F.col(C.PARTITION_COLUMN) == F.lit(str(end_dt)).cast("date")
 
 
+def partition_dir(path: str, end_dt: _dt.date | str) -> str:
+    return f"{path.rstrip('/')}/{C.PARTITION_COLUMN}={end_dt}"
+
+
+def read_partition(spark: SparkSession, path: str, end_dt: _dt.date | str) -> DataFrame | None:
+    """One ``end_dt`` partition of the table, listing only that folder (the
+    rest of the history is never listed); None when it does not exist.
+    ``basePath`` keeps ``end_dt`` as a column."""
+    part = partition_dir(path, end_dt)
+    if not path_exists(spark, part):
+        return None
+    try:
+        df = spark.read.option("basePath", path).parquet(part)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    end = [c for c in df.columns if c.lower() == C.PARTITION_COLUMN][0]
+    if dict(df.dtypes)[end] != "date":
+        df = df.withColumn(end, column(end).cast("date"))
+    return df
+
+
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    """Rows of the open partition ``end_dt = 9999-12-31``."""
-    target = read_target(spark, path)
-    return None if target is None else target.where(partition_filter(C.OPEN_END))
+    """Rows of the open partition ``end_dt = 9999-12-31`` (only that folder
+    is listed and read)."""
+    return read_partition(spark, path, C.OPEN_END.isoformat())
 
 
 def read_table(spark: SparkSession, name: str, condition=None) -> DataFrame:
