@@ -91,3 +91,12 @@ def test_scd_customer_totals(spark):
     s2 = scd.scd2(prep, t2, ["k"], ST, compare=["bal", "seg"])
     assert s2.count() == 1800 and s2.where("flag = 1").count() == 1500
     assert s2.where("flag = 1").groupBy("k").count().where("count > 1").count() == 0
+
+
+def test_null_key_target_rows_are_kept_and_skip_the_join(spark):
+    t = df(spark, [(None, "x", 1.0), (None, "y", 2.0), (1, "a", 1.0)])
+    s = df(spark, [(1, "a", 5.0), (2, "b", 2.0)])
+    out = scd.scd1(s, t, ["k"])
+    assert as_set(out) == {(None, "x", 1.0), (None, "y", 2.0), (1, "a", 5.0), (2, "b", 2.0)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan

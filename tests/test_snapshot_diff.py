@@ -125,3 +125,15 @@ def test_next_state_plan_shuffles_each_side_once(spark):
     assert plan.count("Exchange hashpartitioning") == 2
     assert "WindowGroupLimit" in plan                       # map-side top-1 before the shuffle
     assert "BroadcastExchange" not in plan
+
+
+def test_null_key_current_rows_close_without_joining(spark):
+    c = spark.createDataFrame(
+        [(None, 1, "I", OLD, OPEN, TS), (None, 2, "I", OLD, OPEN, TS), ("a", 1, "I", OLD, OPEN, TS)],
+        "k string, v int, audit_flag string, bgn_dt date, end_dt date, audit_inserted_ts timestamp")
+    p = spark.createDataFrame([("a", 1)], "k string, v int")
+    snap = sd.prepare_snapshot(p, ["k"])
+    got = sorted(((r.k, r.v, r.end_dt) for r in sd.next_state(snap, c, ["k"], ST).collect()),
+                 key=repr)
+    assert got == sorted([(None, 1, dt.date(2024, 5, 31)), (None, 2, dt.date(2024, 5, 31)),
+                          ("a", 1, OPEN)], key=repr)

@@ -66,10 +66,20 @@ def _join(source: DataFrame, target: DataFrame, keys: Sequence[str], data: Seque
           types: dict, normalize: bool, dedupe_source: bool, order_by) -> DataFrame:
     mk = match_key_names(len(keys))
     src = _source(source, keys, normalize, dedupe_source, order_by)
-    tgt = with_match_key(target, [resolve(target, k) for k in keys], normalize)
     left = src.select(*[F.col(m) for m in mk], _packed(src, data, types, _NEW))
-    right = tgt.select(*[F.col(m) for m in mk], _packed(tgt, data, types, _OLD))
-    return left.join(right, on=mk, how="full_outer")
+    tkeys = [resolve(target, k) for k in keys]
+
+    def right_of(df: DataFrame) -> DataFrame:
+        keyed = with_match_key(df, tkeys, normalize)
+        return keyed.select(*[F.col(m) for m in mk], _packed(keyed, data, types, _OLD))
+
+    # target rows with a NULL key part never match: they bypass the join
+    # rather than all landing in one shuffle partition
+    ok, nulls = split_rejected(target, tkeys)
+    j = left.join(right_of(ok), on=mk, how="full_outer")
+    return j.unionByName(right_of(nulls).select(
+        *[F.col(m) for m in mk], F.lit(None).cast(left.schema[_NEW].dataType).alias(_NEW),
+        F.col(_OLD)))
 
 
 def new_keys(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,

@@ -216,8 +216,7 @@ def _aligned_join(prep: DataFrame, current: DataFrame, keys: Sequence[str], comp
     data = snapshot_columns(prep)
     cmp = _compare_columns(prep, keys, compare, fingerprint)
     p = _keyed(prep, keys, normalize)
-    cur = _keyed(current, keys, normalize)
-    cur_names = {c.lower(): c for c in cur.columns}
+    cur_names = {c.lower(): c for c in current.columns}
     ptypes = {f.name: f.dataType for f in prep.schema.fields}
 
     def old(c: str) -> Column:
@@ -227,9 +226,21 @@ def _aligned_join(prep: DataFrame, current: DataFrame, keys: Sequence[str], comp
     audit_old = [column(cur_names[a.lower()]).alias(a) for a in C.AUDIT_COLUMNS]
     left = p.select(*[F.col(m) for m in mk],
                     F.struct(*[column(c).alias(c) for c in data]).alias(_NEW))
-    right = cur.select(*[F.col(m) for m in mk],
-                       F.struct(*[old(c).alias(c) for c in data], *audit_old).alias(_OLD))
-    j = left.join(right, on=mk, how="full_outer")
+
+    def right_of(df: DataFrame) -> DataFrame:
+        return _keyed(df, keys, normalize).select(
+            *[F.col(m) for m in mk],
+            F.struct(*[old(c).alias(c) for c in data], *audit_old).alias(_OLD))
+
+    # Current rows with a NULL key part can never match; they skip the join
+    # instead of all hashing into one shuffle partition (split on the raw key
+    # columns, so the NULL branch is a scan with a pushed-down IS NULL).
+    cur_ok, cur_null = split_rejected(current, keys)
+    j = left.join(right_of(cur_ok), on=mk, how="full_outer")
+    unmatched = right_of(cur_null)
+    j = j.unionByName(unmatched.select(*[F.col(m) for m in mk],
+                                       F.lit(None).cast(left.schema[_NEW].dataType).alias(_NEW),
+                                       F.col(_OLD)))
     n, o = F.col(_NEW), F.col(_OLD)
     flag = (F.when(o.isNull(), F.lit(C.INSERTED))
             .when(n.isNull(), F.lit(C.DELETED))
