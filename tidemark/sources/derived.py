@@ -40,7 +40,7 @@ _READS: dict[tuple, DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table. The relation (file listing, footer schema) is
     resolved once per session and path; the driver's tables are read-only."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), name)
     if key not in _READS:
         _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return _READS[key]
