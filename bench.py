@@ -3,7 +3,7 @@ local[$BENCH_CPUS]; prints one JSON line.
 
 Each query runs to completion through a ``noop`` sink (the whole plan
 executes, nothing is collected to the driver). Every query runs
-$BENCH_REPEAT times (default 2); the best time counts, so JVM warm-up and
+$BENCH_REPEAT times (default 3); the best time counts, so JVM warm-up and
 code generation of the first run do not dominate at this small scale.
 ``cdc_job_orders_*`` time the whole on-disk job (stage, verify, publish)
 on the orders snapshot pair: first the initial load, then the incremental
@@ -39,7 +39,7 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app="tidemark-bench")
     ensure_checkpoint_root(spark)
