@@ -27,6 +27,7 @@ from tidemark.sources import derived as X  # noqa: E402
 HEADLINE = [
     "cdc_orders_next_state", "scd0_orders", "scd1_orders", "scd2_orders",
     "duplicate_groups_lineitem", "cdc_full_table", "cdc_flags", "dedupe_snapshot",
+    "dedupe_hot_keys", "duplicate_groups_hot",
     "duplicate_groups_composite", "normalize_strings_orders", "cast_to_string_lineitem",
     "cast_to_date",
 ]

@@ -172,6 +172,13 @@ SQL: dict[str, str] = {
     "dedupe_snapshot":
         "select doc_id, text, lang, source, n_chars from documents where text is not null "
         "qualify row_number() over (partition by trim(upper(text)) order by doc_id) = 1",
+    "dedupe_hot_keys":
+        "select * from lineitem where l_returnflag is not null qualify row_number() over "
+        "(partition by trim(upper(l_returnflag)) order by l_orderkey nulls first, "
+        "l_linenumber nulls first) = 1",
+    "duplicate_groups_hot":
+        "select l_returnflag, l_linestatus, count(*) as cnt from lineitem "
+        "group by l_returnflag, l_linestatus having count(*) > 1",
     # CDC on the customer pair
     "cdc_flags": f"""with {CUSTOMER},
 {CUST_DEDUPE},{cdc_join('j', 'prep_d', 'cur', 'trim(upper(nm))', CUST_DATA, ['row_md5'])}

@@ -71,6 +71,19 @@ def q_dedupe_snapshot(spark, d):
     return dedupe(docs.where(F.col("text").isNotNull()), ["text"], order_by=["doc_id"])
 
 
+def q_dedupe_hot_keys(spark, d):
+    """Hot keys on real data: each return flag holds about a third of all
+    lineitem rows. The partial group limit leaves each map task with one
+    row per flag before the shuffle."""
+    li = X.table(spark, d, "lineitem")
+    return dedupe(li, ["l_returnflag"], order_by=["l_orderkey", "l_linenumber"])
+
+
+def q_duplicate_groups_hot(spark, d):
+    """Few, very large groups (flag x status): partial counts before the shuffle."""
+    return checks.duplicate_groups(X.table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"])
+
+
 # ------------------------------------------------------ CDC, customer pair
 
 def _cust(spark, d):
