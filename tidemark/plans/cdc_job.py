@@ -30,8 +30,8 @@ from .. import config as C
 from ..functions.keys import as_list, column, conform
 from ..operators import snapshot_diff as sd
 from ..sources.files import read_partition, read_snapshot
-from .publish import (TablePaths, publish_partitions, register_table, verify_staged,
-                      write_observed)
+from .publish import (TablePaths, backup as write_backup, publish_partitions, register_table,
+                      verify_staged, write_observed)
 
 CARRIED = "H"          # a row already in the closed partition, carried over
 CHANGES = (C.INSERTED, C.UPDATED, C.UNCHANGED, sd.CLOSED_BY_UPDATE, C.DELETED, CARRIED)
@@ -82,7 +82,7 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
     if current is not None:
         if backup:
             # the backup write counts the rows it copies: no extra probe job
-            copied = write_observed(current, paths.backup, name=f"{table}_backup")["_total"]
+            copied = write_backup(current, paths.backup, name=f"{table}_backup")
             current = spark.read.parquet(paths.backup) if copied else None
         elif current.isEmpty():
             current = None

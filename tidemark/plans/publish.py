@@ -62,11 +62,6 @@ class TablePaths:
         return self._p(C.REJECT_DIR)
 
 
-def backup(df: DataFrame, path: str) -> None:
-    """Replace the backup copy at ``path`` with ``df`` (parallel write)."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def write_observed(df: DataFrame, path: str, change_col: str | None = None,
                    changes: Sequence[str] = (), partition_by: Sequence[str] = (),
                    mode: str = "overwrite", name: str = "staged") -> dict[str, int]:
@@ -82,6 +77,12 @@ def write_observed(df: DataFrame, path: str, change_col: str | None = None,
     return {k: int(v) for k, v in obs.get.items()}
 
 
+def backup(df: DataFrame, path: str, name: str = "backup") -> int:
+    """Replace the backup copy at ``path`` with ``df`` (every task writes its
+    own files) and return the number of rows copied, counted by the write."""
+    return write_observed(df, path, name=name)["_total"]
+
+
 def staged_counts(spark: SparkSession, path: str, change_col: str) -> dict[str, int]:
     """Row count per change value of a staged copy (one small aggregate job
     reading a single column)."""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import scd as S
 from ..session import scratch_folder
+from ..sources.files import path_exists
 from ..sources.jdbc import read_jdbc, write_jdbc
 from .cdc_job import resolve_stamps
 from .publish import verify_staged, write_observed
@@ -43,7 +44,8 @@ def run_scd(spark: SparkSession, kind: int, source: DataFrame, target: DataFrame
 
     ``publish(df, mode)`` writes the staged rows to the target with mode
     ``append`` (type 0) or ``overwrite`` (types 1, 2)."""
-    stamps = resolve_stamps(spark, as_of, "1970-01-01 00:00:00")
+    # SCD rows carry a date only (expiry_date); no load timestamp is written
+    stamps = resolve_stamps(spark, as_of, load_ts="")
     if kind == 2:
         target = S.scd2_frame(target)
     nxt = next_state(kind, source, target, keys, stamps, compare=compare,
@@ -56,9 +58,7 @@ def run_scd(spark: SparkSession, kind: int, source: DataFrame, target: DataFrame
     observed = write_observed(rows, path, S.CHANGE, ALL_CHANGES, name=f"scd{kind}")
     verify_staged(spark, path, S.CHANGE, observed)
     staged = spark.read.parquet(path).drop(S.CHANGE)
-    if kind == 0 and observed[S.NEW] == 0:
-        pass                                    # nothing to append
-    else:
+    if kind != 0 or observed[S.NEW]:            # type 0 with no new key: nothing to append
         publish(staged, mode)
     counts = {k: v for k, v in observed.items() if k != "_total"}
     return {"kind": kind, "mode": mode, "staged": path, **counts}
@@ -85,7 +85,6 @@ def run_scd_parquet(spark: SparkSession, kind: int, source: DataFrame, target_pa
                     keys: str | Iterable[str], **kw) -> dict:
     """The file flavour: the target is a Parquet folder (may not exist yet,
     in which case the source schema starts it empty)."""
-    from ..sources.files import path_exists
     if path_exists(spark, target_path):
         target = spark.read.parquet(target_path)
     else:
