@@ -29,6 +29,7 @@ from .. import config as C
 from ..functions.keys import (as_list, column, differs, match_key_names,
                               resolve, with_match_key)
 from .dedupe import dedupe
+from .keyed_join import full_outer_on_key, pack
 from .snapshot_diff import Stamps, split_rejected
 
 CHANGE = "_change"
@@ -44,15 +45,6 @@ def _source(source: DataFrame, keys: Sequence[str], normalize: bool, dedupe_sour
     return with_match_key(valid, keys, normalize)
 
 
-def _packed(df: DataFrame, columns: Sequence[str], types: dict, alias: str) -> Column:
-    names = {c.lower(): c for c in df.columns}
-
-    def val(c: str) -> Column:
-        real = names.get(c.lower())
-        return (column(real) if real else F.lit(None)).cast(types[c]).alias(c)
-    return F.struct(*[val(c) for c in columns]).alias(alias)
-
-
 def _compare(target_data: Sequence[str], keys: Sequence[str], source: DataFrame,
              compare) -> list[str]:
     if compare is not None:
@@ -66,20 +58,9 @@ def _join(source: DataFrame, target: DataFrame, keys: Sequence[str], data: Seque
           types: dict, normalize: bool, dedupe_source: bool, order_by) -> DataFrame:
     mk = match_key_names(len(keys))
     src = _source(source, keys, normalize, dedupe_source, order_by)
-    left = src.select(*[F.col(m) for m in mk], _packed(src, data, types, _NEW))
-    tkeys = [resolve(target, k) for k in keys]
-
-    def right_of(df: DataFrame) -> DataFrame:
-        keyed = with_match_key(df, tkeys, normalize)
-        return keyed.select(*[F.col(m) for m in mk], _packed(keyed, data, types, _OLD))
-
-    # target rows with a NULL key part never match: they bypass the join
-    # rather than all landing in one shuffle partition
-    ok, nulls = split_rejected(target, tkeys)
-    j = left.join(right_of(ok), on=mk, how="full_outer")
-    return j.unionByName(right_of(nulls).select(
-        *[F.col(m) for m in mk], F.lit(None).cast(left.schema[_NEW].dataType).alias(_NEW),
-        F.col(_OLD)))
+    left = src.select(*[F.col(m) for m in mk], pack(src, data, types, _NEW))
+    return full_outer_on_key(left, _NEW, target, _OLD, keys, normalize,
+                             lambda df: pack(df, data, types, _OLD))
 
 
 def new_keys(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,
@@ -92,7 +73,7 @@ def new_keys(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,
     types = {f.name: f.dataType for f in target.schema.fields}
     # distinct target keys: repeated keys are reduced map-side before the shuffle
     fresh = src.join(tgt.select(*[F.col(m) for m in mk]).distinct(), on=mk, how="left_anti")
-    return fresh.select(_packed(fresh, target.columns, types, _NEW)).select(f"{_NEW}.*")
+    return fresh.select(pack(fresh, target.columns, types, _NEW)).select(f"{_NEW}.*")
 
 
 def scd0(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,

@@ -35,6 +35,7 @@ from ..functions.keys import (all_present, any_null, as_list, column,
                               differs, match_key_names, resolve,
                               with_match_key)
 from .dedupe import dedupe
+from .keyed_join import full_outer_on_key, pack
 
 CHANGE = "_change"        # staged-only column: which branch produced the row
 CLOSED_BY_UPDATE = "C"    # a closed row whose key got a new version
@@ -211,36 +212,20 @@ def new_versions(classified: DataFrame, stamps: Stamps) -> DataFrame:
 def _aligned_join(prep: DataFrame, current: DataFrame, keys: Sequence[str], compare,
                   fingerprint, normalize: bool) -> tuple[DataFrame, list[str]]:
     """Full outer join of prep and current on the match key, each side packed
-    in one struct so names never clash; adds ``flag``."""
+    in one struct in prep's columns and types; adds ``flag``."""
     mk = match_key_names(len(keys))
     data = snapshot_columns(prep)
     cmp = _compare_columns(prep, keys, compare, fingerprint)
     p = _keyed(prep, keys, normalize)
-    cur_names = {c.lower(): c for c in current.columns}
     ptypes = {f.name: f.dataType for f in prep.schema.fields}
+    left = p.select(*[F.col(m) for m in mk], pack(p, data, ptypes, _NEW))
 
-    def old(c: str) -> Column:
-        real = cur_names.get(c.lower())
-        return column(real).cast(ptypes[c]) if real else F.lit(None).cast(ptypes[c])
-
-    audit_old = [column(cur_names[a.lower()]).alias(a) for a in C.AUDIT_COLUMNS]
-    left = p.select(*[F.col(m) for m in mk],
-                    F.struct(*[column(c).alias(c) for c in data]).alias(_NEW))
-
-    def right_of(df: DataFrame) -> DataFrame:
-        return _keyed(df, keys, normalize).select(
-            *[F.col(m) for m in mk],
-            F.struct(*[old(c).alias(c) for c in data], *audit_old).alias(_OLD))
-
-    # Current rows with a NULL key part can never match; they skip the join
-    # instead of all hashing into one shuffle partition (split on the raw key
-    # columns, so the NULL branch is a scan with a pushed-down IS NULL).
-    cur_ok, cur_null = split_rejected(current, keys)
-    j = left.join(right_of(cur_ok), on=mk, how="full_outer")
-    unmatched = right_of(cur_null)
-    j = j.unionByName(unmatched.select(*[F.col(m) for m in mk],
-                                       F.lit(None).cast(left.schema[_NEW].dataType).alias(_NEW),
-                                       F.col(_OLD)))
+    def old_struct(df: DataFrame) -> Column:
+        names = {c.lower(): c for c in df.columns}
+        audit = [column(names[a.lower()]).alias(a) for a in C.AUDIT_COLUMNS]
+        return pack(df, data, ptypes, _OLD, audit)
+
+    j = full_outer_on_key(left, _NEW, current, _OLD, keys, normalize, old_struct)
     n, o = F.col(_NEW), F.col(_OLD)
     flag = (F.when(o.isNull(), F.lit(C.INSERTED))
             .when(n.isNull(), F.lit(C.DELETED))
