@@ -85,3 +85,17 @@ def test_scd_job_over_parquet(spark, tmp_root):
                         as_of="2024-07-01")
     assert (r["U"], r["X"]) == (3, 3)
     assert spark.read.parquet(path).count() == 6
+
+
+def test_cli_scd_over_jdbc(spark, url, capsys):
+    import json
+    from tidemark.__main__ import main
+    src = _emp(spark)
+    write_jdbc(src, url, "CLI_SRC", "append", properties=DRIVER)
+    write_jdbc(src.limit(0), url, "CLI_SCD1", "append", properties=DRIVER)
+    assert main(["scd", "--kind", "1", "--url", url, "--source", "CLI_SRC", "--target", "CLI_SCD1",
+                 "--keys", "EMPNO", "--partition-column", "EMPNO", "--num-partitions", "2",
+                 "--prop", f"driver={DRIVER['driver']}"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["N"] == 3
+    assert read_jdbc(spark, url, "CLI_SCD1", properties=DRIVER).count() == 3

@@ -105,6 +105,9 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
     if open_rows == 0:
         raise RuntimeError("no current rows would remain; target left untouched")
     verify_staged(spark, paths.stage, sd.CHANGE, observed)
+    # A failure from here on leaves the verified state in ``temp/`` and the
+    # old current partition in ``currbackup/``: re-running publish_partitions
+    # on the staged copy completes the run.
     publish_partitions(spark, paths.stage, paths.target, drop=[sd.CHANGE], columns=columns)
     if database:
         touched = [C.OPEN_END.isoformat()]

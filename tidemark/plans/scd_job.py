@@ -59,7 +59,12 @@ def run_scd(spark: SparkSession, kind: int, source: DataFrame, target: DataFrame
     verify_staged(spark, path, S.CHANGE, observed)
     staged = spark.read.parquet(path).drop(S.CHANGE)
     if kind != 0 or observed[S.NEW]:            # type 0 with no new key: nothing to append
-        publish(staged, mode)
+        try:
+            publish(staged, mode)
+        except Exception as e:
+            # the verified next state stays staged: publishing it again recovers
+            raise RuntimeError(f"publish failed; the verified rows are staged at {path}; "
+                               f"publish them again with mode {mode!r}") from e
     counts = {k: v for k, v in observed.items() if k != "_total"}
     return {"kind": kind, "mode": mode, "staged": path, **counts}
 

@@ -72,10 +72,13 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_root(spark: SparkSession) -> str:
-    """Return the shared scratch root, creating a private one only when the
-    session has none (local tests and benchmarks own their session)."""
+    """Return the shared scratch root. Only a local-mode session without one
+    (tests, benchmarks) gets a private folder; on a cluster an unset
+    ``spark.checkpoint.dir`` is an error, never a machine-local fallback."""
     root = checkpoint_root(spark)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
