@@ -10,8 +10,10 @@ One run:
 3. No current rows (new table, or history only): initial load. Otherwise the
    single-join ``next_state`` plus the rows already present in the partition
    ``end_dt = as_of - 1`` (a same-day re-run must not lose them).
-4. Stage, verify, publish the touched partitions (``plans.publish``), then
-   register / repair the catalog table when a name is given.
+4. Stage (in a fresh folder under ``spark.checkpoint.dir`` when the session
+   names one, else ``<table>/temp/``), verify, publish the touched partitions
+   (``plans.publish``), then register / repair the catalog table when a name
+   is given.
 
 Jobs (actions) per run: rejected write, emptiness probe, backup write (it
 also counts the current rows), staged write, read-back count, publish write.
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.keys import as_list, column, conform
 from ..operators import snapshot_diff as sd
+from ..session import checkpoint_root, scratch_folder
 from ..sources.files import read_partition, read_snapshot
 from .publish import (TablePaths, backup as write_backup, publish_partitions, register_table,
                       verify_staged, write_observed)
@@ -99,16 +102,20 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
         result["status"] = "incremental"
 
     columns = [c for c in staged.columns if c != sd.CHANGE]
-    observed = write_observed(staged, paths.stage, sd.CHANGE, CHANGES,
+    # the staged table cuts the lineage: a fresh folder under the cluster's
+    # spark.checkpoint.dir when the session names one, else <table>/temp/
+    stage = scratch_folder(spark, f"{table}-stage") if checkpoint_root(spark) else paths.stage
+    result["staged"] = stage
+    observed = write_observed(staged, stage, sd.CHANGE, CHANGES,
                               partition_by=[C.PARTITION_COLUMN], name=f"{table}_stage")
     open_rows = sum(observed[c] for c in (C.INSERTED, C.UPDATED, C.UNCHANGED))
     if open_rows == 0:
         raise RuntimeError("no current rows would remain; target left untouched")
-    verify_staged(spark, paths.stage, sd.CHANGE, observed)
-    # A failure from here on leaves the verified state in ``temp/`` and the
+    verify_staged(spark, stage, sd.CHANGE, observed)
+    # A failure from here on leaves the verified state in ``stage`` and the
     # old current partition in ``currbackup/``: re-running publish_partitions
     # on the staged copy completes the run.
-    publish_partitions(spark, paths.stage, paths.target, drop=[sd.CHANGE], columns=columns)
+    publish_partitions(spark, stage, paths.target, drop=[sd.CHANGE], columns=columns)
     if database:
         touched = [C.OPEN_END.isoformat()]
         if observed[sd.CLOSED_BY_UPDATE] + observed[C.DELETED] + observed[CARRIED]:
