@@ -137,3 +137,14 @@ def test_null_key_current_rows_close_without_joining(spark):
                  key=repr)
     assert got == sorted([(None, 1, dt.date(2024, 5, 31)), (None, 2, dt.date(2024, 5, 31)),
                           ("a", 1, OPEN)], key=repr)
+
+
+def test_schema_drift_and_missing_audit_columns(spark):
+    # current lacks audit_inserted_ts and the new 'w' column; history lacks 'w' too
+    c = spark.createDataFrame([("a", 1, "I", OLD, OPEN), ("h", 9, "I", OLD, dt.date(2020, 1, 1))],
+                              "k string, v int, audit_flag string, bgn_dt date, end_dt date")
+    p = spark.createDataFrame([("a", 1, 5)], "k string, v int, w int")
+    out = sd.full_table(c, p, ["k"], ST)
+    got = sorted(((r.k, r.v, r.w, r.end_dt) for r in out.collect()), key=repr)
+    assert got == sorted([("a", 1, 5, OPEN), ("a", 1, None, dt.date(2024, 5, 31)),
+                          ("h", 9, None, dt.date(2020, 1, 1))], key=repr)

@@ -31,13 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.keys import (all_present, any_null, as_list, column,
+from ..functions.keys import (all_present, any_null, as_list, column, conform,
                               differs, match_key_names, resolve,
                               with_match_key)
 from .dedupe import dedupe
 from .keyed_join import full_outer_on_key, pack
 
 CHANGE = "_change"        # staged-only column: which branch produced the row
+AUDIT_TYPES = ("string", "date", "date", "timestamp")   # of C.AUDIT_COLUMNS
 CLOSED_BY_UPDATE = "C"    # a closed row whose key got a new version
 _NEW, _OLD, _FLAG = "_tm_new", "_tm_old", "flag"
 
@@ -222,7 +223,8 @@ def _aligned_join(prep: DataFrame, current: DataFrame, keys: Sequence[str], comp
 
     def old_struct(df: DataFrame) -> Column:
         names = {c.lower(): c for c in df.columns}
-        audit = [column(names[a.lower()]).alias(a) for a in C.AUDIT_COLUMNS]
+        audit = [(column(names[a.lower()]) if a.lower() in names else F.lit(None))
+                 .cast(t).alias(a) for a, t in zip(C.AUDIT_COLUMNS, AUDIT_TYPES)]
         return pack(df, data, ptypes, _OLD, audit)
 
     j = full_outer_on_key(left, _NEW, current, _OLD, keys, normalize, old_struct)
@@ -294,11 +296,10 @@ def full_table(target: DataFrame, prep: DataFrame, keys: str | Iterable[str], st
     An empty current partition makes every prep row an insert (initial
     load) while history is kept."""
     keys = as_list(keys)
-    end = column(resolve(target, C.PARTITION_COLUMN))
-    current = target.where(end == open_end_col())
-    history = target.where(end != open_end_col())
+    is_open = column(resolve(target, C.PARTITION_COLUMN)).eqNullSafe(open_end_col())
+    current, history = target.where(is_open), target.where(~is_open)
     snap = prepare_snapshot(prep, keys, order_by=order_by, normalize=kw.get("normalize", True))
     nxt = next_state(snap, current, keys, stamps, **kw)
-    return history.select(*[column(c) for c in nxt.columns]).unionByName(nxt)
+    return conform(history, nxt).unionByName(nxt)
 
 
