@@ -18,20 +18,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from ..functions.keys import (all_present, any_null, column, match_key_names,
-                              resolve, with_match_key)
+from ..functions.keys import (all_present, any_null, match_key_names, resolve,
+                              with_match_key)
+from ..functions.sqltext import ident, named_struct, type_sql
 
 
 def pack(df: DataFrame, columns: Sequence[str], types: Mapping[str, DataType], alias: str,
-         extra: Sequence[Column] = ()) -> Column:
+         extra: Sequence[tuple[str, str]] = ()) -> Column:
     """``struct(columns..., extra...)``: each column found by name
-    (case-insensitively) and cast to ``types[c]``, NULL when ``df`` lacks it."""
-    names = {c.lower(): c for c in df.columns}
-
-    def val(c: str) -> Column:
-        real = names.get(c.lower())
-        return (column(real) if real else F.lit(None)).cast(types[c]).alias(c)
-    return F.struct(*[val(c) for c in columns], *extra).alias(alias)
+    (case-insensitively) and cast to ``types[c]`` when its type differs, NULL
+    when ``df`` lacks it; ``extra`` are (name, SQL expression) pairs. Built
+    as one SQL expression (see ``functions.sqltext``)."""
+    have = {f.name.lower(): f for f in df.schema.fields}
+    fields = []
+    for c in columns:
+        f = have.get(c.lower())
+        if f is None:
+            fields.append((c, f"CAST(NULL AS {type_sql(types[c])})"))
+        elif f.dataType == types[c]:
+            fields.append((c, ident(f.name)))
+        else:
+            fields.append((c, f"CAST({ident(f.name)} AS {type_sql(types[c])})"))
+    return F.expr(named_struct([*fields, *extra])).alias(alias)
 
 
 def full_outer_on_key(left: DataFrame, left_name: str, right: DataFrame, right_name: str,

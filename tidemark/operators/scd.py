@@ -22,12 +22,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.keys import (as_list, column, differs, match_key_names,
+from ..functions.keys import (as_list, column, match_key_names,
                               resolve, with_match_key)
+from ..functions.sqltext import ident, named_struct, null_safe_differs, string_lit, type_sql
 from .dedupe import dedupe
 from .keyed_join import full_outer_on_key, pack
 from .snapshot_diff import Stamps, split_rejected
@@ -100,18 +101,22 @@ def scd1(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,
     types = {f.name: f.dataType for f in target.schema.fields}
     cmp = _compare(data, keys, source, compare)
     j = _join(source, target, keys, data, types, normalize, dedupe_source, order_by)
-    n, o = F.col(_NEW), F.col(_OLD)
-    change = (F.when(o.isNull(), F.lit(NEW))
-              .when(n.isNotNull() & differs([n[c] for c in cmp], [o[c] for c in cmp]),
-                    F.lit(CHANGED))
-              .otherwise(F.lit(KEPT)))
-    j = j.withColumn(CHANGE, change)
-    take_new = F.col(CHANGE).isin(NEW, CHANGED)
-    out = j.select(*[F.when(take_new, n[c]).otherwise(o[c]).alias(c) for c in data],
-                   F.col(CHANGE))
+    j = j.withColumn(CHANGE, F.expr(_state_sql(cmp)))
+    take_new = f"{ident(CHANGE)} IN ({string_lit(NEW)}, {string_lit(CHANGED)})"
+    out = j.selectExpr(*[f"CASE WHEN {take_new} THEN {ident(_NEW, c)} ELSE {ident(_OLD, c)} END "
+                         f"AS {ident(c)}" for c in data], ident(CHANGE))
     return out if tag else out.drop(CHANGE)
 
 
+def _state_sql(cmp: Sequence[str]) -> str:
+    """N when the target lacks the key, U when a compare column differs
+    (NULL-safely) from a present source row, else K."""
+    changed = null_safe_differs([(ident(_NEW, c), ident(_OLD, c)) for c in cmp])
+    return (f"CASE WHEN {ident(_OLD)} IS NULL THEN {string_lit(NEW)} "
+            f"WHEN {ident(_NEW)} IS NOT NULL AND ({changed}) THEN {string_lit(CHANGED)} "
+            f"ELSE {string_lit(KEPT)} END")
+
+
 def scd2_frame(target: DataFrame) -> DataFrame:
     """A type-2 target with ``flag`` and ``expiry_date`` present (a full load
     written without ``expiry_date`` gets it as NULL)."""
@@ -143,26 +148,21 @@ def scd2(source: DataFrame, target: DataFrame, keys: str | Iterable[str], stamps
     packed = data + [exp_col]      # the source has no expiry: NULL on the new side
     j = _join(source, current.select(*[column(c) for c in packed]), keys, packed, types,
               normalize, dedupe_source, order_by)
-    n, o = F.col(_NEW), F.col(_OLD)
-    state = (F.when(o.isNull(), F.lit(NEW))
-             .when(n.isNotNull() & differs([n[c] for c in cmp], [o[c] for c in cmp]),
-                   F.lit(CHANGED))
-             .otherwise(F.lit(KEPT)))
-    j = j.withColumn(CHANGE, state)
-    s = F.col(CHANGE)
-    ftype, etype = types[flag_col], types[exp_col]
-
-    def row(side: Column, flag: int, expiry: Column, change: Column) -> Column:
-        return F.struct(*[side[c].alias(c) for c in data],
-                        F.lit(flag).cast(ftype).alias(flag_col),
-                        expiry.cast(etype).alias(exp_col), change.alias(CHANGE))
-
-    rows = F.array(
-        F.when(s.isin(NEW, CHANGED), row(n, C.LATEST, F.lit(None), s)),
-        F.when(s == KEPT, row(o, C.LATEST, o[exp_col], s)),
-        F.when(s == CHANGED, row(o, C.EXPIRED, stamps.as_of_col(), F.lit(EXPIRED))),
-    )
-    nxt = j.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
+    j = j.withColumn(CHANGE, F.expr(_state_sql(cmp)))
+    s = ident(CHANGE)
+    ftype, etype = type_sql(types[flag_col]), type_sql(types[exp_col])
+
+    def row(side: str, flag: int, expiry: str, change: str) -> str:
+        return named_struct([*[(c, ident(side, c)) for c in data],
+                             (flag_col, f"CAST({flag} AS {ftype})"),
+                             (exp_col, f"CAST({expiry} AS {etype})"), (CHANGE, change)])
+
+    N, U, K = string_lit(NEW), string_lit(CHANGED), string_lit(KEPT)
+    rows = (f"array(CASE WHEN {s} IN ({N}, {U}) THEN {row(_NEW, C.LATEST, 'NULL', s)} END, "
+            f"CASE WHEN {s} = {K} THEN {row(_OLD, C.LATEST, ident(_OLD, exp_col), s)} END, "
+            f"CASE WHEN {s} = {U} THEN "
+            f"{row(_OLD, C.EXPIRED, stamps.as_of_sql(), string_lit(EXPIRED))} END)")
+    nxt = j.selectExpr(f"inline(filter({rows}, r -> r IS NOT NULL))")
     hist = history.select(*[column(c) for c in data], column(flag_col), column(exp_col),
                           F.lit(HISTORY).alias(CHANGE))
     out = hist.unionByName(nxt)

@@ -34,6 +34,8 @@ from .. import config as C
 from ..functions.keys import (all_present, any_null, as_list, column, conform,
                               differs, match_key_names, resolve,
                               with_match_key)
+from ..functions.sqltext import (date_lit, ident, named_struct, null_safe_differs,
+                                 string_lit, timestamp_lit)
 from .dedupe import dedupe
 from .keyed_join import full_outer_on_key, pack
 
@@ -65,6 +67,16 @@ class Stamps:
         text = ts.isoformat(sep=" ") if isinstance(ts, _dt.datetime) else str(ts)
         return F.lit(text).cast("timestamp")
 
+    # the same values as SQL literals (validated)
+    def as_of_sql(self) -> str:
+        return date_lit(self.as_of)
+
+    def closed_sql(self) -> str:
+        return date_lit(_dt.date.fromisoformat(str(self.as_of)) - _dt.timedelta(days=1))
+
+    def load_ts_sql(self) -> str:
+        return timestamp_lit(self.load_ts)
+
 
 def open_end_col() -> Column:
     return F.lit(C.OPEN_END.isoformat()).cast("date")
@@ -223,17 +235,17 @@ def _aligned_join(prep: DataFrame, current: DataFrame, keys: Sequence[str], comp
 
     def old_struct(df: DataFrame) -> Column:
         names = {c.lower(): c for c in df.columns}
-        audit = [(column(names[a.lower()]) if a.lower() in names else F.lit(None))
-                 .cast(t).alias(a) for a, t in zip(C.AUDIT_COLUMNS, AUDIT_TYPES)]
+        audit = [(a, f"CAST({ident(names[a.lower()]) if a.lower() in names else 'NULL'} AS {t})")
+                 for a, t in zip(C.AUDIT_COLUMNS, AUDIT_TYPES)]
         return pack(df, data, ptypes, _OLD, audit)
 
     j = full_outer_on_key(left, _NEW, current, _OLD, keys, normalize, old_struct)
-    n, o = F.col(_NEW), F.col(_OLD)
-    flag = (F.when(o.isNull(), F.lit(C.INSERTED))
-            .when(n.isNull(), F.lit(C.DELETED))
-            .when(differs([n[c] for c in cmp], [o[c] for c in cmp]), F.lit(C.UPDATED))
-            .otherwise(F.lit(C.UNCHANGED)))
-    return j.withColumn(_FLAG, flag), data
+    n, o = ident(_NEW), ident(_OLD)
+    changed = null_safe_differs([(ident(_NEW, c), ident(_OLD, c)) for c in cmp])
+    flag = (f"CASE WHEN {o} IS NULL THEN {string_lit(C.INSERTED)} "
+            f"WHEN {n} IS NULL THEN {string_lit(C.DELETED)} "
+            f"WHEN {changed} THEN {string_lit(C.UPDATED)} ELSE {string_lit(C.UNCHANGED)} END")
+    return j.withColumn(_FLAG, F.expr(flag)), data
 
 
 def diff_flags(prep: DataFrame, current: DataFrame, keys: str | Iterable[str], *,
@@ -261,25 +273,23 @@ def next_state(prep: DataFrame, current: DataFrame, keys: str | Iterable[str],
     Expects one prep row per key (``prepare_snapshot``)."""
     keys = as_list(keys)
     j, data = _aligned_join(prep, current, keys, compare, fingerprint, normalize)
-    f, n, o = F.col(_FLAG), F.col(_NEW), F.col(_OLD)
-
-    def row(values: list[Column], audit: list[Column], change: Column) -> Column:
-        fields = [v.alias(c) for v, c in zip(values, data)]
-        fields += [a.alias(name) for a, name in zip(audit, C.AUDIT_COLUMNS)]
-        return F.struct(*fields, change.alias(CHANGE))
-
-    new_row = row([n[c] for c in data],
-                  [F.lit(C.INSERTED), stamps.as_of_col(), open_end_col(), stamps.load_ts_col()], f)
-    kept_row = row([o[c] for c in data], [o[a] for a in C.AUDIT_COLUMNS], f)
-    closed_row = row([o[c] for c in data],
-                     [o["audit_flag"], o["bgn_dt"], stamps.closed_col(), o["audit_inserted_ts"]],
-                     F.when(f == C.UPDATED, F.lit(CLOSED_BY_UPDATE)).otherwise(F.lit(C.DELETED)))
-    rows = F.array(
-        F.when(f.isin(C.INSERTED, C.UPDATED), new_row),
-        F.when(f == C.UNCHANGED, kept_row),
-        F.when(f.isin(C.UPDATED, C.DELETED), closed_row),
-    )
-    out = j.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
+    f = ident(_FLAG)
+    I, U, Z, D = (string_lit(x) for x in (C.INSERTED, C.UPDATED, C.UNCHANGED, C.DELETED))
+
+    def row(side: str, audit: list[str], change: str) -> str:
+        fields = [(c, ident(side, c)) for c in data]
+        fields += list(zip(C.AUDIT_COLUMNS, audit))
+        return named_struct([*fields, (CHANGE, change)])
+
+    old_audit = [ident(_OLD, a) for a in C.AUDIT_COLUMNS]
+    new_row = row(_NEW, [I, stamps.as_of_sql(), date_lit(C.OPEN_END), stamps.load_ts_sql()], f)
+    kept_row = row(_OLD, old_audit, f)
+    closed_row = row(_OLD, [*old_audit[:2], stamps.closed_sql(), old_audit[3]],
+                     f"CASE WHEN {f} = {U} THEN {string_lit(CLOSED_BY_UPDATE)} ELSE {D} END")
+    rows = (f"array(CASE WHEN {f} IN ({I}, {U}) THEN {new_row} END, "
+            f"CASE WHEN {f} = {Z} THEN {kept_row} END, "
+            f"CASE WHEN {f} IN ({U}, {D}) THEN {closed_row} END)")
+    out = j.selectExpr(f"inline(filter({rows}, r -> r IS NOT NULL))")
     return out if tag else out.drop(CHANGE)
 
 
