@@ -148,3 +148,12 @@ def test_schema_drift_and_missing_audit_columns(spark):
     got = sorted(((r.k, r.v, r.w, r.end_dt) for r in out.collect()), key=repr)
     assert got == sorted([("a", 1, 5, OPEN), ("a", 1, None, dt.date(2024, 5, 31)),
                           ("h", 9, None, dt.date(2020, 1, 1))], key=repr)
+
+
+def test_stamps_accept_date_datetime_and_text(spark):
+    for as_of in ("2024-06-01", dt.date(2024, 6, 1), dt.datetime(2024, 6, 1, 13, 30)):
+        st = sd.Stamps(as_of, dt.datetime(2024, 6, 1, 13, 30))
+        row = spark.range(1).selectExpr(f"{st.as_of_sql()} AS a", f"{st.closed_sql()} AS c",
+                                        f"{st.load_ts_sql()} AS t").first()
+        assert (row.a, row.c) == (dt.date(2024, 6, 1), dt.date(2024, 5, 31))
+        assert spark.range(1).select(st.as_of_col()).first()[0] == dt.date(2024, 6, 1)

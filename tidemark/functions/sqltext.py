@@ -26,9 +26,18 @@ def string_lit(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def date_lit(d: _dt.date | str) -> str:
+def as_date(d: _dt.date | _dt.datetime | str) -> _dt.date:
+    """A date from a date, a datetime (its date part) or ISO text."""
+    if isinstance(d, _dt.datetime):
+        return d.date()
+    if isinstance(d, _dt.date):
+        return d
+    return _dt.date.fromisoformat(str(d).strip()[:10])
+
+
+def date_lit(d: _dt.date | _dt.datetime | str) -> str:
     """DATE literal; the value is validated as an ISO date first."""
-    return f"DATE'{_dt.date.fromisoformat(str(d)).isoformat()}'"
+    return f"DATE'{as_date(d).isoformat()}'"
 
 
 def timestamp_lit(ts: _dt.datetime | str) -> str:

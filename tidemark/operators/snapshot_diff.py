@@ -34,8 +34,8 @@ from .. import config as C
 from ..functions.keys import (all_present, any_null, as_list, column, conform,
                               differs, match_key_names, resolve,
                               with_match_key)
-from ..functions.sqltext import (date_lit, ident, named_struct, null_safe_differs,
-                                 string_lit, timestamp_lit)
+from ..functions.sqltext import (as_date, date_lit, ident, named_struct,
+                                 null_safe_differs, string_lit, timestamp_lit)
 from .dedupe import dedupe
 from .keyed_join import full_outer_on_key, pack
 
@@ -57,7 +57,7 @@ class Stamps:
     load_ts: _dt.datetime | str
 
     def as_of_col(self) -> Column:
-        return F.lit(str(self.as_of)).cast("date")
+        return F.lit(as_date(self.as_of).isoformat()).cast("date")
 
     def closed_col(self) -> Column:
         return F.date_sub(self.as_of_col(), 1)
@@ -72,7 +72,7 @@ class Stamps:
         return date_lit(self.as_of)
 
     def closed_sql(self) -> str:
-        return date_lit(_dt.date.fromisoformat(str(self.as_of)) - _dt.timedelta(days=1))
+        return date_lit(as_date(self.as_of) - _dt.timedelta(days=1))
 
     def load_ts_sql(self) -> str:
         return timestamp_lit(self.load_ts)

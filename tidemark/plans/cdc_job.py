@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.keys import as_list, column, conform
+from ..functions.sqltext import as_date
 from ..operators import snapshot_diff as sd
 from ..session import checkpoint_root, scratch_folder
 from ..sources.files import read_partition, read_snapshot
@@ -52,7 +53,7 @@ def resolve_stamps(spark: SparkSession, as_of=None, load_ts=None) -> sd.Stamps:
 
 
 def _closed_date(stamps: sd.Stamps) -> _dt.date:
-    return _dt.date.fromisoformat(str(stamps.as_of)) - _dt.timedelta(days=1)
+    return as_date(stamps.as_of) - _dt.timedelta(days=1)
 
 
 def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: str, *,
