@@ -161,6 +161,11 @@ SQL: dict[str, str] = {
     "filtered_rows": "select * from orders where o_orderstatus = 'F'",
     "row_count": "select count(*) as cnt from lineitem",
     "row_count_filtered": "select count(*) as cnt from orders where o_orderstatus = 'F'",
+    "count_check_catalog": "select * from orders where o_orderstatus = 'F'",
+    "count_value_catalog": "select count(*) as cnt from lineitem where l_returnflag = 'R'",
+    "duplicate_check_catalog":
+        "select user_id, event_type, count(*) as cnt from events where value > 10 "
+        "group by user_id, event_type having count(*) > 1",
     "duplicate_groups_single":
         "select text, count(*) as cnt from documents group by text having count(*) > 1",
     "duplicate_groups_composite":

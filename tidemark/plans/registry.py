@@ -23,9 +23,7 @@ from ..operators import snapshot_diff as sd
 from ..operators.dedupe import dedupe
 from ..session import ensure_checkpoint_root, scratch_folder
 from ..sources import derived as X
-from ..sources.files import read_target
 from .cdc_job import run_cdc
-from .publish import TablePaths
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +64,28 @@ def q_duplicate_groups_lineitem(spark, d):
     return checks.duplicate_groups(X.table(spark, d, "lineitem"), "l_partkey, l_suppkey")
 
 
+def _view(spark, d, name: str) -> str:
+    """The driver table as a session view, for the by-name checks."""
+    view = f"tidemark_{name}"
+    X.table(spark, d, name).createOrReplaceTempView(view)
+    return view
+
+
+def q_count_check_catalog(spark, d):
+    """Rows of a catalog table by name with a SQL filter string."""
+    return checks.count_check(spark, _view(spark, d, "orders"), "o_orderstatus = 'F'")
+
+
+def q_count_value_catalog(spark, d):
+    return checks.count_value(spark, _view(spark, d, "lineitem"), "l_returnflag = 'R'")
+
+
+def q_duplicate_check_catalog(spark, d):
+    """Duplicate key groups of a catalog table, keys as a comma-joined string."""
+    return checks.duplicate_check(spark, _view(spark, d, "events"), "user_id, event_type",
+                                  "value > 10")
+
+
 def q_dedupe_snapshot(spark, d):
     docs = X.table(spark, d, "documents")
     return dedupe(docs.where(F.col("text").isNotNull()), ["text"], order_by=["doc_id"])
@@ -132,17 +152,21 @@ def q_cdc_full_table(spark, d):
 
 def q_cdc_publish_roundtrip(spark, d):
     """The whole job on disk: initial load, a changed snapshot, and a second
-    changed snapshot on the same day; returns the published table."""
+    changed snapshot on the same day, registered in a catalog database
+    (located under the shared scratch folder); returns the table read back
+    through the catalog."""
     ensure_checkpoint_root(spark)
     root = scratch_folder(spark, "cdc-roundtrip")
+    db = "tidemark_rt_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/_catalog'")
     first = X.customer_cur0(spark, d).withColumn(C.FINGERPRINT_COLUMN, X.row_md5("bal", "seg"))
-    run_cdc(spark, "customer", CUST_KEY, root, as_of=X.CURRENT_DAY,
+    run_cdc(spark, "customer", CUST_KEY, root, database=db, as_of=X.CURRENT_DAY,
             load_ts=X.LOAD_TS_CURRENT, prep=first)
-    run_cdc(spark, "customer", CUST_KEY, root, as_of=X.AS_OF, load_ts=X.LOAD_TS_AS_OF,
-            prep=X.customer_prep(spark, d))
-    run_cdc(spark, "customer", CUST_KEY, root, as_of=X.AS_OF, load_ts=X.LOAD_TS_RERUN,
-            prep=X.customer_prep_rerun(spark, d))
-    return ts_text(read_target(spark, TablePaths(root, "customer").target))
+    run_cdc(spark, "customer", CUST_KEY, root, database=db, as_of=X.AS_OF,
+            load_ts=X.LOAD_TS_AS_OF, prep=X.customer_prep(spark, d))
+    run_cdc(spark, "customer", CUST_KEY, root, database=db, as_of=X.AS_OF,
+            load_ts=X.LOAD_TS_RERUN, prep=X.customer_prep_rerun(spark, d))
+    return ts_text(spark.table(f"{db}.customer"))
 
 
 # ------------------------------------------------------ SCD, customer pair
