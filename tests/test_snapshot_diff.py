@@ -157,3 +157,14 @@ def test_stamps_accept_date_datetime_and_text(spark):
                                         f"{st.load_ts_sql()} AS t").first()
         assert (row.a, row.c) == (dt.date(2024, 6, 1), dt.date(2024, 5, 31))
         assert spark.range(1).select(st.as_of_col()).first()[0] == dt.date(2024, 6, 1)
+
+
+def test_single_purpose_joins_keep_null_key_current_rows(spark):
+    c = spark.createDataFrame(
+        [(None, 1, "I", OLD, OPEN, TS), ("a", 1, "I", OLD, OPEN, TS), ("b", 2, "I", OLD, OPEN, TS)],
+        "k string, v int, audit_flag string, bgn_dt date, end_dt date, audit_inserted_ts timestamp")
+    p = sd.prepare_snapshot(spark.createDataFrame([("a", 1)], "k string, v int"), ["k"])
+    assert sorted((r.k, r.flag) for r in sd.deleted(p, c, ["k"]).collect() if r.k) == [("b", "D")]
+    assert sd.deleted(p, c, ["k"]).where("k is null").count() == 1
+    closed = sd.close_history(p, c, ["k"], ST)
+    assert closed.count() == 2 and closed.where("k is null").count() == 1

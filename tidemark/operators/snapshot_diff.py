@@ -165,11 +165,14 @@ def deleted(prep: DataFrame, current: DataFrame, keys: str | Iterable[str], *,
     # distinct keys: a key repeated in an undeduplicated snapshot is reduced
     # map-side (partial aggregate) before it is shuffled
     p = _keyed(prep, keys, normalize).select(*[F.col(m) for m in mk]).distinct()
-    cur = _keyed(current, keys, normalize)
     audit = {a.lower() for a in C.AUDIT_COLUMNS}
     keep = [c for c in current.columns if c.lower() not in audit and not c.startswith("_mk")]
-    return (cur.join(p, on=mk, how="left_anti")
-            .select(*[column(c) for c in keep], F.lit(C.DELETED).alias(_FLAG)))
+    # current rows with a NULL key part never match: they skip the join
+    # instead of hashing into one partition
+    ok, nulls = split_rejected(current, keys)
+    gone = _keyed(ok, keys, normalize).join(p, on=mk, how="left_anti").unionByName(
+        _keyed(nulls, keys, normalize))
+    return gone.select(*[column(c) for c in keep], F.lit(C.DELETED).alias(_FLAG))
 
 
 def close_history(prep: DataFrame, current: DataFrame, keys: str | Iterable[str],
@@ -186,10 +189,11 @@ def close_history(prep: DataFrame, current: DataFrame, keys: str | Iterable[str]
     p = _keyed(prep, keys, normalize).select(
         *[F.col(m).alias(f"_tm_p{m}") for m in mk],
         *[column(c).alias(f"_tm_pc{i}") for i, c in enumerate(cmp)])
-    cur = _keyed(current, keys, normalize)
+    ok, nulls = split_rejected(current, keys)        # NULL keys skip the join
+    cur = _keyed(ok, keys, normalize)
     cond = [F.col(m) == F.col(f"_tm_p{m}") for m in mk]
     cond += [column(resolve(cur, c)).eqNullSafe(F.col(f"_tm_pc{i}")) for i, c in enumerate(cmp)]
-    out = cur.join(p, on=cond, how="left_anti")
+    out = cur.join(p, on=cond, how="left_anti").unionByName(_keyed(nulls, keys, normalize))
     cols = [c for c in current.columns if not c.startswith("_mk")]
     return out.select(*[column(c) if c != C.PARTITION_COLUMN
                         else stamps.closed_col().alias(C.PARTITION_COLUMN) for c in cols])
