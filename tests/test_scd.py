@@ -100,3 +100,13 @@ def test_null_key_target_rows_are_kept_and_skip_the_join(spark):
     assert as_set(out) == {(None, "x", 1.0), (None, "y", 2.0), (1, "a", 5.0), (2, "b", 2.0)}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan
+
+
+def test_scd_plans_shuffle_each_side_once(spark):
+    prep, cur = X.customer_prep0(spark, SF01), X.customer_cur0(spark, SF01)
+    t2 = cur.select("*", F.lit(1).alias("flag"), F.lit(None).cast("date").alias("expiry_date"))
+    for out in (scd.scd1(prep, cur, ["k"]), scd.scd2(prep, t2, ["k"], ST)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2, plan
+        assert "BroadcastExchange" not in plan
+        assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")   # partial top-1 first
