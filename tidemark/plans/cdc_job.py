@@ -10,8 +10,8 @@ One run:
 3. No current rows (new table, or history only): initial load. Otherwise the
    single-join ``next_state`` plus the rows already present in the partition
    ``end_dt = as_of - 1`` (a same-day re-run must not lose them).
-4. Stage (in a fresh folder under ``spark.checkpoint.dir`` when the session
-   names one, else ``<table>/temp/``), verify, publish the touched partitions
+4. Stage (in this table's folder under ``spark.checkpoint.dir`` when the
+   session names one, else ``<table>/temp/``), verify, publish the touched partitions
    (``plans.publish``), then register / repair the catalog table when a name
    is given.
 
@@ -32,7 +32,7 @@ from .. import config as C
 from ..functions.keys import as_list, column, conform
 from ..functions.sqltext import as_date
 from ..operators import snapshot_diff as sd
-from ..session import checkpoint_root, scratch_folder
+from ..session import checkpoint_root, stage_folder
 from ..sources.files import read_partition, read_snapshot
 from .publish import (TablePaths, backup as write_backup, publish_partitions, register_table,
                       verify_staged, write_observed)
@@ -103,9 +103,9 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
         result["status"] = "incremental"
 
     columns = [c for c in staged.columns if c != sd.CHANGE]
-    # the staged table cuts the lineage: a fresh folder under the cluster's
-    # spark.checkpoint.dir when the session names one, else <table>/temp/
-    stage = scratch_folder(spark, f"{table}-stage") if checkpoint_root(spark) else paths.stage
+    # the staged table cuts the lineage: this table's staging folder under the
+    # cluster's spark.checkpoint.dir when the session names one, else <table>/temp/
+    stage = stage_folder(spark, table, paths.target) if checkpoint_root(spark) else paths.stage
     result["staged"] = stage
     observed = write_observed(staged, stage, sd.CHANGE, CHANGES,
                               partition_by=[C.PARTITION_COLUMN], name=f"{table}_stage")

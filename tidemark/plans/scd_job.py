@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import scd as S
-from ..session import scratch_folder
+from ..session import stage_folder
 from ..sources.files import path_exists
 from ..sources.jdbc import read_jdbc, write_jdbc
 from .cdc_job import resolve_stamps
@@ -39,11 +39,13 @@ def next_state(kind: int, source: DataFrame, target: DataFrame, keys, stamps, **
 def run_scd(spark: SparkSession, kind: int, source: DataFrame, target: DataFrame,
             keys: str | Iterable[str], publish: Callable[[DataFrame, str], None], *,
             as_of=None, compare: Iterable[str] | None = None, normalize: bool = False,
-            order_by=None, stage_path: str | None = None) -> dict:
+            order_by=None, stage_path: str | None = None, stage_key: str = "") -> dict:
     """Compute, stage, verify and publish one SCD load.
 
     ``publish(df, mode)`` writes the staged rows to the target with mode
-    ``append`` (type 0) or ``overwrite`` (types 1, 2)."""
+    ``append`` (type 0) or ``overwrite`` (types 1, 2). The rows are staged in
+    ``stage_path``, by default the staging folder of ``stage_key`` (the
+    target's name) under ``spark.checkpoint.dir``, reused by every run."""
     # SCD rows carry a date only (expiry_date); no load timestamp is written
     stamps = resolve_stamps(spark, as_of, load_ts="")
     if kind == 2:
@@ -54,7 +56,7 @@ def run_scd(spark: SparkSession, kind: int, source: DataFrame, target: DataFrame
         rows, mode = nxt.where(F.col(S.CHANGE) == S.NEW), "append"
     else:
         rows, mode = nxt, "overwrite"
-    path = stage_path or scratch_folder(spark, f"scd{kind}-stage")
+    path = stage_path or stage_folder(spark, f"scd{kind}", stage_key)
     observed = write_observed(rows, path, S.CHANGE, ALL_CHANGES, name=f"scd{kind}")
     verify_staged(spark, path, S.CHANGE, observed)
     staged = spark.read.parquet(path).drop(S.CHANGE)
@@ -83,6 +85,7 @@ def run_scd_jdbc(spark: SparkSession, kind: int, url: str, source_table: str,
     def publish(df: DataFrame, mode: str) -> None:
         write_jdbc(df, url, target_table, mode, properties=properties,
                    num_partitions=num_partitions)
+    kw.setdefault("stage_key", f"{url}|{target_table}")
     return run_scd(spark, kind, source, target, keys, publish, **kw)
 
 
@@ -99,4 +102,5 @@ def run_scd_parquet(spark: SparkSession, kind: int, source: DataFrame, target_pa
 
     def publish(df: DataFrame, mode: str) -> None:
         df.write.mode(mode).parquet(target_path)
+    kw.setdefault("stage_key", target_path)
     return run_scd(spark, kind, source, target, keys, publish, **kw)

@@ -9,6 +9,7 @@ it is unset. Library code never falls back to a machine-local folder.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -85,6 +86,19 @@ def ensure_checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def stage_folder(spark: SparkSession, name: str, target: str) -> str:
+    """The staging folder of one target under the shared scratch root. It is
+    the same folder on every run of that target (the next run overwrites it),
+    so staged copies never pile up, and it survives a failed publish so the
+    run can be completed from it."""
+    root = checkpoint_root(spark)
+    if not root:
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: staged data needs a shared folder")
+    digest = hashlib.sha1(target.encode()).hexdigest()[:12]
+    return f"{root.rstrip('/')}/tidemark-stage/{name}-{digest}"
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared scratch root (never reused,
     never cleared: each call names a new one)."""
