@@ -46,88 +46,86 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READS[key]
 
 
-def _k(m: int) -> Column:
-    return F.col("k") % F.lit(m)
-
-
 def row_md5(*cols: str) -> Column:
     return F.md5(F.concat_ws("||", *[F.col(c).cast("string") for c in cols]))
 
 
+MD5_SQL = "md5(concat_ws('||', cast(bal as string), seg))"
+
+
 def stamped(df: DataFrame, flag: str, bgn: str, end: str, ts: str) -> DataFrame:
-    return df.select("*", F.lit(flag).alias("audit_flag"), F.lit(bgn).cast("date").alias("bgn_dt"),
-                     F.lit(end).cast("date").alias("end_dt"),
-                     F.lit(ts).cast("timestamp").alias("audit_inserted_ts"))
+    return df.selectExpr("*", f"'{flag}' AS audit_flag", f"DATE'{bgn}' AS bgn_dt",
+                         f"DATE'{end}' AS end_dt", f"CAST('{ts}' AS TIMESTAMP) AS audit_inserted_ts")
+
 
+# The rules below are written as SQL text, the same text as the DuckDB twins
+# in plans.oracle_sql (one parse each instead of many Column-API calls).
 
 # ---------------------------------------------------------------- customer
 
 def customer_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("k"), F.col("c_name").alias("nm"),
-        F.col("c_acctbal").alias("bal"), F.col("c_mktsegment").alias("seg"))
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS k", "c_name AS nm", "c_acctbal AS bal", "c_mktsegment AS seg")
 
 
 def customer_cur0(spark, sf_dir) -> DataFrame:
-    return customer_base(spark, sf_dir).where(_k(10) != 3)
+    return customer_base(spark, sf_dir).where("k % 10 <> 3")
 
 
 def customer_prep0(spark, sf_dir) -> DataFrame:
-    b = customer_base(spark, sf_dir).where(_k(10) != 7)
-    return b.select(
+    return customer_base(spark, sf_dir).where("k % 10 <> 7").selectExpr(
         "k",
-        F.when(_k(4) == 0, F.concat(F.lit("  "), F.lower("nm"), F.lit(" "))).otherwise(F.col("nm")).alias("nm"),
-        F.when(_k(5) == 0, F.col("bal") + 100).otherwise(F.col("bal")).alias("bal"),
+        "CASE WHEN k % 4 = 0 THEN concat('  ', lower(nm), ' ') ELSE nm END AS nm",
+        "CASE WHEN k % 5 = 0 THEN bal + 100 ELSE bal END AS bal",
         "seg")
 
 
 def customer_prep(spark, sf_dir) -> DataFrame:
     """The new snapshot, with its fingerprint over bal and seg."""
-    return customer_prep0(spark, sf_dir).withColumn(C.FINGERPRINT_COLUMN, row_md5("bal", "seg"))
+    return customer_prep0(spark, sf_dir).selectExpr("*", f"{MD5_SQL} AS {C.FINGERPRINT_COLUMN}")
 
 
 def customer_prep_rerun(spark, sf_dir) -> DataFrame:
     """A second snapshot of the same day: ``k % 3 = 0`` balance + 1 more."""
-    p = customer_prep0(spark, sf_dir)
-    p = p.withColumn("bal", F.when(_k(3) == 0, F.col("bal") + 1).otherwise(F.col("bal")))
-    return p.withColumn(C.FINGERPRINT_COLUMN, row_md5("bal", "seg"))
+    p = customer_prep0(spark, sf_dir).selectExpr(
+        "k", "nm", "CASE WHEN k % 3 = 0 THEN bal + 1 ELSE bal END AS bal", "seg")
+    return p.selectExpr("*", f"{MD5_SQL} AS {C.FINGERPRINT_COLUMN}")
 
 
 def customer_current(spark, sf_dir) -> DataFrame:
     """The current partition as loaded on CURRENT_DAY."""
-    cur = customer_cur0(spark, sf_dir).withColumn(C.FINGERPRINT_COLUMN, row_md5("bal", "seg"))
+    cur = customer_cur0(spark, sf_dir).selectExpr("*", f"{MD5_SQL} AS {C.FINGERPRINT_COLUMN}")
     return stamped(cur, C.INSERTED, CURRENT_DAY, C.OPEN_END.isoformat(), LOAD_TS_CURRENT)
 
 
 def customer_history(spark, sf_dir) -> DataFrame:
     """Prior history: ``k % 10 = 1`` rows with an older balance, closed 2020."""
-    h = (customer_base(spark, sf_dir).where(_k(10) == 1)
-         .withColumn("bal", F.col("bal") - 50)
-         .withColumn(C.FINGERPRINT_COLUMN, row_md5("bal", "seg")))
+    h = (customer_base(spark, sf_dir).where("k % 10 = 1")
+         .selectExpr("k", "nm", "bal - 50 AS bal", "seg"))
+    h = h.selectExpr("*", f"{MD5_SQL} AS {C.FINGERPRINT_COLUMN}")
     return stamped(h, C.INSERTED, HISTORY_BEGIN, HISTORY_END, HISTORY_TS)
 
 
 def customer_scd1_source(spark, sf_dir) -> DataFrame:
     """prep with NULL segments where ``k % 7 = 0``."""
-    p = customer_prep0(spark, sf_dir)
-    return p.withColumn("seg", F.when(_k(7) == 0, F.lit(None)).otherwise(F.col("seg")))
+    return customer_prep0(spark, sf_dir).selectExpr(
+        "k", "nm", "bal", "CASE WHEN k % 7 = 0 THEN NULL ELSE seg END AS seg")
 
 
 def customer_scd1_target(spark, sf_dir) -> DataFrame:
     """current with NULL segments where ``k % 11 = 0``."""
-    c = customer_cur0(spark, sf_dir)
-    return c.withColumn("seg", F.when(_k(11) == 0, F.lit(None)).otherwise(F.col("seg")))
+    return customer_cur0(spark, sf_dir).selectExpr(
+        "k", "nm", "bal", "CASE WHEN k % 11 = 0 THEN NULL ELSE seg END AS seg")
 
 
 def customer_scd2_target(spark, sf_dir) -> DataFrame:
     """current rows as ``flag = 1`` plus older ``flag = 0`` versions for
     ``k % 10 = 1`` (expired 2024-01-01, balance - 50)."""
-    cur = customer_cur0(spark, sf_dir).select(
-        "*", F.lit(C.LATEST).alias(C.SCD2_FLAG), F.lit(None).cast("date").alias(C.SCD2_EXPIRY))
-    old = (customer_base(spark, sf_dir).where(_k(10) == 1)
-           .withColumn("bal", F.col("bal") - 50)
-           .select("*", F.lit(C.EXPIRED).alias(C.SCD2_FLAG),
-                   F.lit(SCD2_OLD_EXPIRY).cast("date").alias(C.SCD2_EXPIRY)))
+    cur = customer_cur0(spark, sf_dir).selectExpr(
+        "*", f"{C.LATEST} AS {C.SCD2_FLAG}", f"CAST(NULL AS DATE) AS {C.SCD2_EXPIRY}")
+    old = customer_base(spark, sf_dir).where("k % 10 = 1").selectExpr(
+        "k", "nm", "bal - 50 AS bal", "seg", f"{C.EXPIRED} AS {C.SCD2_FLAG}",
+        f"DATE'{SCD2_OLD_EXPIRY}' AS {C.SCD2_EXPIRY}")
     return cur.unionByName(old)
 
 
@@ -137,19 +135,19 @@ ORDER_VALUES = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_
 
 
 def orders_base(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), *ORDER_VALUES)
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", *ORDER_VALUES)
 
 
 def orders_cur0(spark, sf_dir) -> DataFrame:
-    return orders_base(spark, sf_dir).where(_k(10) != 3)
+    return orders_base(spark, sf_dir).where("k % 10 <> 3")
 
 
 def orders_prep0(spark, sf_dir) -> DataFrame:
-    b = orders_base(spark, sf_dir).where(_k(10) != 7)
-    return b.withColumns({
-        "o_totalprice": F.when(_k(5) == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
-        "o_orderpriority": F.when(_k(4) == 0, F.lower("o_orderpriority")).otherwise(F.col("o_orderpriority")),
-    })
+    return orders_base(spark, sf_dir).where("k % 10 <> 7").selectExpr(
+        "k", "o_custkey", "o_orderstatus",
+        "CASE WHEN k % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice",
+        "o_orderdate",
+        "CASE WHEN k % 4 = 0 THEN lower(o_orderpriority) ELSE o_orderpriority END AS o_orderpriority")
 
 
 def orders_current(spark, sf_dir) -> DataFrame:
@@ -158,5 +156,5 @@ def orders_current(spark, sf_dir) -> DataFrame:
 
 
 def orders_scd2_target(spark, sf_dir) -> DataFrame:
-    return orders_cur0(spark, sf_dir).select(
-        "*", F.lit(C.LATEST).alias(C.SCD2_FLAG), F.lit(None).cast("date").alias(C.SCD2_EXPIRY))
+    return orders_cur0(spark, sf_dir).selectExpr(
+        "*", f"{C.LATEST} AS {C.SCD2_FLAG}", f"CAST(NULL AS DATE) AS {C.SCD2_EXPIRY}")
