@@ -99,3 +99,12 @@ def test_cli_scd_over_jdbc(spark, url, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["N"] == 3
     assert read_jdbc(spark, url, "CLI_SCD1", properties=DRIVER).count() == 3
+
+
+def test_read_split_by_database_side_hash_buckets(spark, url):
+    sup = spark.read.parquet(f"{SF001}/supplier.parquet")
+    write_jdbc(sup, url, "SUP_HASH", "append", properties=DRIVER)
+    preds = [f'MOD("s_suppkey", 4) = {i}' for i in range(4)]
+    back = read_jdbc(spark, url, "SUP_HASH", properties=DRIVER, predicates=preds)
+    assert back.rdd.getNumPartitions() == 4
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, sup.collect()))

@@ -74,12 +74,14 @@ def run_scd(spark: SparkSession, kind: int, source: DataFrame, target: DataFrame
 def run_scd_jdbc(spark: SparkSession, kind: int, url: str, source_table: str,
                  target_table: str, keys: str | Iterable[str], *,
                  properties: dict | None = None, partition_column: str | None = None,
-                 num_partitions: int | None = None, **kw) -> dict:
+                 num_partitions: int | None = None, predicates: list[str] | None = None,
+                 **kw) -> dict:
     """The database flavour: read source and target over JDBC (split by
-    ``partition_column`` when given), publish back over JDBC."""
+    ``partition_column`` ranges, or by ``predicates`` when the column is
+    skewed), publish back over JDBC."""
     read = lambda t: read_jdbc(spark, url, t, properties=properties,
                                partition_column=partition_column,
-                               num_partitions=num_partitions)
+                               num_partitions=num_partitions, predicates=predicates)
     source, target = read(source_table), read(target_table)
 
     def publish(df: DataFrame, mode: str) -> None:
