@@ -130,3 +130,37 @@ def test_scd2_matches_model(spark, src, tgt_keys, tgt_vals, old_keys):
                    spark.createDataFrame(tgt, "k int, v int, w int, flag int, expiry_date date"),
                    ["k"], ST)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+@SETTINGS
+@given(src=st.lists(st.tuples(int_keys, values, values), max_size=8),
+       tgt=st.lists(st.tuples(st.integers(1, 6), values, values), max_size=6))
+def test_scd0_matches_model(spark, src, tgt):
+    s = model_scd_source(src)
+    have = {r[0] for r in tgt}
+    want = list(tgt) + [s[k] for k in s if k not in have]
+    got = scd.scd0(spark.createDataFrame(src, "k int, v int, w int"),
+                   spark.createDataFrame(tgt, "k int, v int, w int"), ["k"])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.sampled_from("xyz")), st.integers(0, 2)),
+                     max_size=20))
+def test_duplicate_groups_match_counter(spark, rows):
+    from collections import Counter
+    from tidemark.operators.checks import duplicate_groups
+    want = {k: n for k, n in Counter(rows).items() if n > 1}
+    got = duplicate_groups(spark.createDataFrame(rows, "a string, b int"), ["a", "b"]).collect()
+    assert {(r.a, r.b): r.cnt for r in got} == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(name=st.text(alphabet=st.sampled_from("aBz09_ -.()Xy"), min_size=1, max_size=12))
+def test_normalize_column_name_properties(name):
+    import re
+    from tidemark.functions.cleaning import normalize_column_name
+    out = normalize_column_name(name)
+    assert re.fullmatch(r"[a-z0-9_]*", out)
+    assert "__" not in out and not out.endswith("_")
+    assert normalize_column_name(out) == out            # idempotent
