@@ -10,7 +10,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import as_list, column, resolve
+from .keys import as_list, resolve
+from .sqltext import ident, string_lit
 
 ON_ERROR = ("null", "raise")
 
@@ -18,7 +19,8 @@ ON_ERROR = ("null", "raise")
 def cast_to_string(df: DataFrame, columns: str | Iterable[str]) -> DataFrame:
     """Cast the given columns to string (arrays, maps and structs render the
     way Spark prints them; NULL stays NULL)."""
-    exprs = {resolve(df, c): column(resolve(df, c)).cast("string") for c in as_list(columns)}
+    names = [resolve(df, c) for c in as_list(columns)]
+    exprs = {n: F.expr(f"CAST({ident(n)} AS STRING)") for n in names}
     return df.withColumns(exprs) if exprs else df
 
 
@@ -33,15 +35,15 @@ def cast_to_date(df: DataFrame, columns: str | Iterable[str], date_format: str,
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
+    fmt = string_lit(date_format)
     exprs = {}
     for name in as_list(columns):
         real = resolve(df, name)
-        src = column(real).cast("string")
-        parsed = F.try_to_date(src, date_format)
+        src = f"CAST({ident(real)} AS STRING)"
+        parsed = f"try_to_date({src}, {fmt})"
         if on_error == "raise":
-            parsed = F.when(src.isNotNull() & parsed.isNull(),
-                            F.raise_error(F.concat(
-                                F.lit(f"cannot parse {real} with {date_format}: "), src))
-                            .cast("date")).otherwise(parsed)
-        exprs[real] = parsed
+            msg = string_lit(f"cannot parse {real} with {date_format}: ")
+            parsed = (f"CASE WHEN {src} IS NOT NULL AND {parsed} IS NULL "
+                      f"THEN CAST(raise_error(concat({msg}, {src})) AS DATE) ELSE {parsed} END")
+        exprs[real] = F.expr(parsed)
     return df.withColumns(exprs) if exprs else df

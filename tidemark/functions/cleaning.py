@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .keys import as_list, column, field_type, resolve
+from .keys import as_list, resolve
+from .sqltext import ident
 
 
 def normal_string(c: Column) -> Column:
@@ -27,18 +28,20 @@ def normal_string(c: Column) -> Column:
     return F.nullif(F.trim(F.initcap(F.regexp_replace(c, "_", " "))), F.lit(""))
 
 
-def normalize_strings(df: DataFrame, string_columns: str | Iterable[str]) -> DataFrame:
-    """Normalise the values of the given columns in one projection.
+def normal_string_sql(expr: str) -> str:
+    """``normal_string`` as SQL text over the expression ``expr``."""
+    return f"nullif(trim(initcap(regexp_replace({expr}, '_', ' '))), '')"
 
-    A non-string column is cast to string first.
-    """
+
+def normalize_strings(df: DataFrame, string_columns: str | Iterable[str]) -> DataFrame:
+    """Normalise the values of the given columns in one projection (one SQL
+    expression per column). A non-string column is cast to string first."""
+    types = {f.name: f.dataType for f in df.schema.fields}
     exprs = {}
     for name in as_list(string_columns):
         real = resolve(df, name)
-        c = column(real)
-        if not isinstance(field_type(df, real), StringType):
-            c = c.cast("string")
-        exprs[real] = normal_string(c)
+        src = ident(real) if isinstance(types[real], StringType) else f"CAST({ident(real)} AS STRING)"
+        exprs[real] = F.expr(normal_string_sql(src))
     return df.withColumns(exprs) if exprs else df
 
 
