@@ -132,3 +132,20 @@ def test_without_backup_and_original_entry_point(spark, tmp_root):
     assert (r2["U"], r2["Z"], r2["closed"]) == (1, 1, 1)
     assert not path_exists(spark, p.backup)
     assert table(spark, tmp_root).count() == 3
+
+
+def test_republish_completes_a_broken_publish(spark, tmp_root):
+    from tidemark.plans.cdc_job import republish
+    from tidemark.plans.publish import publish_partitions
+    run_cdc(spark, "t", ["k"], tmp_root, as_of="2024-05-01", load_ts="2024-05-01 00:00:00",
+            prep=snap(spark, [("a", 1, "1"), ("b", 2, "2")]))
+    run_cdc(spark, "t", ["k"], tmp_root, as_of="2024-06-01", load_ts="2024-06-01 00:00:00",
+            prep=snap(spark, [("a", 5, "5"), ("b", 2, "2")]))
+    after = sorted((r.k, r.v, str(r.end_dt)) for r in table(spark, tmp_root).collect())
+    # simulate a publish that stopped half way: the open partition lost a row
+    broken = f"{tmp_root}/broken"
+    table(spark, tmp_root).where("k = 'a' AND end_dt = DATE'9999-12-31'").write.parquet(broken)
+    publish_partitions(spark, broken, TablePaths(tmp_root, "t").target)
+    assert table(spark, tmp_root).where("end_dt = DATE'9999-12-31'").count() == 1
+    republish(spark, "t", tmp_root)
+    assert sorted((r.k, r.v, str(r.end_dt)) for r in table(spark, tmp_root).collect()) == after

@@ -131,6 +131,25 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
     return result
 
 
+def staged_path(spark: SparkSession, table: str, root: str) -> str:
+    """Where ``run_cdc`` stages ``table`` in this session."""
+    paths = TablePaths(root, table)
+    return stage_folder(spark, table, paths.target) if checkpoint_root(spark) else paths.stage
+
+
+def republish(spark: SparkSession, table: str, root: str, database: str | None = None) -> None:
+    """Complete a run whose publish failed: publish the verified staged copy
+    again (it holds exactly the touched partitions, so this rolls the table
+    forward to the state the run meant to write). Rolling back instead would
+    also have to remove a closed partition the run created, so recovery is
+    always forward."""
+    paths = TablePaths(root, table)
+    stage = staged_path(spark, table, root)
+    publish_partitions(spark, stage, paths.target, drop=[sd.CHANGE])
+    if database:
+        register_table(spark, f"{database}.{table}", paths.target, None)
+
+
 def incremental_insert_update(spark: SparkSession, tablename: str, naturalkeys,
                               bucket: str, tgtdatabase: str | None = None, **kw) -> dict:
     """The CDC job under its original argument order: ``bucket`` is the
