@@ -2,6 +2,7 @@
 ``spark-submit --py-files tidemark.zip tidemark/__main__.py ...``:
 
   cdc --table T --keys K1,K2 --root ROOT [--database DB] [--as-of D] [--no-backup]
+  republish --table T --root ROOT [--database DB]
   scd --kind 0|1|2 --url URL --source S --target T --keys K [--compare C1,C2]
       [--partition-column C] [--num-partitions N] [--prop key=value ...] [--as-of D]
 
@@ -28,6 +29,10 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--database")
     c.add_argument("--as-of")
     c.add_argument("--no-backup", action="store_true")
+    r = sub.add_parser("republish", help="complete a failed CDC publish from its staged copy")
+    r.add_argument("--table", required=True)
+    r.add_argument("--root", required=True)
+    r.add_argument("--database")
     s = sub.add_parser("scd", help="SCD type 0/1/2 load of a JDBC table")
     s.add_argument("--kind", type=int, choices=(0, 1, 2), required=True)
     s.add_argument("--url", required=True)
@@ -46,6 +51,10 @@ def main(argv: list[str] | None = None) -> int:
         from tidemark.plans.cdc_job import run_cdc
         out = run_cdc(spark, a.table, a.keys, a.root, database=a.database, as_of=a.as_of,
                       backup=not a.no_backup)
+    elif a.cmd == "republish":
+        from tidemark.plans.cdc_job import republish
+        republish(spark, a.table, a.root, database=a.database)
+        out = {"table": a.table, "status": "republished"}
     else:
         from tidemark.plans.scd_job import run_scd_jdbc
         props = dict(p.split("=", 1) for p in a.prop)
