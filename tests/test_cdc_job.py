@@ -149,3 +149,18 @@ def test_republish_completes_a_broken_publish(spark, tmp_root):
     assert table(spark, tmp_root).where("end_dt = DATE'9999-12-31'").count() == 1
     republish(spark, "t", tmp_root)
     assert sorted((r.k, r.v, str(r.end_dt)) for r in table(spark, tmp_root).collect()) == after
+
+
+def test_composite_key_job(spark, tmp_root):
+    sch = "region string, id int, v int"
+    run_cdc(spark, "t", ["region", "id"], tmp_root, as_of="2024-05-01", load_ts="2024-05-01 00:00:00",
+            prep=spark.createDataFrame([("eu", 1, 10), ("us", 1, 20), ("eu", 2, 30)], sch))
+    r = run_cdc(spark, "t", ["region", "id"], tmp_root, as_of="2024-06-01",
+                load_ts="2024-06-01 00:00:00",
+                prep=spark.createDataFrame([(" EU", 1, 10), ("us", 1, 21), ("us", 2, 40),
+                                            (None, 3, 50)], sch))
+    # (' EU', 1) matches ('eu', 1); ('us', 1) changed; ('us', 2) new; ('eu', 2) gone; NULL part rejected
+    assert (r["Z"], r["U"], r["I"], r["D"], r["rejected"]) == (1, 1, 1, 1, 1)
+    cur = table(spark, tmp_root).where("end_dt = DATE'9999-12-31'")
+    assert sorted((x.region, x.id, x.v) for x in cur.collect()) == \
+        [("eu", 1, 10), ("us", 1, 21), ("us", 2, 40)]
