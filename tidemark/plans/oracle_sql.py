@@ -226,6 +226,16 @@ prep2m as (select k, nm, bal, seg, {MD5} as row_md5 from prep2),
 select * from closed_b
 union all
 {cdc_rows('j2', CUST_DATA, AS_OF, CLOSED, TS_RERUN)}""",
+    "inverted_intervals": f"""with {CUSTOMER},
+{CUST_DEDUPE},{cdc_join('j', 'prep_d', 'cur', 'trim(upper(nm))', CUST_DATA, ['row_md5'])},
+state_b as ({cdc_rows('j', CUST_DATA, AS_OF, CLOSED, TS_AS_OF)}),
+open_b as (select * from state_b where end_dt = date '{OPEN_END}'),
+prep2 as (select k, nm, case when k % 3 = 0 then bal + 1 else bal end as bal, seg from prep0),
+prep2m as (select k, nm, bal, seg, {MD5} as row_md5 from prep2),
+{dedupe('prep2_d', 'prep2m', 'trim(upper(nm))', ['k', 'bal', 'seg', 'row_md5', 'nm'])},
+{cdc_join('j2', 'prep2_d', 'open_b', 'trim(upper(nm))', CUST_DATA, ['row_md5']).lstrip()},
+state_c as ({cdc_rows('j2', CUST_DATA, AS_OF, CLOSED, TS_RERUN)})
+select * from state_c where end_dt < bgn_dt""",
     # SCD on the customer pair (key k, compare bal and seg)
     "scd0_initial": f"with {CUSTOMER},\n{CUST_SRC}\nselect {_list(CUST_PLAIN)} from src",
     "scd0_delta": f"""with {CUSTOMER},

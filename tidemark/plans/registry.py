@@ -150,6 +150,17 @@ def q_cdc_full_table(spark, d):
     return ts_text(sd.full_table(target, X.customer_prep(spark, d), CUST_KEY, STAMPS))
 
 
+def q_inverted_intervals(spark, d):
+    """Rows closed before they began: two changed snapshots on one day (in
+    memory), then the interval check over the resulting rows."""
+    prep, cur = _cust(spark, d)
+    first = sd.next_state(prep, cur, CUST_KEY, STAMPS)
+    open_rows = first.where(F.col("end_dt") == F.lit(C.OPEN_END.isoformat()).cast("date"))
+    rerun = sd.prepare_snapshot(X.customer_prep_rerun(spark, d), CUST_KEY)
+    second = sd.next_state(rerun, open_rows, CUST_KEY, sd.Stamps(X.AS_OF, X.LOAD_TS_RERUN))
+    return ts_text(checks.inverted_intervals(second))
+
+
 def q_cdc_publish_roundtrip(spark, d):
     """The whole job on disk: initial load, a changed snapshot, and a second
     changed snapshot on the same day, registered in a catalog database
