@@ -194,6 +194,10 @@ select {', '.join(f'p_{c} as {c}' for c in CUST_DATA)}, flag from j where p_in""
     "cdc_deleted": f"""with {CUSTOMER}
 select {_list(CUST_DATA)}, 'D' as flag from cur c
 where not exists (select 1 from prep p where trim(upper(p.nm)) = trim(upper(c.nm)))""",
+    "cdc_new_versions": _cdc_next_customer(("new",)),
+    "cdc_rejected": f"""with {CUSTOMER},
+blanked as (select k, case when k % 13 = 0 then null else nm end as nm, bal, seg, row_md5 from prep)
+select * from blanked where nm is null""",
     "cdc_initial_load": f"""with {CUSTOMER},
 {CUST_DEDUPE}
 select {_list(CUST_DATA)}, 'I' as audit_flag, date '{AS_OF}' as bgn_dt, date '{OPEN_END}' as end_dt,

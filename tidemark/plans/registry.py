@@ -125,6 +125,20 @@ def q_cdc_deleted(spark, d):
     return sd.deleted(X.customer_prep(spark, d), X.customer_current(spark, d), CUST_KEY)
 
 
+def q_cdc_new_versions(spark, d):
+    """C8 on its own: classify, then stamp the I and U rows as new versions."""
+    prep, cur = _cust(spark, d)
+    return ts_text(sd.new_versions(sd.classify(prep, cur, CUST_KEY), STAMPS))
+
+
+def q_cdc_rejected(spark, d):
+    """Snapshot rows whose key is NULL (names blanked where ``k % 13 = 0``)
+    are set apart; returns them."""
+    prep = X.customer_prep(spark, d).selectExpr(
+        "k", "CASE WHEN k % 13 = 0 THEN NULL ELSE nm END AS nm", "bal", "seg", "row_md5")
+    return sd.split_rejected(prep, CUST_KEY)[1]
+
+
 def q_cdc_initial_load(spark, d):
     prep = sd.prepare_snapshot(X.customer_prep(spark, d), CUST_KEY)
     return ts_text(sd.initial_load(prep, STAMPS))
