@@ -108,3 +108,13 @@ def test_read_split_by_database_side_hash_buckets(spark, url):
     back = read_jdbc(spark, url, "SUP_HASH", properties=DRIVER, predicates=preds)
     assert back.rdd.getNumPartitions() == 4
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, sup.collect()))
+
+
+def test_range_split_on_a_date_column(spark, url):
+    o = spark.read.parquet(f"{SF001}/orders.parquet").selectExpr(
+        "o_orderkey", "CAST(o_orderdate AS DATE) AS o_day", "o_totalprice")
+    write_jdbc(o, url, "ORD_DAYS", "append", properties=DRIVER)
+    back = read_jdbc(spark, url, "ORD_DAYS", properties=DRIVER, partition_column="o_day",
+                     num_partitions=5)
+    assert back.rdd.getNumPartitions() == 5
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, o.collect()))
