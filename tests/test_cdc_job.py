@@ -164,3 +164,17 @@ def test_composite_key_job(spark, tmp_root):
     cur = table(spark, tmp_root).where("end_dt = DATE'9999-12-31'")
     assert sorted((x.region, x.id, x.v) for x in cur.collect()) == \
         [("eu", 1, 10), ("us", 1, 21), ("us", 2, 40)]
+
+
+def test_closed_partition_file_count_follows_its_size(spark, tmp_root):
+    import glob
+    rows = [(f"k{i}", i, str(i)) for i in range(40)]
+    run_cdc(spark, "t", ["k"], tmp_root, as_of="2024-05-01", load_ts="2024-05-01 00:00:00",
+            prep=snap(spark, rows).repartition(8))
+    changed = [(k, v + 1, str(v + 1)) if v < 9 else (k, v, m) for k, v, m in rows]
+    r = run_cdc(spark, "t", ["k"], tmp_root, as_of="2024-06-01", load_ts="2024-06-01 00:00:00",
+                prep=snap(spark, changed).repartition(8), rows_per_file=4)
+    assert r["closed"] == 9
+    closed_dir = f"{TablePaths(tmp_root, 't').target}/end_dt=2024-05-31"
+    assert len(glob.glob(f"{closed_dir}/*.parquet")) == 3          # ceil(9 / 4)
+    assert table(spark, tmp_root).count() == 49

@@ -16,7 +16,8 @@ One run:
    is given.
 
 Jobs (actions) per run: rejected write, emptiness probe, backup write (it
-also counts the current rows), staged write, read-back count, publish write.
+also counts the current rows), staged write, read-back count, publish of the
+closed partition (when there are closed rows), publish of the open partition.
 The diff itself (dedupe + join) runs exactly once, inside the staged write.
 """
 
@@ -60,10 +61,12 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
             database: str | None = None, as_of=None, load_ts=None, order_by=None,
             compare: Iterable[str] | None = None,
             fingerprint: str | None = C.FINGERPRINT_COLUMN, normalize: bool = True,
-            backup: bool = True, prep: DataFrame | None = None) -> dict:
+            backup: bool = True, prep: DataFrame | None = None,
+            rows_per_file: int = 5_000_000) -> dict:
     """Run one CDC load of ``table``; returns counts per change and status.
 
     ``prep`` overrides the snapshot folder (a DataFrame from any source).
+    ``rows_per_file`` sizes the files of the closed partition.
     """
     keys = as_list(keys)
     paths = TablePaths(root, table)
@@ -114,12 +117,21 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
         raise RuntimeError("no current rows would remain; target left untouched")
     verify_staged(spark, stage, sd.CHANGE, observed)
     # A failure from here on leaves the verified state in ``stage`` and the
-    # old current partition in ``currbackup/``: re-running publish_partitions
-    # on the staged copy completes the run.
-    publish_partitions(spark, stage, paths.target, drop=[sd.CHANGE], columns=columns)
+    # old current partition in ``currbackup/``: ``republish`` completes the run.
+    # The closed partition goes first (a stop in between leaves extra history,
+    # never lost history) and is re-split by its observed size: its few rows
+    # come from every task of the diff and would otherwise land as one small
+    # file per task.
+    closed_rows = observed[sd.CLOSED_BY_UPDATE] + observed[C.DELETED] + observed[CARRIED]
+    if closed_rows:
+        publish_partitions(spark, stage, paths.target, drop=[sd.CHANGE], columns=columns,
+                           only=closed_day.isoformat(),
+                           files=max(1, -(-closed_rows // rows_per_file)))
+    publish_partitions(spark, stage, paths.target, drop=[sd.CHANGE], columns=columns,
+                       only=C.OPEN_END.isoformat())
     if database:
         touched = [C.OPEN_END.isoformat()]
-        if observed[sd.CLOSED_BY_UPDATE] + observed[C.DELETED] + observed[CARRIED]:
+        if closed_rows:
             touched.append(closed_day.isoformat())
         register_table(spark, f"{database}.{table}", paths.target, touched)
 

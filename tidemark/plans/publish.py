@@ -104,14 +104,23 @@ def verify_staged(spark: SparkSession, path: str, change_col: str,
 
 def publish_partitions(spark: SparkSession, staged_path: str, target_path: str,
                        partition_col: str = C.PARTITION_COLUMN,
-                       drop: Sequence[str] = (), columns: Sequence[str] | None = None) -> None:
+                       drop: Sequence[str] = (), columns: Sequence[str] | None = None,
+                       only: str | None = None, files: int | None = None) -> None:
     """Replace, in the target, exactly the partitions present in the staged
-    copy (dynamic partition overwrite); untouched partitions stay."""
+    copy (dynamic partition overwrite); untouched partitions stay.
+
+    ``only`` publishes just that partition value (the staged read is pruned
+    to it); ``files`` re-splits those rows into that many files, for a
+    partition whose rows are few but spread over every task of the diff."""
     staged = spark.read.parquet(staged_path)
+    if only is not None:
+        staged = staged.where(F.col(quote(partition_col)) == F.lit(only).cast("date"))
     if drop:
         staged = staged.drop(*drop)
     if columns is not None:
         staged = staged.select(*[F.col(quote(c)) for c in columns])
+    if files:
+        staged = staged.repartition(files)
     (staged.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col)
