@@ -4,13 +4,13 @@ shared scratch folder every job must use for staged data.
 On a cluster the scratch root is the folder named by ``spark.checkpoint.dir``
 (shared storage every executor can reach). It is read from the session; only
 callers that own the session (tests, bench, the driver hook) may set one when
-it is unset. Library code never falls back to a machine-local folder.
+it is unset, and then under the SQL warehouse, which is shared as well.
+Library code never falls back to a machine-local folder.
 """
 
 from __future__ import annotations
 
 import hashlib
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -73,16 +73,14 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_root(spark: SparkSession) -> str:
-    """Return the shared scratch root. Only a local-mode session without one
-    (tests, benchmarks) gets a private folder; on a cluster an unset
-    ``spark.checkpoint.dir`` is an error, never a machine-local fallback."""
+    """Return the shared scratch root and make sure ``DataFrame.checkpoint``
+    uses it. A session that names none gets a folder under its SQL warehouse,
+    which driver and executors share; a machine-local folder is never used."""
     root = checkpoint_root(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
     return root
 
 
