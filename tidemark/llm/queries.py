@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .line_dedup import dedup_lines
 from .mixing import mix_to_weights
 from .near_dedup import near_dedup
+from .pii import pseudonymise
 from .quality import quality_verdicts
+from .secret_scan import scan_secrets
 from .sentencepiece_codec import token_digests
 from .shard import external_shuffle
 from .url_filter import judge_urls
@@ -43,6 +47,14 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts without covered lines, and what was removed: the number of
+    lines, and the intervals as first-last, comma-joined."""
+    cut = F.array_join(F.transform("cut", lambda x: F.concat_ws("-", x["s"], x["e"])), ",")
+    return (dedup_lines(table(spark, sf_dir, "documents"))
+            .select("doc_id", "text", "n_lines", "n_removed", F.coalesce(cut, F.lit("")).alias("removed")))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
@@ -51,6 +63,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return external_shuffle(table(spark, sf_dir, "documents")).drop("bucket", "rid")
 
@@ -59,6 +75,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_weights(table(spark, sf_dir, "documents")).drop("rid")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_quality_rules, op3_url_filter, op5_minhash_near_dedup, op6_sentencepiece,
-    op8_sharding, op9_mixing)}
+    op1_exact_dedup, op2_quality_rules, op3_url_filter, op4_line_dedup, op5_minhash_near_dedup,
+    op6_sentencepiece, op7_pii, op8_sharding, op9_mixing, op10_secret_scan)}
