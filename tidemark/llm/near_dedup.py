@@ -12,10 +12,11 @@ documents are linked when 100 * |A & B| >= 75 * |A | B|.
   need no links among themselves.
 * Band buckets hold classes. Members of a bucket are compared with a pivot,
   and the links found join classes to components. Two members of one component
-  need no further test. This is repeated with other pivots; then every pair of
-  bucket members that is still apart, and was not yet tested, is tested. So no
-  bucket is capped and no link between components is lost, and a bucket of n
-  near copies costs about n tests instead of n^2.
+  need no further test. This is repeated with better pivots; then every pair of
+  bucket members that is still apart is tested, unless the shingles each has
+  for itself alone prove that the two cannot be similar. So no bucket is capped
+  and no link between components is lost, and a bucket of n near copies costs
+  about n tests instead of n^2.
 * Every link is confirmed on the full sets of 64-bit shingle hashes.
 
 Defined results: NULL, empty and blank texts have no set, are linked with
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +43,8 @@ from .components import connected_components
 SHINGLE = 5
 SIMILAR = 75                    # percent
 PERMUTATIONS, BANDS, ROWS = 64, 32, 4
-PIVOT_ROUNDS = 3
+BITMAP = 8                      # longs per bitmap of shingles
+BITS = [f"b{i}" for i in range(BITMAP)]
 MEMO = 400_000                  # word hashes remembered per task
 
 _RNG = np.random.default_rng(20240601)
@@ -132,9 +135,71 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                                   >= (F.col("total") - F.col("common")) * SIMILAR).alias("linked"))
 
 
-def _sizes_fit(x: str, y: str) -> Column:
-    """Sets can only be similar when the smaller has 75% of the larger's size."""
-    return (F.least(x, y) * 100 >= F.greatest(x, y) * SIMILAR)
+def _similar_enough(most: Column, n: Column, m: Column) -> Column:
+    return most * 100 >= (n + m - most) * SIMILAR
+
+
+def _may_link(n: Column, m: Column) -> Column:
+    """False only if sets of n and m shingles cannot be similar for their sizes."""
+    return _similar_enough(F.least(n, m), n, m)
+
+
+def _may_share(mine: str, other: str) -> Column:
+    """False only if the two rows, given by the prefixes of their columns,
+    cannot be similar: what they have in common lies in the shingles that
+    others have too (n - u of them), without those whose bit the other one's
+    bitmap lacks. The cheap half of the test is evaluated first."""
+    def shared(a: str) -> Column:
+        return F.col(a + "n") - F.col(a + "u")
+
+    def lacking(a: str, b: str) -> Column:
+        bits = [F.bit_count(F.col(f"{a}b{i}").bitwiseAND(F.bitwise_not(F.col(f"{b}b{i}"))))
+                for i in range(BITMAP)]
+        return sum(bits[1:], bits[0])
+
+    n, m = F.col(mine + "n"), F.col(other + "n")
+    return (_similar_enough(F.least(shared(mine), shared(other)), n, m)
+            & _similar_enough(shared(mine) - lacking(mine, other), n, m)
+            & _similar_enough(shared(other) - lacking(other, mine), n, m))
+
+
+def _rows_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for cid, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            s = np.frombuffer(data.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), cid)), pa.array(s)],
+                                             names=["cid", "shingle"])
+
+
+def _bounds(sets: pd.Series, own: pd.Series) -> pd.DataFrame:
+    """u: the number of shingles in ``own``; bits: a bitmap of all the others."""
+    out = []
+    for data, mine in zip(sets, own, strict=True):
+        s = np.frombuffer(data, np.uint64)
+        if mine is not None:
+            s = np.setdiff1d(s, np.asarray(mine, np.int64).view(np.uint64), assume_unique=True)
+        bits = np.zeros(BITMAP, np.uint64)
+        np.bitwise_or.at(bits, (s >> np.uint64(6)) % np.uint64(BITMAP),
+                         np.uint64(1) << (s & np.uint64(63)))
+        out.append((0 if mine is None else len(mine), *bits.view(np.int64).tolist()))
+    return pd.DataFrame(out, columns=["u", *BITS])
+
+
+def _with_bounds(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``members`` with u, the number of shingles that no other class among
+    them has, and a bitmap of the other shingles; without the rows that cannot
+    be linked inside their bucket, whatever the other member."""
+    used = checkpointed(sets.join(members.select("cid").distinct(), "cid", "left_semi"))
+    own = (used.select("cid", "shingles").mapInArrow(_rows_of_sets, "cid long, shingle long")
+           .groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("cid").alias("cid"))
+           .filter("k = 1").groupBy("cid").agg(F.collect_list("shingle").alias("own")))
+    bounds = F.pandas_udf(_bounds, ", ".join(f"{c} long" for c in ("u", *BITS)))
+    known = used.join(own, "cid", "left").select("cid", bounds("shingles", "own").alias("b"))
+    least = members.groupBy("key").agg(F.min("n").alias("least"))
+    shared = F.col("n") - F.col("u")
+    return (members.join(known.select("cid", "b.*"), "cid").join(least, "key")
+            .filter((shared >= F.col("least")) | _similar_enough(shared, F.col("n"), F.col("least")))
+            .select("key", "cid", "n", "u", *BITS))
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -147,31 +212,60 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
                         .select("cid", F.coalesce("component", "comp").alias("comp")))
 
 
+def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of buckets that still hold several components, with ``comp``."""
+    here = members.join(labels, "cid")
+    mixed = (here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter("lo <> hi").select("key"))
+    return checkpointed(here.join(mixed, "key", "left_semi"))
+
+
+def _outside_main(here: DataFrame) -> DataFrame:
+    """The rows of each bucket that are not in its largest component."""
+    sizes = here.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("k", "comp")).alias("main"))
+    return (here.join(main, "key").filter(F.col("comp") != F.col("main.comp")).drop("main"))
+
+
+def _pivots(here: DataFrame, *first: Column) -> DataFrame:
+    """One row per bucket, the first by ``first``, then by hash."""
+    rest = [c for c in here.columns if c != "key"]
+    order = F.struct(*first, F.xxhash64("cid").alias("_h"), *rest)
+    return (here.groupBy("key").agg(F.min(order).alias("p"))
+            .select("key", *[F.col(f"p.{c}").alias(c) for c in rest]))
+
+
 def _class_components(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(cid, comp) of all classes that share a bucket. ``members``: key, cid, n."""
+    """(cid, comp) of all classes that share a bucket. ``members``: key, cid, n.
+
+    Turn 0 takes any pivot per bucket and settles most of them. Then the
+    shingles that a class shares with no other are found, which bounds every
+    similarity from above. Turn 1 takes the pivot with the smallest such share,
+    the text that the others were made from; turn 2 the same outside the
+    bucket's largest component; the last turn all that is left outside it."""
     labels = checkpointed(members.select("cid").distinct().withColumn("comp", F.col("cid")))
     tested = None
-    for turn in range(PIVOT_ROUNDS + 1):
-        here = members.join(labels, "cid")
-        mixed = (here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .filter("lo <> hi").select("key"))
-        members = checkpointed(members.join(mixed, "key", "left_semi"))   # the rest is settled
-        if members.isEmpty():
+    for turn in range(4):
+        here = _unsettled(members, labels)
+        if turn == 1 and not here.isEmpty():
+            here = _unsettled(_with_bounds(here.drop("comp"), sets), labels)
+        if here.isEmpty():
             break
-        here = members.join(labels, "cid")
-        if turn < PIVOT_ROUNDS:
-            order = F.xxhash64(F.lit(turn), "cid")
-            pivots = (here.groupBy("key").agg(F.min(F.struct(order.alias("o"), "cid", "comp", "n"))
-                                              .alias("p")).select("key", "p.cid", "p.comp", "p.n"))
-        else:                      # all that lie outside the bucket's largest component
-            per = here.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
-            main = per.groupBy("key").agg(F.max(F.struct("k", "comp")).alias("m"))
-            pivots = (here.join(main, "key").filter(F.col("comp") != F.col("m.comp"))
-                      .select("key", "cid", "comp", "n"))
-        pivots = pivots.toDF("key", "pcid", "pcomp", "pn")
-        pairs = (here.join(pivots, "key")
-                 .filter((F.col("comp") != F.col("pcomp")) & _sizes_fit("n", "pn"))
-                 .select(F.least("cid", "pcid").alias("a"), F.greatest("cid", "pcid").alias("b"))
+        members = here.drop("comp")
+        if turn == 0:
+            pivots = _pivots(here)
+        elif turn == 1:
+            pivots = _pivots(here, F.col("u") / F.col("n"))
+        elif turn == 2:
+            pivots = _pivots(_outside_main(here), F.col("u") / F.col("n"))
+        else:
+            pivots = _outside_main(here)
+        pivots = pivots.select("key", *[F.col(c).alias("p_" + c) for c in here.columns if c != "key"])
+        may = _may_link(F.col("n"), F.col("p_n"))
+        if turn:
+            may = may & _may_share("", "p_")
+        pairs = (here.join(pivots, "key").filter((F.col("comp") != F.col("p_comp")) & may)
+                 .select(F.least("cid", "p_cid").alias("a"), F.greatest("cid", "p_cid").alias("b"))
                  .distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
