@@ -22,6 +22,8 @@ whose totals are summed first.
 Defined results: NULL or empty text has size 0 and takes nothing; NULL is a
 source of its own; repeated rows each count; an empty table gives no rows. The
 row number and the shuffle hash are fixed by writing the small columns once.
+The joins on blocks and chunks grow with the data and are merge joins; left to
+itself, the planner takes the expanded tables for as small as their sources.
 """
 
 from __future__ import annotations
@@ -114,7 +116,7 @@ def schedule(src: DataFrame, block: int) -> DataFrame:
               .withColumn("before", F.sum("k").over(Window.partitionBy("sid").orderBy("chunk"))
                           - F.col("k")).drop("k"))
     rank = F.row_number().over(Window.partitionBy("sid", "chunk").orderBy("slot")) - 1
-    ranked = (points.withColumn("in_chunk", rank).join(before, ["sid", "chunk"])
+    ranked = (points.withColumn("in_chunk", rank).join(before.hint("merge"), ["sid", "chunk"])
               .withColumn("rank", F.col("before") + F.col("in_chunk"))
               .withColumn("epoch", _div(F.col("rank"), F.col("in_pass")))
               .withColumn("block", F.col("rank") - F.col("epoch") * F.col("in_pass")))
@@ -135,7 +137,7 @@ def blocks(rows: DataFrame, block: int, n_rows: int) -> DataFrame:
               .withColumn("before", F.sum("words").over(Window.partitionBy("sid").orderBy("chunk"))
                           - F.col("words")).drop("words"))
     run = F.sum("size").over(Window.partitionBy("sid", "chunk").orderBy("h", "rid"))
-    laid = (rows.withColumn("in_chunk", run - F.col("size")).join(before, ["sid", "chunk"])
+    laid = (rows.withColumn("in_chunk", run - F.col("size")).join(before.hint("merge"), ["sid", "chunk"])
             .withColumn("doc_start", F.col("before") + F.col("in_chunk"))
             .withColumn("doc_end", F.col("doc_start") + F.col("size")))
     first = _div(F.col("doc_start"), block)
@@ -166,7 +168,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "rid", "doc_id", rows["source"], "size", "sid", "source_size", "target")
     cut = blocks(known, block, n)
     slots = schedule(src, block)
-    pieces = (cut.join(slots, ["sid", "block"]).withColumn("end", F.least("end", "upto"))
+    pieces = (cut.join(slots.hint("merge"), ["sid", "block"]).withColumn("end", F.least("end", "upto"))
               .filter("end > start")
               .select("slot", "sid", "rank", "rid", (F.col("start") - F.col("doc_start")).alias("start"),
                       (F.col("end") - F.col("doc_start")).alias("end")))
