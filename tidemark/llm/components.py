@@ -1,4 +1,4 @@
-"""Connected components by alternating large-star and small-star steps."""
+"""Connected components by smallest labels and pointer jumping."""
 
 from __future__ import annotations
 
@@ -8,32 +8,30 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")))
-                 .first())
-
-
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (long columns a, b): the
-    component is its smallest node. Every step is a minimum per node, combined
-    before the shuffle, and one join; hubs get no list of their neighbours.
-    The number of rounds grows with the logarithm of the longest path."""
-    edges = checkpointed(links.filter("a <> b")
-                         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                         .distinct())
-    state = _state(edges)
-    while state[0]:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = (both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .filter("a <> b").distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low, "a")
-        small = (joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(low.select("a", F.col("m").alias("b"))).distinct())
-        edges = checkpointed(small)
-        state, before = _state(edges), state
-        if state == before:
-            break
-    heads = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(heads)
+    component is its smallest node.
+
+    A label is always a node of the same component. Each round takes the
+    smallest label among a node's neighbours (a minimum, combined before the
+    shuffle, so hubs get no list) and then the label of that label. When a
+    round changes nothing, all ends of links agree, and on their smallest node.
+    The number of rounds grows with the logarithm of the longest path; stars
+    need one, and one to see it."""
+    both = checkpointed(links.select("a", "b").unionByName(
+        links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    labels = checkpointed(both.groupBy(F.col("a").alias("node"))
+                          .agg(F.min("b").alias("near"))
+                          .select("node", F.least("node", "near").alias("component")))
+    while True:
+        near = (both.join(labels.withColumnRenamed("node", "b"), "b")
+                .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near")))
+        lower = (labels.join(near, "node")
+                 .select("node", F.col("component").alias("was"),
+                         F.least("component", "near").alias("component")))
+        heads = labels.select(F.col("node").alias("component"), F.col("component").alias("head"))
+        after = checkpointed(lower.join(heads, "component")
+                             .select("node", "was", F.least("component", "head").alias("component")))
+        labels = after.select("node", "component")
+        if after.filter("was <> component").isEmpty():
+            return labels

@@ -124,15 +124,15 @@ def _common(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with ``linked``, from the full sets."""
+    """The ``pairs`` (a, b) that are similar by their full sets."""
     one = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb"))
     common = F.pandas_udf(_common, "long")
     both = (pairs.join(one, "a").join(two, "b")
             .select("a", "b", common("sa", "sb").alias("common"),
                     (F.octet_length("sa") / 8 + F.octet_length("sb") / 8).alias("total")))
-    return both.select("a", "b", (F.col("common") * 100
-                                  >= (F.col("total") - F.col("common")) * SIMILAR).alias("linked"))
+    return both.filter(F.col("common") * 100
+                       >= (F.col("total") - F.col("common")) * SIMILAR).select("a", "b")
 
 
 def _similar_enough(most: Column, n: Column, m: Column) -> Column:
@@ -199,15 +199,18 @@ def _with_bounds(members: DataFrame, sets: DataFrame) -> DataFrame:
     shared = F.col("n") - F.col("u")
     return (members.join(known.select("cid", "b.*"), "cid").join(least, "key")
             .filter((shared >= F.col("least")) | _similar_enough(shared, F.col("n"), F.col("least")))
-            .select("key", "cid", "n", "u", *BITS))
-
-
-def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` (cid, comp) after the components that ``links`` connect are one."""
-    at = labels.select(F.col("cid").alias("a"), F.col("comp").alias("ca"))
-    to = labels.select(F.col("cid").alias("b"), F.col("comp").alias("cb"))
-    edges = links.join(at, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    new = connected_components(edges).withColumnRenamed("node", "comp")
+            .select("key", "cid", "n", "comp", "u", *BITS))
+
+
+def _joined(labels: DataFrame, links: DataFrame, first: bool) -> DataFrame:
+    """``labels`` (cid, comp) after the components that ``links`` connect are
+    one. At first every class is its own component."""
+    if not first:
+        at = labels.select(F.col("cid").alias("a"), F.col("comp").alias("ca"))
+        to = labels.select(F.col("cid").alias("b"), F.col("comp").alias("cb"))
+        links = (links.join(at, "a").join(to, "b")
+                 .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    new = connected_components(links).withColumnRenamed("node", "comp")
     return checkpointed(labels.join(new, "comp", "left")
                         .select("cid", F.coalesce("component", "comp").alias("comp")))
 
@@ -241,23 +244,22 @@ def _class_components(members: DataFrame, sets: DataFrame) -> DataFrame:
     Turn 0 takes any pivot per bucket and settles most of them. Then the
     shingles that a class shares with no other are found, which bounds every
     similarity from above. Turn 1 takes the pivot with the smallest such share,
-    the text that the others were made from; turn 2 the same outside the
-    bucket's largest component; the last turn all that is left outside it."""
+    the text that the others were made from; turn 2 all that is left outside
+    the bucket's largest component."""
     labels = checkpointed(members.select("cid").distinct().withColumn("comp", F.col("cid")))
-    tested = None
-    for turn in range(4):
-        here = _unsettled(members, labels)
-        if turn == 1 and not here.isEmpty():
-            here = _unsettled(_with_bounds(here.drop("comp"), sets), labels)
+    here = members.withColumn("comp", F.col("cid"))       # every bucket has several classes
+    for turn in range(3):
+        if turn:
+            here = _unsettled(members, labels)
         if here.isEmpty():
             break
+        if turn == 1:
+            here = checkpointed(_with_bounds(here, sets))
         members = here.drop("comp")
         if turn == 0:
             pivots = _pivots(here)
         elif turn == 1:
             pivots = _pivots(here, F.col("u") / F.col("n"))
-        elif turn == 2:
-            pivots = _pivots(_outside_main(here), F.col("u") / F.col("n"))
         else:
             pivots = _outside_main(here)
         pivots = pivots.select("key", *[F.col(c).alias("p_" + c) for c in here.columns if c != "key"])
@@ -267,14 +269,9 @@ def _class_components(members: DataFrame, sets: DataFrame) -> DataFrame:
         pairs = (here.join(pivots, "key").filter((F.col("comp") != F.col("p_comp")) & may)
                  .select(F.least("cid", "p_cid").alias("a"), F.greatest("cid", "p_cid").alias("b"))
                  .distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        result = checkpointed(_confirmed(pairs, sets))
-        links = result.filter("linked").select("a", "b")
-        apart = result.filter("not linked").select("a", "b")
-        tested = apart if tested is None else tested.unionByName(apart)
+        links = checkpointed(_confirmed(pairs, sets))
         if not links.isEmpty():
-            labels = _joined(labels, links)
+            labels = _joined(labels, links, turn == 0)
     return labels
 
 
@@ -290,9 +287,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = checkpointed(
         signed.filter("n_shingles > 0").groupBy("set_key")
         .agg(F.min("rid").alias("cid"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid"))
-             .alias("first"), F.first("n_shingles").alias("n")))
-    bands = (classes.select("cid", "n").join(signed.select(F.col("rid").alias("cid"), "bands"), "cid")
-             .select("cid", "n", F.explode("bands").alias("key")))
+             .alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
+    bands = classes.select("cid", "n", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
     members = checkpointed(bands.join(shared, "key", "left_semi"))
     wanted = members.select(F.col("cid").alias("rid")).distinct()
@@ -300,7 +296,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                         .select(F.col("rid").alias("cid"), F.pandas_udf(_sets, "binary")("text").alias("shingles")))
     labels = _class_components(members, sets)
 
-    named = (classes.join(labels, "cid", "left")
+    named = (classes.select("set_key", "first", "cid").join(labels, "cid", "left")
              .select("set_key", "first", F.coalesce("comp", "cid").alias("comp")))
     heads = named.groupBy("comp").agg(F.min("first").alias("head"))
     named = named.join(heads, "comp").select("set_key", F.col("head.doc_id").alias("component_id"),
