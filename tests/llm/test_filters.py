@@ -1,0 +1,200 @@
+"""Quality rules, URL trie, secret scan and pseudonyms."""
+
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from oracle import duck
+
+from tidemark.llm.pii import pseudonymise
+from tidemark.llm.quality import (BAD, GOOD, RULES, fit_label_model, keep_good, quality_verdicts,
+                                  repeated_window_words, text_stats)
+from tidemark.llm.queries import URL_RULES
+from tidemark.llm.secret_scan import scan_secrets
+from tidemark.llm.url_filter import UrlTrie, judge_urls
+
+SF01 = "/root/testdata/sf0.01"
+
+# ---------------------------------------------------------------- quality
+
+
+def brute_stats(t):
+    t = t or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    win = collections.Counter(tuple(w[k:k + 8]) for k in range(len(w) - 7))
+    cover = {k + j for k in range(len(w) - 7) if win[tuple(w[k:k + 8])] > 1 for j in range(8)}
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"),
+            len(lines) - len(set(lines)), len(cover))
+
+
+def test_text_stats_equal_brute_force():
+    rng = random.Random(3)
+    texts = ["", None, " ", "\u00a0x\u2003y", "a\x1cb \x85", "é È\n\né È\n é È", "# " * 50]
+    texts += [" ".join(rng.choice("abcd") for _ in range(rng.randrange(200)))
+              + rng.choice(["", "\n"]) * 3 for _ in range(200)]
+    for t in texts:
+        assert text_stats(t)[:5] == brute_stats(t), t
+
+
+def test_windows_of_a_long_text():
+    ids = np.tile(np.arange(100), 300)
+    assert repeated_window_words(ids) == len(ids)
+    assert repeated_window_words(np.arange(50_000)) == 0
+
+
+def test_label_model_separates_the_classes():
+    rng = random.Random(5)
+    n, votes = len(RULES), collections.Counter()
+    truth = {}
+    for _ in range(4000):
+        good = rng.random() < 0.8
+        v = [GOOD if rng.random() < (0.9 if good else 0.5) else
+             (1 if good or rng.random() < 0.3 else BAD) for _ in range(n)]
+        code = sum(x * 3 ** i for i, x in enumerate(v))
+        votes[code] += 1
+        truth.setdefault(code, collections.Counter())[good] += 1
+    m = fit_label_model(dict(votes), n)
+    right = 0
+    for code, c in votes.items():
+        logit = np.log(m.good / (1 - m.good)) + sum(
+            np.log(t[1][code // 3 ** i % 3] / t[0][code // 3 ** i % 3])
+            for i, t in enumerate(m.by_rule))
+        right += truth[code][logit > 0]
+    assert right / 4000 > 0.95 and abs(m.good - 0.8) < 0.05
+
+
+def test_labels_agree_with_the_verdicts(spark):
+    verdicts = {r.doc_id: r for r in quality_verdicts(
+        spark.read.parquet(f"{SF01}/documents.parquet")).collect()}
+    for doc_id, quality in duck(SF01).sql("select doc_id, quality from labels").fetchall():
+        r = verdicts[doc_id]
+        assert r.kept == (quality == 1 and not r.base_failed)
+
+
+def test_quality_of_odd_rows(docs_of):
+    rows = [(1, None), (2, ""), (3, "x " * 30_000), (None, "a b"), (1, None)]
+    got = quality_verdicts(docs_of(rows)).collect()
+    assert len(got) == 5 and not any(r.kept for r in got) and all(r.base_failed for r in got)
+    assert keep_good(docs_of(rows)).collect() == []
+    assert quality_verdicts(docs_of([])).collect() == []
+
+
+# -------------------------------------------------------------------- URL
+
+def brute_url(u):
+    host = path = ""
+    if u and "://" in u:
+        host, path = re.match(r"([^/?#]*)([^?#]*)", u.split("://", 1)[1]).groups()
+        host = re.sub("[A-Z]", lambda m: m.group().lower(), host)
+    fit = [(len(h), len(q), v, h + q) for v, h, q in URL_RULES
+           if (host == h or host.endswith("." + h)) and path.startswith(q)]
+    best = max(fit) if fit else (0, 0, "allow", None)
+    return host, path, best[3], best[2]
+
+
+def test_urls_equal_brute_force(spark):
+    urls = [None, "", "example.org/es/", "http://EXAMPLE.org/es/", "x://example.org/es",
+            "http://a.b.example.org/en/12?x", "http://notexample.org/en/1", "http://org/",
+            "http://org", "http://org?/", "http://com/fr/x#y", "http://a.com/de/", "http://a.com/d",
+            "http://é.com/de/é/", "://com/de/", "http://x://com/de/", "http://example.org/en//1",
+            "http://u@example.org:80/en/1", "http://example.org./en/1", "http://a\n.org/x\ny",
+            "http://" + "a." * 5000 + "org/" + "p/" * 5000]
+    df = spark.createDataFrame([(i, u, "html") for i, u in enumerate(urls)],
+                               "page_id long, url string, rule string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge_urls(df, URL_RULES).collect()}
+    assert got == {i: brute_url(u) for i, u in enumerate(urls)}
+
+
+def test_trie_prefers_the_longest():
+    t = UrlTrie([("allow", "a.b", ""), ("block", "a.b", "/x"), ("allow", "a.b", "/x/y"),
+                 ("block", "b", "/x/y/z")])
+    assert [t.find("c.a.b", p)[1] for p in ("/", "/x9", "/x/y", "/x/y/z")] == [
+        "a.b", "a.b/x", "a.b/x/y", "a.b/x/y"]
+    assert t.find("b", "/x/y/z0") == ("block", "b/x/y/z") and t.find("b", "/x") is None
+    with pytest.raises(ValueError):
+        UrlTrie([("allow", "a", "/"), ("block", "a", "/")])
+
+
+# ---------------------------------------------------------------- secrets
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+                    r"""([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def brute_spans(t):
+    t = t or ""
+    s = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(t) if len(m.group(2)) >= 12]
+    s += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t)
+          if len(m.group()) >= 18]
+    s += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m.group()) >= 16]
+    return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(s))
+
+
+def test_base_spans_equal_brute_force(docs_of):
+    rng = random.Random(9)
+    parts = ["token = \"", "PASSWORD:", "api_key='", "apikey=", "é🙂", " ", "\n", "AKIA", "ABCDEFGH12345678",
+             "0123456789abcdef", "deadbeef", "secret", "=", "xyz.-_/+", "Z9"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(12)))) for i in range(300)]
+    rows += [(1000, None), (1001, ""), (1002, "a" * 100_000), (1003, "token: password: abcdefghijklmn"),
+             (1004, "\u017fecret=abcdefghijklmnop")]
+    texts = dict(rows)
+    for r in scan_secrets(docs_of(rows)).collect():
+        want = brute_spans(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+        assert ",".join(x for x in r.spans.split(",") if x and not x.startswith("random")) == want
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(want.count(k + ":") for k in
+                                                          ("assign", "access", "hex"))
+
+
+def test_random_tokens_are_added_and_words_are_not(docs_of):
+    import string
+    rng = random.Random(4)
+    good = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(44)) for _ in range(40)]
+    bad = ["chapter/section/paragraph/line/2024/" + "a" * k for k in range(10, 50)]
+    rows = [(i, f"see {x} here") for i, x in enumerate(good + bad)] + [(500, "Donaudampfschifffahrtsgesellschaft")]
+    got = {r.doc_id: r.n_random for r in scan_secrets(docs_of(rows)).collect()}
+    assert sum(got[i] for i in range(40)) >= 38
+    assert sum(got[i] for i in range(40, 80)) == 0 and got[500] == 0
+
+
+# -------------------------------------------------------------------- PII
+
+def luhn(d):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def test_pseudonyms_keep_format_and_links(docs_of):
+    text = ("a 4068516892505468, 4068-5168-9250-5468 +1 (555) 555-5657 132.201.103.247 "
+            "x.y9@mail2.example.com 2024-02-29 123-45-6789 +4915112345678 02/30/2001 4068516892505469")
+    rows = [(1, text), (2, "again " + text.upper()), (3, None), (4, ""), (5, "no data " * 20_000)]
+    got = {r.doc_id: r for r in pseudonymise(docs_of(rows)).collect()}
+    new = got[1].text
+    assert re.sub("[0-9]", "9", new.split("132")[0])[:20] == re.sub("[0-9]", "9", text)[:20]
+    for old in ("4068516892505468", "555-5657", "132.201.103.247", "x.y9@", "2024-02-29", "123-45-6789"):
+        assert old not in new
+    assert "02/30/2001" in new and "4068516892505469" in new          # do not validate
+    card = re.search(r"\d{16}", new).group()
+    assert luhn(card) and card in got[2].text
+    assert card == re.search(r"\d{4}-\d{4}-\d{4}-\d{4}", new).group().replace("-", "")
+    mail = re.search(r"\S+@\S+", new).group()
+    assert mail.upper() in got[2].text
+    assert got[3].text is None and got[4].text == "" and got[5].text == rows[4][1]
+    assert (got[1].n_found, got[5].n_found) == (8, 0)
+
+
+def test_pseudonyms_are_a_permutation(docs_of):
+    ips = [f"10.0.{i // 256}.{i % 256}" for i in range(600)]
+    days = [f"19{y:02d}-{m:02d}-17" for y in range(30, 80) for m in range(1, 13)]
+    rows = list(enumerate(ips + days))
+    out = {r.doc_id: r.text for r in pseudonymise(docs_of(rows)).collect()}
+    assert len(set(out.values())) == 1200
+    assert sum(out[i] == t for i, t in rows) <= 2
+    assert all(re.fullmatch(r"19[3-9]\d-\d\d-\d\d|20[0-2]\d-\d\d-\d\d", out[i]) for i in range(600, 1200))
+
+
+def test_empty_tables(docs_of):
+    assert pseudonymise(docs_of([])).collect() == [] and scan_secrets(docs_of([])).collect() == []
