@@ -118,12 +118,11 @@ def test_staging_mismatch_is_detected(spark, tmp_root):
         verify_staged(spark, path, "_change", {"I": 2, "U": 1, "_total": 3})
 
 
-def test_without_backup_and_original_entry_point(spark, tmp_root):
-    from tidemark.plans.cdc_job import incremental_insert_update
+def test_without_backup(spark, tmp_root):
     from tidemark.sources.files import path_exists
     p = TablePaths(tmp_root, "t")
     snap(spark, [("a", 1, "1"), ("b", 2, "2")]).write.parquet(p.prep)
-    r1 = incremental_insert_update(spark, "t", "k", tmp_root, None, as_of="2024-05-01",
+    r1 = run_cdc(spark, "t", "k", tmp_root, as_of="2024-05-01",
                                    load_ts="2024-05-01 00:00:00", backup=False)
     assert r1["status"] == "initial_load" and r1["I"] == 2
     snap(spark, [("a", 1, "1"), ("b", 3, "3")]).write.mode("overwrite").parquet(p.prep)

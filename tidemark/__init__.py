@@ -5,7 +5,6 @@ Subpackages:
   operators  DataFrame -> DataFrame operators (checks, dedupe, diff, SCD 0/1/2)
   sources    Parquet / catalog / JDBC readers and writers, derived snapshot pairs
   plans      jobs with I/O (CDC publish protocol, SCD loads), registered queries
-  streaming  (empty: the toolkit works on complete snapshots)
 
 The names below are the public API.
 """
@@ -17,7 +16,7 @@ from .operators import (Stamps, classify, close_history, count_check, count_valu
                         filtered_rows, full_table, initial_load, inverted_intervals,
                         new_versions, next_state, prepare_snapshot, rebuild_current,
                         row_count, scd0, scd1, scd2, split_rejected)
-from .plans.cdc_job import incremental_insert_update, republish, run_cdc
+from .plans.cdc_job import republish, run_cdc
 from .plans.scd_job import run_scd, run_scd_jdbc, run_scd_parquet
 
 __version__ = "0.1.0"
@@ -28,6 +27,6 @@ __all__ = [
     "dedupe", "deleted", "diff_flags", "duplicate_check", "duplicate_groups", "filtered_rows",
     "full_table", "initial_load", "inverted_intervals", "new_versions", "next_state",
     "prepare_snapshot", "rebuild_current", "row_count", "scd0", "scd1", "scd2",
-    "split_rejected", "incremental_insert_update", "republish", "run_cdc", "run_scd", "run_scd_jdbc",
+    "split_rejected", "republish", "run_cdc", "run_scd", "run_scd_jdbc",
     "run_scd_parquet",
 ]

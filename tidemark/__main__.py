@@ -1,7 +1,8 @@
 """Command line, for ``python -m tidemark ...`` or
 ``spark-submit --py-files tidemark.zip tidemark/__main__.py ...``:
 
-  cdc --table T --keys K1,K2 --root ROOT [--database DB] [--as-of D] [--no-backup]
+  cdc --table T --keys K1,K2 --root ROOT [--database DB] [--as-of D] [--load-ts T]
+      [--compare C1,C2] [--order-by C1,C2] [--rows-per-file N] [--no-backup] [--evolve]
   republish --table T --root ROOT [--database DB]
   scd --kind 0|1|2 --url URL --source S --target T --keys K [--compare C1,C2]
       [--partition-column C] [--num-partitions N] [--prop key=value ...] [--as-of D]
@@ -18,6 +19,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from tidemark.session import CLUSTER_CONF
+
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tidemark")
@@ -28,7 +31,12 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--root", required=True)
     c.add_argument("--database")
     c.add_argument("--as-of")
+    c.add_argument("--load-ts")
+    c.add_argument("--compare", help="comma-separated compare columns (default: the fingerprint)")
+    c.add_argument("--order-by", help="comma-separated tie-break columns of the dedupe")
+    c.add_argument("--rows-per-file", type=int, default=5_000_000)
     c.add_argument("--no-backup", action="store_true")
+    c.add_argument("--evolve", action="store_true", help="go on when stored columns are missing")
     r = sub.add_parser("republish", help="complete a failed CDC publish from its staged copy")
     r.add_argument("--table", required=True)
     r.add_argument("--root", required=True)
@@ -47,10 +55,17 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tidemark-{a.cmd}").getOrCreate()
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in CLUSTER_CONF.items():         # defaults; what the user set stays
+        if key not in given:
+            spark.conf.set(key, value)
     if a.cmd == "cdc":
         from tidemark.plans.cdc_job import run_cdc
         out = run_cdc(spark, a.table, a.keys, a.root, database=a.database, as_of=a.as_of,
-                      backup=not a.no_backup)
+                      backup=not a.no_backup, load_ts=a.load_ts, evolve=a.evolve,
+                      compare=a.compare.split(",") if a.compare else None,
+                      order_by=a.order_by.split(",") if a.order_by else None,
+                      rows_per_file=a.rows_per_file)
     elif a.cmd == "republish":
         from tidemark.plans.cdc_job import republish
         republish(spark, a.table, a.root, database=a.database)

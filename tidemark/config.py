@@ -33,3 +33,4 @@ TARGET_DIR = "tgt"
 STAGE_DIR = "temp"
 BACKUP_DIR = "currbackup"
 REJECT_DIR = "rejected"
+RUNS_DIR = "runs"

@@ -9,6 +9,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from .keys import as_list, resolve
 from .sqltext import ident, string_lit
@@ -29,6 +30,8 @@ def cast_to_date(df: DataFrame, columns: str | Iterable[str], date_format: str,
     """Parse the given text columns to dates with a Spark datetime pattern
     such as ``MM-dd-yyyy``.
 
+    Date and timestamp columns are cast, so a second call changes nothing.
+
     ``on_error="null"``: text that does not match gives NULL, whatever the
     session's ANSI setting. ``on_error="raise"``: the first non-NULL text that
     does not parse fails the job, again independent of the ANSI setting.
@@ -39,6 +42,9 @@ def cast_to_date(df: DataFrame, columns: str | Iterable[str], date_format: str,
     exprs = {}
     for name in as_list(columns):
         real = resolve(df, name)
+        if isinstance(df.schema[real].dataType, (DateType, TimestampType, TimestampNTZType)):
+            exprs[real] = F.expr(f"CAST({ident(real)} AS DATE)")     # nothing to parse
+            continue
         src = f"CAST({ident(real)} AS STRING)"
         parsed = f"try_to_date({src}, {fmt})"
         if on_error == "raise":

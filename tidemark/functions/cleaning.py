@@ -19,17 +19,10 @@ from .keys import as_list, resolve
 from .sqltext import ident
 
 
-def normal_string(c: Column) -> Column:
-    """Underscores to spaces, then initcap, then trim, then '' to NULL.
-
-    initcap lower-cases the rest of each space-separated word; trim removes
-    outer U+0020 only; inner runs of spaces stay.
-    """
-    return F.nullif(F.trim(F.initcap(F.regexp_replace(c, "_", " "))), F.lit(""))
-
-
 def normal_string_sql(expr: str) -> str:
-    """``normal_string`` as SQL text over the expression ``expr``."""
+    """Underscores to spaces, then initcap, then trim, then '' to NULL, as SQL
+    text over ``expr``. initcap lower-cases the rest of each space-separated
+    word; trim removes outer U+0020 only; inner runs of spaces stay."""
     return f"nullif(trim(initcap(regexp_replace({expr}, '_', ' '))), '')"
 
 
@@ -45,27 +38,13 @@ def normalize_strings(df: DataFrame, string_columns: str | Iterable[str]) -> Dat
     return df.withColumns(exprs) if exprs else df
 
 
-# Name rule, step by step:
-#   1. strip outer whitespace
-#   2. an underscore between a lower-case ASCII letter and an upper-case one
-#   3. every character outside [A-Za-z0-9_] becomes an underscore
-#   4. runs of underscores become one
-#   5. one trailing underscore is dropped
-#   6. lower case
-# Digits are no word boundary ("col1Name" -> "col1name"); a leading
-# underscore stays ("_private").
-_LOWER_UPPER = re.compile(r"(?<=[a-z])(?=[A-Z])")
-_OUTSIDE = re.compile(r"[^0-9A-Za-z_]")
-_UNDERSCORES = re.compile(r"__+")
-
-
 def normalize_column_name(name: str) -> str:
-    """snake_case form of one column name (pure Python, driver side)."""
-    out = _LOWER_UPPER.sub("_", name.strip())
-    out = _UNDERSCORES.sub("_", _OUTSIDE.sub("_", out))
-    if out.endswith("_"):
-        out = out[:-1]
-    return out.lower()
+    """snake_case form of one column name (pure Python, driver side): words
+    begin where an ASCII capital follows a small letter, each run of anything
+    but ASCII letters and digits becomes one underscore, and one at the end is
+    dropped. Digits do not begin a word; a leading underscore stays."""
+    words = re.sub("([a-z])([A-Z])", r"\1_\2", name.strip())
+    return re.sub(r"[\W_]+", "_", words, flags=re.ASCII).removesuffix("_").lower()
 
 
 def normalize_column_names(df: DataFrame) -> DataFrame:

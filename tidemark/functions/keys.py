@@ -19,7 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, StringType, StructType, ArrayType
 
-MATCH_PREFIX = "_mk"
+MAX_KEYS = 32
+# internal match-key columns, by exact name; a user column of such a name is an error
+MATCH_KEYS = tuple(f"__tidemark_key_{i}" for i in range(MAX_KEYS))
 
 
 def quote(name: str) -> str:
@@ -57,7 +59,17 @@ def field_type(df: DataFrame, name: str) -> DataType:
 
 
 def match_key_names(n: int) -> list[str]:
-    return [f"{MATCH_PREFIX}{i}" for i in range(n)]
+    if n > MAX_KEYS:
+        raise ValueError(f"at most {MAX_KEYS} key columns")
+    return list(MATCH_KEYS[:n])
+
+
+def reject_names(df: DataFrame, names: Iterable[str], why: str) -> None:
+    """Raise if ``df`` has a column of one of ``names`` (any letter case)."""
+    taken = {n.lower() for n in names}
+    hits = [c for c in df.columns if c.lower() in taken]
+    if hits:
+        raise ValueError(f"columns {hits} {why}; rename them first")
 
 
 def match_key_exprs(df: DataFrame, keys: Sequence[str],
@@ -73,7 +85,7 @@ def match_key_exprs(df: DataFrame, keys: Sequence[str],
 
 def with_match_key(df: DataFrame, keys: Sequence[str],
                    normalize: bool = True) -> DataFrame:
-    """Add the ``_mk0.._mkN`` match-key columns."""
+    """Add the match-key columns (``MATCH_KEYS``)."""
     return df.withColumns(match_key_exprs(df, keys, normalize))
 
 
@@ -92,13 +104,6 @@ def differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, [~l.eqNullSafe(r) for l, r in zip(left, right)])
 
 
-def same(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    """True when every pair is equal, NULL-safely (NULL vs NULL is equal)."""
-    if not left:
-        return F.lit(True)
-    return reduce(lambda a, b: a & b, [l.eqNullSafe(r) for l, r in zip(left, right)])
-
-
 def orderable(dt: DataType) -> bool:
     """Whether a type can appear in an ORDER BY (maps cannot)."""
     if isinstance(dt, MapType):

@@ -15,8 +15,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import (as_list, column, match_key_names, orderable,
-                              resolve, with_match_key)
+from ..functions.keys import (MATCH_KEYS, as_list, column, match_key_names, orderable,
+                              reject_names, resolve, with_match_key)
 
 _RANK = "_tm_rank"
 
@@ -28,7 +28,7 @@ def default_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     key_names = [resolve(df, k) for k in keys]
     key_set = set(key_names)
     fields = {f.name: f.dataType for f in df.schema.fields}
-    rest = [f for f in fields if f not in key_set and not f.startswith("_mk")]
+    rest = [f for f in fields if f not in key_set and f not in MATCH_KEYS]
     return [column(c).asc_nulls_first() for c in rest + key_names if orderable(fields[c])]
 
 
@@ -46,9 +46,11 @@ def dedupe(df: DataFrame, keys: str | Iterable[str],
 
     ``normalize``: string key parts match on ``trim(upper(part))`` (the same
     key the snapshot diff joins on). ``order_by`` defaults to all non-key
-    columns ascending, which makes the survivor deterministic.
+    columns ascending, which makes the survivor deterministic but sorts every
+    map task by the whole row; name the columns that decide where there are some.
     """
     keys = as_list(keys)
+    reject_names(df, MATCH_KEYS, "have internal names")
     order = _order_columns(df, order_by) if order_by is not None else default_order(df, keys)
     mk = match_key_names(len(keys))
     keyed = with_match_key(df, keys, normalize)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.keys import (as_list, column, match_key_names,
                               resolve, with_match_key)
-from ..functions.sqltext import ident, named_struct, null_safe_differs, string_lit, type_sql
+from ..functions.sqltext import ident, null_safe_differs, string_lit, type_sql
 from .dedupe import dedupe
 from .keyed_join import full_outer_on_key, pack
 from .snapshot_diff import Stamps, split_rejected
@@ -55,6 +55,23 @@ def _compare(target_data: Sequence[str], keys: Sequence[str], source: DataFrame,
     return [c for c in target_data if c.lower() not in key_set and c.lower() in src]
 
 
+class ColumnMismatch(ValueError):
+    """Source and target of a load have different columns."""
+
+
+def _evolved(source: DataFrame, target: DataFrame, data: Sequence[str], evolve: bool) -> DataFrame:
+    """``target`` with the columns that only the source has (NULL). Source and
+    target must have the same columns unless ``evolve`` is given; then columns
+    that only the target has keep their stored values on changed rows."""
+    src, tgt = {c.lower() for c in source.columns}, {c.lower() for c in data}
+    more = [f for f in source.schema.fields if f.name.lower() not in tgt]
+    gone = [c for c in data if c.lower() not in src]
+    if (more or gone) and not evolve:
+        raise ColumnMismatch(f"only in the source: {[f.name for f in more]}, only in the target: "
+                             f"{gone}; pass evolve=True to keep them all")
+    return target.withColumns({f.name: F.lit(None).cast(f.dataType) for f in more}) if more else target
+
+
 def _join(source: DataFrame, target: DataFrame, keys: Sequence[str], data: Sequence[str],
           types: dict, normalize: bool, dedupe_source: bool, order_by) -> DataFrame:
     mk = match_key_names(len(keys))
@@ -65,9 +82,11 @@ def _join(source: DataFrame, target: DataFrame, keys: Sequence[str], data: Seque
 
 
 def new_keys(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,
-             normalize: bool = False, dedupe_source: bool = True, order_by=None) -> DataFrame:
+             normalize: bool = False, dedupe_source: bool = True, order_by=None,
+             evolve: bool = False) -> DataFrame:
     """Source rows whose key the target lacks, in the target's columns."""
     keys = as_list(keys)
+    target = _evolved(source, target, target.columns, evolve)
     mk = match_key_names(len(keys))
     src = _source(source, keys, normalize, dedupe_source, order_by)
     tgt = with_match_key(target, [resolve(target, k) for k in keys], normalize)
@@ -79,11 +98,12 @@ def new_keys(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,
 
 def scd0(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,
          normalize: bool = False, dedupe_source: bool = True, order_by=None,
-         tag: bool = False) -> DataFrame:
+         evolve: bool = False, tag: bool = False) -> DataFrame:
     """Type 0: the target plus the source rows of keys it lacks. Existing
     rows never change and are never removed."""
+    target = _evolved(source, target, target.columns, evolve)
     fresh = new_keys(source, target, keys, normalize=normalize,
-                     dedupe_source=dedupe_source, order_by=order_by)
+                     dedupe_source=dedupe_source, order_by=order_by, evolve=evolve)
     if tag:
         return (target.withColumn(CHANGE, F.lit(KEPT))
                 .unionByName(fresh.withColumn(CHANGE, F.lit(NEW))))
@@ -92,19 +112,23 @@ def scd0(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,
 
 def scd1(source: DataFrame, target: DataFrame, keys: str | Iterable[str], *,
          compare: Iterable[str] | None = None, normalize: bool = False,
-         dedupe_source: bool = True, order_by=None, tag: bool = False) -> DataFrame:
+         dedupe_source: bool = True, order_by=None, evolve: bool = False,
+         tag: bool = False) -> DataFrame:
     """Type 1: new keys are added, a row whose compare columns differ
     (NULL-safely) is replaced whole by the source row, every other target
     row keeps its values. No history."""
     keys = as_list(keys)
+    target = _evolved(source, target, target.columns, evolve)
     data = list(target.columns)
     types = {f.name: f.dataType for f in target.schema.fields}
     cmp = _compare(data, keys, source, compare)
     j = _join(source, target, keys, data, types, normalize, dedupe_source, order_by)
     j = j.withColumn(CHANGE, F.expr(_state_sql(cmp)))
     take_new = f"{ident(CHANGE)} IN ({string_lit(NEW)}, {string_lit(CHANGED)})"
+    src = {c.lower() for c in source.columns}
     out = j.selectExpr(*[f"CASE WHEN {take_new} THEN {ident(_NEW, c)} ELSE {ident(_OLD, c)} END "
-                         f"AS {ident(c)}" for c in data], ident(CHANGE))
+                         f"AS {ident(c)}" if c.lower() in src else f"{ident(_OLD, c)} AS {ident(c)}"
+                         for c in data], ident(CHANGE))
     return out if tag else out.drop(CHANGE)
 
 
@@ -130,7 +154,8 @@ def scd2_frame(target: DataFrame) -> DataFrame:
 
 def scd2(source: DataFrame, target: DataFrame, keys: str | Iterable[str], stamps: Stamps | str,
          *, compare: Iterable[str] | None = None, normalize: bool = False,
-         dedupe_source: bool = True, order_by=None, tag: bool = False) -> DataFrame:
+         dedupe_source: bool = True, order_by=None, evolve: bool = False,
+         tag: bool = False) -> DataFrame:
     """Type 2 with a current flag: a new key gets a ``flag = 1`` row; a key
     whose latest version differs gets a new ``flag = 1`` row and the old one
     becomes ``flag = 0`` with ``expiry_date = as_of``. Only ``flag = 1``
@@ -140,6 +165,8 @@ def scd2(source: DataFrame, target: DataFrame, keys: str | Iterable[str], stamps
     stamps = stamps if isinstance(stamps, Stamps) else Stamps(stamps, stamps)
     target = scd2_frame(target)
     flag_col, exp_col = resolve(target, C.SCD2_FLAG), resolve(target, C.SCD2_EXPIRY)
+    target = _evolved(source, target, [c for c in target.columns if c not in (flag_col, exp_col)],
+                      evolve)
     data = [c for c in target.columns if c not in (flag_col, exp_col)]
     types = {f.name: f.dataType for f in target.schema.fields}
     cmp = _compare(data, keys, source, compare)
@@ -151,18 +178,19 @@ def scd2(source: DataFrame, target: DataFrame, keys: str | Iterable[str], stamps
     j = j.withColumn(CHANGE, F.expr(_state_sql(cmp)))
     s = ident(CHANGE)
     ftype, etype = type_sql(types[flag_col]), type_sql(types[exp_col])
-
-    def row(side: str, flag: int, expiry: str, change: str) -> str:
-        return named_struct([*[(c, ident(side, c)) for c in data],
-                             (flag_col, f"CAST({flag} AS {ftype})"),
-                             (exp_col, f"CAST({expiry} AS {etype})"), (CHANGE, change)])
-
-    N, U, K = string_lit(NEW), string_lit(CHANGED), string_lit(KEPT)
-    rows = (f"array(CASE WHEN {s} IN ({N}, {U}) THEN {row(_NEW, C.LATEST, 'NULL', s)} END, "
-            f"CASE WHEN {s} = {K} THEN {row(_OLD, C.LATEST, ident(_OLD, exp_col), s)} END, "
-            f"CASE WHEN {s} = {U} THEN "
-            f"{row(_OLD, C.EXPIRED, stamps.as_of_sql(), string_lit(EXPIRED))} END)")
-    nxt = j.selectExpr(f"inline(filter({rows}, r -> r IS NOT NULL))")
+    # a changed key is exploded into its new version and the expired one
+    U, X = string_lit(CHANGED), string_lit(EXPIRED)
+    j = j.withColumn(CHANGE, F.expr(
+        f"explode(CASE WHEN {s} = {U} THEN array({U}, {X}) ELSE array({s}) END)"))
+    take_new = f"{s} IN ({string_lit(NEW)}, {U})"
+    src = {c.lower() for c in source.columns}
+    nxt = j.selectExpr(
+        *[f"CASE WHEN {take_new} THEN {ident(_NEW, c)} ELSE {ident(_OLD, c)} END AS {ident(c)}"
+          if c.lower() in src else f"{ident(_OLD, c)} AS {ident(c)}" for c in data],
+        f"CAST(CASE WHEN {s} = {X} THEN {C.EXPIRED} ELSE {C.LATEST} END AS {ftype}) "
+        f"AS {ident(flag_col)}",
+        f"CAST(CASE WHEN {s} = {X} THEN {stamps.as_of_sql()} WHEN {s} = {string_lit(KEPT)} "
+        f"THEN {ident(_OLD, exp_col)} END AS {etype}) AS {ident(exp_col)}", s)
     hist = history.select(*[column(c) for c in data], column(flag_col), column(exp_col),
                           F.lit(HISTORY).alias(CHANGE))
     out = hist.unionByName(nxt)

@@ -15,7 +15,7 @@ are one join each (left, left-anti, left-anti with a null-safe fingerprint
 key). ``next_state`` and ``diff_flags`` answer everything with **one full
 outer join** of the deduplicated prep and the current rows on the match key:
 one shuffle per side (the prep side reuses the dedupe window's partitioning),
-then a single Generate emits the one or two output rows each key produces.
+then a single Generate of change letters emits the one or two rows each key produces.
 No join result is computed twice and nothing is broadcast, so the plan scales
 with the data; both sides hold at most one row per key after dedupe, so key
 skew in the raw extract is absorbed by the dedupe's map-side group limit.
@@ -31,8 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.keys import (all_present, any_null, as_list, column, conform,
-                              differs, match_key_names, resolve,
+from ..functions.keys import (MATCH_KEYS, all_present, any_null, as_list, column, conform,
+                              differs, match_key_names, reject_names, resolve,
                               with_match_key)
 from ..functions.sqltext import (as_date, date_lit, ident, named_struct,
                                  null_safe_differs, string_lit, timestamp_lit)
@@ -86,12 +86,22 @@ def open_end_col() -> Column:
 # input preparation
 
 
+def _data_columns(df: DataFrame) -> list[str]:
+    """Everything but the audit and the internal match-key columns."""
+    inside = {a.lower() for a in C.AUDIT_COLUMNS} | set(MATCH_KEYS)
+    return [c for c in df.columns if c.lower() not in inside]
+
+
 def snapshot_columns(prep: DataFrame) -> list[str]:
-    """Data columns of a snapshot: everything except the audit columns and
-    internal match-key columns (an incoming audit_inserted_ts is dropped)."""
-    audit = {a.lower() for a in C.AUDIT_COLUMNS}
-    return [c for c in prep.columns
-            if c.lower() not in audit and not c.startswith("_mk")]
+    """Data columns of a snapshot. Only an incoming ``audit_inserted_ts`` is
+    dropped; any other audit name in an extract is an error, since the
+    extract's own values would be lost."""
+    reject_names(prep, set(C.AUDIT_COLUMNS) - {"audit_inserted_ts"}, "are audit columns of the target")
+    return _data_columns(prep)
+
+
+class MissingColumns(ValueError):
+    """The extract lacks columns that the stored rows have."""
 
 
 def split_rejected(df: DataFrame, keys: str | Iterable[str]) -> tuple[DataFrame, DataFrame]:
@@ -105,8 +115,9 @@ def split_rejected(df: DataFrame, keys: str | Iterable[str]) -> tuple[DataFrame,
 
 def prepare_snapshot(prep: DataFrame, keys: str | Iterable[str], order_by=None,
                      normalize: bool = True) -> DataFrame:
-    """Valid-key, one-row-per-match-key snapshot with ``_mk*`` columns kept."""
+    """Valid-key, one-row-per-match-key snapshot with the match key kept."""
     keys = as_list(keys)
+    reject_names(prep, MATCH_KEYS, "have internal names")
     prep = prep.select(*[column(c) for c in snapshot_columns(prep)])
     valid, _ = split_rejected(prep, keys)
     return dedupe(valid, keys, order_by=order_by, normalize=normalize, keep_match_key=True)
@@ -141,6 +152,7 @@ def classify(prep: DataFrame, current: DataFrame, keys: str | Iterable[str], *,
     keys = as_list(keys)
     mk = match_key_names(len(keys))
     cmp = _compare_columns(prep, keys, compare, fingerprint)
+    reject_names(prep, [_FLAG], "would hide the flag")
     data = snapshot_columns(prep)
     p = _keyed(prep, keys, normalize)
     cur = _keyed(current, keys, normalize)
@@ -165,8 +177,8 @@ def deleted(prep: DataFrame, current: DataFrame, keys: str | Iterable[str], *,
     # distinct keys: a key repeated in an undeduplicated snapshot is reduced
     # map-side (partial aggregate) before it is shuffled
     p = _keyed(prep, keys, normalize).select(*[F.col(m) for m in mk]).distinct()
-    audit = {a.lower() for a in C.AUDIT_COLUMNS}
-    keep = [c for c in current.columns if c.lower() not in audit and not c.startswith("_mk")]
+    reject_names(current, [_FLAG], "would hide the flag")
+    keep = _data_columns(current)
     # current rows with a NULL key part never match: they skip the join
     # instead of hashing into one partition
     ok, nulls = split_rejected(current, keys)
@@ -180,21 +192,22 @@ def close_history(prep: DataFrame, current: DataFrame, keys: str | Iterable[str]
                   fingerprint: str | None = C.FINGERPRINT_COLUMN,
                   normalize: bool = True) -> DataFrame:
     """Current rows whose key is updated or deleted, all columns kept, with
-    ``end_dt = as_of - 1``: current rows with no prep row of the same key
-    *and* the same fingerprint (one left-anti join on key + null-safe
-    fingerprint)."""
+    ``end_dt = as_of - 1``: one left join on the match key alone, which reuses
+    the dedupe's partitioning, then the rows whose key is absent or whose
+    fingerprint differs NULL-safely. Expects one prep row per key."""
     keys = as_list(keys)
     mk = match_key_names(len(keys))
     cmp = _compare_columns(prep, keys, compare, fingerprint)
     p = _keyed(prep, keys, normalize).select(
-        *[F.col(m).alias(f"_tm_p{m}") for m in mk],
+        *[F.col(m) for m in mk], F.lit(True).alias("_tm_in_prep"),
         *[column(c).alias(f"_tm_pc{i}") for i, c in enumerate(cmp)])
     ok, nulls = split_rejected(current, keys)        # NULL keys skip the join
     cur = _keyed(ok, keys, normalize)
-    cond = [F.col(m) == F.col(f"_tm_p{m}") for m in mk]
-    cond += [column(resolve(cur, c)).eqNullSafe(F.col(f"_tm_pc{i}")) for i, c in enumerate(cmp)]
-    out = cur.join(p, on=cond, how="left_anti").unionByName(_keyed(nulls, keys, normalize))
-    cols = [c for c in current.columns if not c.startswith("_mk")]
+    changed = differs([column(resolve(cur, c)) for c in cmp],
+                      [F.col(f"_tm_pc{i}") for i in range(len(cmp))])
+    cols = [c for c in current.columns if c not in MATCH_KEYS]
+    out = (cur.join(p, on=mk, how="left").where(F.col("_tm_in_prep").isNull() | changed)
+           .select(*[column(c) for c in cols]).unionByName(nulls.select(*[column(c) for c in cols])))
     return out.select(*[column(c) if c != C.PARTITION_COLUMN
                         else stamps.closed_col().alias(C.PARTITION_COLUMN) for c in cols])
 
@@ -227,14 +240,23 @@ def new_versions(classified: DataFrame, stamps: Stamps) -> DataFrame:
 
 
 def _aligned_join(prep: DataFrame, current: DataFrame, keys: Sequence[str], compare,
-                  fingerprint, normalize: bool) -> tuple[DataFrame, list[str]]:
+                  fingerprint, normalize: bool, evolve: bool) -> tuple[DataFrame, list[str]]:
     """Full outer join of prep and current on the match key, each side packed
-    in one struct in prep's columns and types; adds ``flag``."""
+    in one struct in prep's columns and types; adds ``flag``. Columns that only
+    the stored rows have are an error, or with ``evolve`` follow prep's columns
+    (new versions have NULL there, stored rows keep their values)."""
     mk = match_key_names(len(keys))
     data = snapshot_columns(prep)
+    known = {c.lower() for c in data}
+    gone = [c for c in _data_columns(current) if c.lower() not in known]
+    if gone and not evolve:
+        raise MissingColumns(f"the extract lacks the stored columns {gone}; "
+                             "pass evolve=True to keep them and go on")
+    data = data + gone
     cmp = _compare_columns(prep, keys, compare, fingerprint)
     p = _keyed(prep, keys, normalize)
-    ptypes = {f.name: f.dataType for f in prep.schema.fields}
+    ptypes = ({f.name: f.dataType for f in current.schema.fields if f.name in gone}
+              | {f.name: f.dataType for f in prep.schema.fields})
     left = p.select(*[F.col(m) for m in mk], pack(p, data, ptypes, _NEW))
 
     def old_struct(df: DataFrame) -> Column:
@@ -259,7 +281,8 @@ def diff_flags(prep: DataFrame, current: DataFrame, keys: str | Iterable[str], *
     """Every key with its flag: prep rows flagged I/U/Z plus current rows
     flagged D (their data columns), from one full outer join."""
     keys = as_list(keys)
-    j, data = _aligned_join(prep, current, keys, compare, fingerprint, normalize)
+    reject_names(prep, [_FLAG], "would hide the flag")
+    j, data = _aligned_join(prep, current, keys, compare, fingerprint, normalize, True)
     f = F.col(_FLAG)
     side = lambda c: F.when(f == C.DELETED, F.col(_OLD)[c]).otherwise(F.col(_NEW)[c])
     return j.select(*[side(c).alias(c) for c in data], f)
@@ -268,32 +291,36 @@ def diff_flags(prep: DataFrame, current: DataFrame, keys: str | Iterable[str], *
 def next_state(prep: DataFrame, current: DataFrame, keys: str | Iterable[str],
                stamps: Stamps, *, compare: Iterable[str] | None = None,
                fingerprint: str | None = C.FINGERPRINT_COLUMN, normalize: bool = True,
-               tag: bool = False) -> DataFrame:
+               evolve: bool = False, tag: bool = False) -> DataFrame:
     """The rows a run writes: new current versions (I, U), unchanged current
     rows with their own stamps (Z) and closed rows (U, D) with
     ``end_dt = as_of - 1``. ``tag`` adds the ``_change`` column
     (I, U, Z for open rows; C, D for closed rows).
 
-    Expects one prep row per key (``prepare_snapshot``)."""
+    Expects one prep row per key (``prepare_snapshot``). ``evolve``: go on
+    when the extract lacks stored columns (see ``_aligned_join``).
+
+    An updated key is exploded into two change letters, any other into one;
+    the letter then picks each column's side, so wide rows are built once and
+    inside generated code."""
     keys = as_list(keys)
-    j, data = _aligned_join(prep, current, keys, compare, fingerprint, normalize)
-    f = ident(_FLAG)
-    I, U, Z, D = (string_lit(x) for x in (C.INSERTED, C.UPDATED, C.UNCHANGED, C.DELETED))
-
-    def row(side: str, audit: list[str], change: str) -> str:
-        fields = [(c, ident(side, c)) for c in data]
-        fields += list(zip(C.AUDIT_COLUMNS, audit))
-        return named_struct([*fields, (CHANGE, change)])
-
-    old_audit = [ident(_OLD, a) for a in C.AUDIT_COLUMNS]
-    new_row = row(_NEW, [I, stamps.as_of_sql(), date_lit(C.OPEN_END), stamps.load_ts_sql()], f)
-    kept_row = row(_OLD, old_audit, f)
-    closed_row = row(_OLD, [*old_audit[:2], stamps.closed_sql(), old_audit[3]],
-                     f"CASE WHEN {f} = {U} THEN {string_lit(CLOSED_BY_UPDATE)} ELSE {D} END")
-    rows = (f"array(CASE WHEN {f} IN ({I}, {U}) THEN {new_row} END, "
-            f"CASE WHEN {f} = {Z} THEN {kept_row} END, "
-            f"CASE WHEN {f} IN ({U}, {D}) THEN {closed_row} END)")
-    out = j.selectExpr(f"inline(filter({rows}, r -> r IS NOT NULL))")
+    j, data = _aligned_join(prep, current, keys, compare, fingerprint, normalize, evolve)
+    f, change = ident(_FLAG), ident(CHANGE)
+    I, U, Z = (string_lit(x) for x in (C.INSERTED, C.UPDATED, C.UNCHANGED))
+    j = j.withColumn(CHANGE, F.expr(
+        f"explode(CASE WHEN {f} = {U} THEN array({U}, {string_lit(CLOSED_BY_UPDATE)}) "
+        f"ELSE array({f}) END)"))
+    is_new = f"{change} IN ({I}, {U})"
+
+    def pick(name: str, new: str, old: str) -> str:
+        return f"CASE WHEN {is_new} THEN {new} ELSE {old} END AS {ident(name)}"
+
+    flag, bgn, end, ts = C.AUDIT_COLUMNS
+    old_end = f"CASE WHEN {change} = {Z} THEN {ident(_OLD, end)} ELSE {stamps.closed_sql()} END"
+    out = j.selectExpr(*[pick(c, ident(_NEW, c), ident(_OLD, c)) for c in data],
+                       pick(flag, I, ident(_OLD, flag)), pick(bgn, stamps.as_of_sql(), ident(_OLD, bgn)),
+                       pick(end, date_lit(C.OPEN_END), old_end),
+                       pick(ts, stamps.load_ts_sql(), ident(_OLD, ts)), change)
     return out if tag else out.drop(CHANGE)
 
 
@@ -315,5 +342,3 @@ def full_table(target: DataFrame, prep: DataFrame, keys: str | Iterable[str], st
     snap = prepare_snapshot(prep, keys, order_by=order_by, normalize=kw.get("normalize", True))
     nxt = next_state(snap, current, keys, stamps, **kw)
     return conform(history, nxt).unionByName(nxt)
-
-

@@ -13,7 +13,7 @@ One run:
 4. Stage (in this table's folder under ``spark.checkpoint.dir`` when the
    session names one, else ``<table>/temp/``), verify, publish the touched partitions
    (``plans.publish``), then register / repair the catalog table when a name
-   is given.
+   is given. ``runs/`` records how far a run came (``plans.run_log``).
 
 Jobs (actions) per run: rejected write, emptiness probe, backup write (it
 also counts the current rows), staged write, read-back count, publish of the
@@ -30,11 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.keys import as_list, column, conform
+from ..functions.keys import (MATCH_KEYS, as_list, column, conform, match_key_names, reject_names,
+                              resolve, with_match_key)
 from ..functions.sqltext import as_date
 from ..operators import snapshot_diff as sd
-from ..session import checkpoint_root, stage_folder
+from ..session import stage_folder
 from ..sources.files import read_partition, read_snapshot
+from . import run_log
 from .publish import (TablePaths, backup as write_backup, publish_partitions, register_table,
                       verify_staged, write_observed)
 
@@ -61,22 +63,35 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
             database: str | None = None, as_of=None, load_ts=None, order_by=None,
             compare: Iterable[str] | None = None,
             fingerprint: str | None = C.FINGERPRINT_COLUMN, normalize: bool = True,
-            backup: bool = True, prep: DataFrame | None = None,
+            backup: bool = True, prep: DataFrame | None = None, evolve: bool = False,
             rows_per_file: int = 5_000_000) -> dict:
     """Run one CDC load of ``table``; returns counts per change and status.
 
     ``prep`` overrides the snapshot folder (a DataFrame from any source).
-    ``rows_per_file`` sizes the files of the closed partition.
+    ``evolve`` goes on when the extract lacks stored columns: new versions have
+    NULL there, stored rows keep their values. ``rows_per_file`` sizes the
+    files of the closed partition.
+
+    A run that stopped while it published is completed first, from its verified
+    staged copy, so running the job again after any failure is safe.
     """
     keys = as_list(keys)
     paths = TablePaths(root, table)
+    result: dict = {"table": table}
+    last = run_log.last_state(spark, paths.runs)
+    if last and last["state"] in (run_log.VERIFIED, run_log.PUBLISHING):
+        _publish(spark, paths, last, database)
+        result["completed"] = last["run_id"]
+    run_id, slot = run_log.new_run_id(), 1 - last["slot"] if last else 0
     stamps = resolve_stamps(spark, as_of, load_ts)
     raw = read_snapshot(spark, paths.prep) if prep is None else prep
+    reject_names(raw, MATCH_KEYS, "have internal names")
     raw = raw.select(*[column(c) for c in sd.snapshot_columns(raw)])
     valid, rejected = sd.split_rejected(raw, keys)
-    result: dict = {"table": table, "as_of": str(stamps.as_of)}
+    result["as_of"] = str(stamps.as_of)
 
-    rejected_count = write_observed(rejected, paths.rejected, name=f"{table}_rejected")["_total"]
+    rejected_count = write_observed(rejected, f"{paths.rejected}/run={run_id}",
+                                    name=f"{table}_rejected")["_total"]
     result["rejected"] = rejected_count
     if valid.isEmpty():
         result["status"] = "empty_prep"
@@ -88,52 +103,49 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
     closed_day = _closed_date(stamps)
     if current is not None:
         if backup:
-            # the backup write counts the rows it copies: no extra probe job
-            copied = write_backup(current, paths.backup, name=f"{table}_backup")
-            current = spark.read.parquet(paths.backup) if copied else None
+            # the backup write counts the rows it copies: no extra probe job.
+            # Two folders in turn: the previous copy stays until this run is done
+            copy = f"{paths.backup}/{slot}"
+            copied = write_backup(current, copy, name=f"{table}_backup")
+            current = spark.read.parquet(copy) if copied else None
         elif current.isEmpty():
             current = None
 
     if current is None:
+        if last and last["open"]:
+            raise LostPartition(f"{paths.target} has no current rows, but run {last['run_id']} "
+                                f"left {last['open']}; restore them from {paths.backup} or "
+                                f"{last['stage']} before the next load")
         staged = sd.initial_load(snap, stamps).withColumn(sd.CHANGE, F.lit(C.INSERTED))
         result["status"] = "initial_load"
     else:
-        staged = sd.next_state(snap, current, keys, stamps, compare=compare,
+        _one_row_per_key(current, keys, normalize)
+        staged = sd.next_state(snap, current, keys, stamps, compare=compare, evolve=evolve,
                                fingerprint=fingerprint, normalize=normalize, tag=True)
         existing = read_partition(spark, paths.target, closed_day.isoformat())
         if existing is not None:
             staged = staged.unionByName(conform(existing, staged, {sd.CHANGE: F.lit(CARRIED)}))
         result["status"] = "incremental"
 
-    columns = [c for c in staged.columns if c != sd.CHANGE]
-    # the staged table cuts the lineage: this table's staging folder under the
-    # cluster's spark.checkpoint.dir when the session names one, else <table>/temp/
-    stage = stage_folder(spark, table, paths.target) if checkpoint_root(spark) else paths.stage
+    # the staged table cuts the lineage. Two folders in turn, like the backup;
+    # the run record names the one that holds a verified state
+    stage = f"{stage_root(spark, table, paths)}/{slot}"
     result["staged"] = stage
     observed = write_observed(staged, stage, sd.CHANGE, CHANGES,
                               partition_by=[C.PARTITION_COLUMN], name=f"{table}_stage")
     open_rows = sum(observed[c] for c in (C.INSERTED, C.UPDATED, C.UNCHANGED))
+    closed_rows = observed[sd.CLOSED_BY_UPDATE] + observed[C.DELETED] + observed[CARRIED]
     if open_rows == 0:
         raise RuntimeError("no current rows would remain; target left untouched")
+    facts = {"run_id": run_id, "slot": slot, "stage": stage, "observed": observed,
+             "open": open_rows, "closed": closed_rows, "closed_day": closed_day.isoformat(),
+             "columns": [c for c in staged.columns if c != sd.CHANGE],
+             "rows_per_file": rows_per_file}
+    run_log.write_state(spark, paths.runs, run_id, run_log.STAGED,
+                        facts | {"open": last["open"] if last else 0})
     verify_staged(spark, stage, sd.CHANGE, observed)
-    # A failure from here on leaves the verified state in ``stage`` and the
-    # old current partition in ``currbackup/``: ``republish`` completes the run.
-    # The closed partition goes first (a stop in between leaves extra history,
-    # never lost history) and is re-split by its observed size: its few rows
-    # come from every task of the diff and would otherwise land as one small
-    # file per task.
-    closed_rows = observed[sd.CLOSED_BY_UPDATE] + observed[C.DELETED] + observed[CARRIED]
-    if closed_rows:
-        publish_partitions(spark, stage, paths.target, drop=[sd.CHANGE], columns=columns,
-                           only=closed_day.isoformat(),
-                           files=max(1, -(-closed_rows // rows_per_file)))
-    publish_partitions(spark, stage, paths.target, drop=[sd.CHANGE], columns=columns,
-                       only=C.OPEN_END.isoformat())
-    if database:
-        touched = [C.OPEN_END.isoformat()]
-        if closed_rows:
-            touched.append(closed_day.isoformat())
-        register_table(spark, f"{database}.{table}", paths.target, touched)
+    run_log.write_state(spark, paths.runs, run_id, run_log.VERIFIED, facts)
+    _publish(spark, paths, facts, database, verified=True)
 
     result.update({
         "I": observed[C.INSERTED], "U": observed[C.UPDATED], "Z": observed[C.UNCHANGED],
@@ -143,27 +155,63 @@ def run_cdc(spark: SparkSession, table: str, keys: str | Iterable[str], root: st
     return result
 
 
-def staged_path(spark: SparkSession, table: str, root: str) -> str:
-    """Where ``run_cdc`` stages ``table`` in this session."""
-    paths = TablePaths(root, table)
-    return stage_folder(spark, table, paths.target) if checkpoint_root(spark) else paths.stage
+class LostPartition(RuntimeError):
+    """The record says the table has current rows, but their partition is gone."""
+
+
+class DuplicateCurrentKeys(RuntimeError):
+    """Stored current rows share a match key."""
+
+
+def _one_row_per_key(current: DataFrame, keys: list[str], normalize: bool) -> None:
+    """Stop when current rows share a match key (``a`` and ``A ``, say, from a
+    table loaded with raw keys): each would get its own new version."""
+    valid, _ = sd.split_rejected(current, keys)
+    mk = match_key_names(len(keys))
+    twice = (with_match_key(valid, [resolve(valid, k) for k in keys], normalize)
+             .groupBy(*mk).count().where("count > 1").select(*mk).head(3))
+    if twice:
+        raise DuplicateCurrentKeys(f"several current rows for the match keys "
+                                   f"{[tuple(r) for r in twice]}; close all but one of each first")
+
+
+def stage_root(spark: SparkSession, table: str, paths: TablePaths) -> str:
+    """Staging folders of ``table``: under ``spark.checkpoint.dir`` when the
+    cluster names one (the same in every session), else ``<table>/temp``."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return stage_folder(spark, table, paths.target) if named else paths.stage
+
+
+def _publish(spark: SparkSession, paths: TablePaths, run: dict, database: str | None,
+             verified: bool = False) -> None:
+    """Publish a verified staged copy and record it. The closed partition goes
+    first (a stop in between leaves extra history, never lost history) and is
+    re-split by its observed size: its few rows come from every task of the
+    diff and would otherwise land as one small file per task. Both writes
+    replace whole partitions, so doing them again changes nothing."""
+    if not verified:
+        verify_staged(spark, run["stage"], sd.CHANGE, run["observed"])
+    facts = {k: v for k, v in run.items() if k != "state"}
+    run_log.write_state(spark, paths.runs, run["run_id"], run_log.PUBLISHING, facts)
+    touched = [C.OPEN_END.isoformat()]
+    if run["closed"]:
+        publish_partitions(spark, run["stage"], paths.target, drop=[sd.CHANGE],
+                           columns=run["columns"], only=run["closed_day"],
+                           files=max(1, -(-run["closed"] // run["rows_per_file"])))
+        touched.append(run["closed_day"])
+    publish_partitions(spark, run["stage"], paths.target, drop=[sd.CHANGE],
+                       columns=run["columns"], only=C.OPEN_END.isoformat())
+    if database:
+        register_table(spark, f"{database}.{paths.table}", paths.target, touched)
+    run_log.write_state(spark, paths.runs, run["run_id"], run_log.DONE, facts)
 
 
 def republish(spark: SparkSession, table: str, root: str, database: str | None = None) -> None:
-    """Complete a run whose publish failed: publish the verified staged copy
-    again (it holds exactly the touched partitions, so this rolls the table
-    forward to the state the run meant to write). Rolling back instead would
-    also have to remove a closed partition the run created, so recovery is
-    always forward."""
+    """Complete the table's last run, which reached ``verified``: publish its
+    staged copy again after counting it once more. Recovery is always forward;
+    rolling back would also have to remove a closed partition the run created."""
     paths = TablePaths(root, table)
-    stage = staged_path(spark, table, root)
-    publish_partitions(spark, stage, paths.target, drop=[sd.CHANGE])
-    if database:
-        register_table(spark, f"{database}.{table}", paths.target, None)
-
-
-def incremental_insert_update(spark: SparkSession, tablename: str, naturalkeys,
-                              bucket: str, tgtdatabase: str | None = None, **kw) -> dict:
-    """The CDC job under its original argument order: ``bucket`` is the
-    root folder holding ``<tablename>/prep`` and ``<tablename>/tgt``."""
-    return run_cdc(spark, tablename, naturalkeys, bucket, database=tgtdatabase, **kw)
+    last = run_log.last_state(spark, paths.runs)
+    if last is None or last["state"] == run_log.STAGED:
+        raise RuntimeError(f"no verified run of {table} to publish; run the load again")
+    _publish(spark, paths, last, database)

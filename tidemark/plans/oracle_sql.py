@@ -29,7 +29,8 @@ cur as (select k, nm, bal, seg, {MD5} as row_md5, 'I' as audit_flag,
                date '{CURRENT_DAY}' as bgn_dt, date '{OPEN_END}' as end_dt,
                cast(timestamp '{TS_CURRENT}' as varchar) as audit_inserted_ts
         from cur0),
-prep as (select k, nm, bal, seg, {MD5} as row_md5 from prep0)"""
+prep as (select k, nm, bal, seg, {MD5} as row_md5 from prep0),
+whole as (select k, nm, bal, seg, {MD5} as row_md5 from b)"""
 
 ORDER_VALUES = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
@@ -196,12 +197,12 @@ select {_list(CUST_DATA)}, 'D' as flag from cur c
 where not exists (select 1 from prep p where trim(upper(p.nm)) = trim(upper(c.nm)))""",
     "cdc_new_versions": _cdc_next_customer(("new",)),
     "cdc_rejected": f"""with {CUSTOMER},
-blanked as (select k, case when k % 13 = 0 then null else nm end as nm, bal, seg, row_md5 from prep)
+blanked as (select k, case when k % 13 = 0 then null else nm end as nm, bal, seg, row_md5 from whole)
 select * from blanked where nm is null""",
     "cdc_initial_load": f"""with {CUSTOMER},
-{CUST_DEDUPE}
+{dedupe('whole_d', 'whole', 'trim(upper(nm))', ['k', 'bal', 'seg', 'row_md5', 'nm'])}
 select {_list(CUST_DATA)}, 'I' as audit_flag, date '{AS_OF}' as bgn_dt, date '{OPEN_END}' as end_dt,
-       '{TS_AS_OF}' as audit_inserted_ts from prep_d""",
+       '{TS_AS_OF}' as audit_inserted_ts from whole_d""",
     "cdc_closed_history": f"""with {CUSTOMER},
 {CUST_DEDUPE}
 select {_list(CUST_DATA)}, audit_flag, bgn_dt, date '{CLOSED}' as end_dt, audit_inserted_ts from cur c
@@ -240,8 +241,27 @@ prep2m as (select k, nm, bal, seg, {MD5} as row_md5 from prep2),
 {cdc_join('j2', 'prep2_d', 'open_b', 'trim(upper(nm))', CUST_DATA, ['row_md5']).lstrip()},
 state_c as ({cdc_rows('j2', CUST_DATA, AS_OF, CLOSED, TS_RERUN)})
 select * from state_c where end_dt < bgn_dt""",
+    "cdc_schema_change": f"""with {CUSTOMER},
+{CUST_DEDUPE},{cdc_join('j', 'prep_d', 'cur', 'trim(upper(nm))', CUST_DATA, ['row_md5'])},
+s1 as (select p_k as k, p_nm as nm, p_bal as bal, p_seg as seg, p_row_md5 as row_md5,
+              p_seg as _mkt_segment, 'I' as audit_flag, date '{AS_OF}' as bgn_dt,
+              '{TS_AS_OF}' as audit_inserted_ts, trim(upper(p_nm)) as mk
+       from j where flag in ('I', 'U')
+       union all
+       select c_k, c_nm, c_bal, c_seg, c_row_md5, null, c_audit_flag, c_bgn_dt,
+              c_audit_inserted_ts, trim(upper(c_nm)) from j where flag = 'Z'),
+prep2 as (select k, nm, case when k % 3 = 0 then bal + 1 else bal end as bal, seg from prep0),
+s2 as (select k, nm, bal, {MD5} as row_md5, trim(upper(nm)) as mk from prep2)
+select n.k, n.nm, n.bal, n.row_md5, null as seg, null as _mkt_segment, 'I' as audit_flag,
+       date '{AS_OF}' as bgn_dt, date '{OPEN_END}' as end_dt, '{TS_RERUN}' as audit_inserted_ts
+from s2 n left join s1 o on n.mk = o.mk where o.mk is null or n.row_md5 is distinct from o.row_md5
+union all
+select o.k, o.nm, o.bal, o.row_md5, o.seg, o._mkt_segment, o.audit_flag, o.bgn_dt,
+       case when n.mk is not null and n.row_md5 is not distinct from o.row_md5
+            then date '{OPEN_END}' else date '{CLOSED}' end, o.audit_inserted_ts
+from s1 o left join s2 n on n.mk = o.mk""",
     # SCD on the customer pair (key k, compare bal and seg)
-    "scd0_initial": f"with {CUSTOMER},\n{CUST_SRC}\nselect {_list(CUST_PLAIN)} from src",
+    "scd0_initial": f"with {CUSTOMER}\nselect {_list(CUST_PLAIN)} from b",
     "scd0_delta": f"""with {CUSTOMER},
 {CUST_SRC}
 select {_list(CUST_PLAIN)} from cur0
@@ -251,9 +271,8 @@ select {_list(CUST_PLAIN, 's.')} from src s where not exists (select 1 from cur0
 s1 as (select k, nm, bal, case when k % 7 = 0 then null else seg end as seg from prep0),
 t1 as (select k, nm, bal, case when k % 11 = 0 then null else seg end as seg from cur0),
 {_scd1(dedupe('src1', 's1', 'k', ['nm', 'bal', 'seg', 'k']), 'src1', 't1', 'k', CUST_PLAIN, ['bal', 'seg'])}""",
-    "scd2_initial": f"""with {CUSTOMER},
-{CUST_SRC}
-select {_list(CUST_PLAIN)}, 1 as flag, cast(null as date) as expiry_date from src""",
+    "scd2_initial": f"""with {CUSTOMER}
+select {_list(CUST_PLAIN)}, 1 as flag, cast(null as date) as expiry_date from b""",
     "scd2_delta": f"""with {CUSTOMER},
 t2 as (select k, nm, bal, seg, 1 as flag, cast(null as date) as expiry_date from cur0
        union all
@@ -297,6 +316,8 @@ ot2 as (select *, 1 as flag, cast(null as date) as expiry_date from ocur0),
                               ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
                                "l_linestatus", "l_shipdate"]) + " from lineitem",
+    "cast_to_date_typed": "select o_orderkey, cast(o_orderdate as date) as o_orderdate, "
+                          "cast(o_orderdate as date) as o_text from orders",
     "cast_to_date": """with t as (
   select o_orderkey,
          case when o_orderkey % 29 = 0 then null

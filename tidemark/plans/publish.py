@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.keys import quote
+from ..sources.files import partition_dir
 
 
 class StagingMismatch(RuntimeError):
@@ -57,6 +58,10 @@ class TablePaths:
     def backup(self) -> str:
         return self._p(C.BACKUP_DIR)
 
+    @property
+    def runs(self) -> str:
+        return self._p(C.RUNS_DIR)
+
     @property
     def rejected(self) -> str:
         return self._p(C.REJECT_DIR)
@@ -142,12 +147,22 @@ def register_table(spark: SparkSession, name: str, path: str,
             spark.catalog.createTable(name, path=path, source="parquet")
         repair(spark, name)
         return
+    _add_columns(spark, name, partition_dir(path, partitions[0]))
     for value in partitions:
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION "
                   f"({C.PARTITION_COLUMN} = DATE'{value}')")
     spark.catalog.refreshTable(name)
 
 
+def _add_columns(spark: SparkSession, name: str, folder: str) -> None:
+    """Give the catalog table the columns that only the files in ``folder`` have."""
+    have = {c.name.lower() for c in spark.catalog.listColumns(name)}
+    new = [f"{quote(f.name)} {f.dataType.simpleString()}"
+           for f in spark.read.parquet(folder).schema.fields if f.name.lower() not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+
+
 def repair(spark: SparkSession, name: str) -> None:
     """``MSCK REPAIR TABLE`` (when the catalog tracks partitions), then
     ``REFRESH TABLE`` so cached listings see the new files."""

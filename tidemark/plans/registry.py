@@ -134,13 +134,13 @@ def q_cdc_new_versions(spark, d):
 def q_cdc_rejected(spark, d):
     """Snapshot rows whose key is NULL (names blanked where ``k % 13 = 0``)
     are set apart; returns them."""
-    prep = X.customer_prep(spark, d).selectExpr(
+    prep = X.customer_fingerprinted(spark, d).selectExpr(
         "k", "CASE WHEN k % 13 = 0 THEN NULL ELSE nm END AS nm", "bal", "seg", "row_md5")
     return sd.split_rejected(prep, CUST_KEY)[1]
 
 
 def q_cdc_initial_load(spark, d):
-    prep = sd.prepare_snapshot(X.customer_prep(spark, d), CUST_KEY)
+    prep = sd.prepare_snapshot(X.customer_fingerprinted(spark, d), CUST_KEY)
     return ts_text(sd.initial_load(prep, STAMPS))
 
 
@@ -201,7 +201,7 @@ def _empty_like(spark, df: DataFrame) -> DataFrame:
 
 
 def q_scd0_initial(spark, d):
-    src = X.customer_prep0(spark, d)
+    src = X.customer_base(spark, d)
     return scd.scd0(src, _empty_like(spark, src), ["k"])
 
 
@@ -215,7 +215,7 @@ def q_scd1_upsert(spark, d):
 
 
 def q_scd2_initial(spark, d):
-    src = X.customer_prep0(spark, d)
+    src = X.customer_base(spark, d)
     empty = _empty_like(spark, X.customer_scd2_target(spark, d))
     return scd.scd2(src, empty, ["k"], STAMPS, compare=["bal", "seg"])
 
@@ -296,6 +296,24 @@ def q_cast_to_date(spark, d):
     return cast_to_date(t, ["o_date"], "MM-dd-yyyy", on_error="null")
 
 
+def q_cast_to_date_typed(spark, d):
+    """A column that is a date already, cast twice; its text form beside it."""
+    o = X.table(spark, d, "orders").select("o_orderkey", "o_orderdate",
+                                           F.date_format("o_orderdate", "MM-dd-yyyy").alias("o_text"))
+    both = ["o_orderdate", "o_text"]
+    return cast_to_date(cast_to_date(o, both, "MM-dd-yyyy"), both, "MM-dd-yyyy")
+
+
+def q_cdc_schema_change(spark, d):
+    """Two loads in memory: the extract gains a column named like an internal
+    one, then lacks the segment. Stored values stay on unchanged and closed rows."""
+    prep = sd.prepare_snapshot(X.customer_prep(spark, d).selectExpr("*", "seg AS _mkt_segment"), CUST_KEY)
+    first = sd.rebuild_current(prep, X.customer_current(spark, d), CUST_KEY, STAMPS)
+    rerun = sd.prepare_snapshot(X.customer_prep_rerun(spark, d).drop("seg"), CUST_KEY)
+    return ts_text(sd.next_state(rerun, first, CUST_KEY, sd.Stamps(X.AS_OF, X.LOAD_TS_RERUN),
+                                 evolve=True))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

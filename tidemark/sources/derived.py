@@ -34,16 +34,9 @@ HISTORY_TS = "2020-01-01 00:00:00"
 SCD2_OLD_EXPIRY = "2024-01-01"
 
 
-_READS: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table. The relation (file listing, footer schema) is
-    resolved once per session and path; the driver's tables are read-only."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), name)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return _READS[key]
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def row_md5(*cols: str) -> Column:
@@ -68,6 +61,11 @@ def customer_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey AS k", "c_name AS nm", "c_acctbal AS bal", "c_mktsegment AS seg")
 
 
+def customer_fingerprinted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table as one snapshot, with its fingerprint."""
+    return customer_base(spark, sf_dir).selectExpr("*", f"{MD5_SQL} AS {C.FINGERPRINT_COLUMN}")
+
+
 def customer_cur0(spark, sf_dir) -> DataFrame:
     return customer_base(spark, sf_dir).where("k % 10 <> 3")
 

@@ -92,11 +92,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", *,
     if mode == "overwrite":
         w = w.option("truncate", "true" if truncate else "false")
     w.mode(mode).save()
-
-
-def write_append(df: DataFrame, url: str, table: str, **kw) -> None:
-    write_jdbc(df, url, table, "append", **kw)
-
-
-def write_overwrite(df: DataFrame, url: str, table: str, **kw) -> None:
-    write_jdbc(df, url, table, "overwrite", **kw)
