@@ -15,13 +15,14 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.plans import registry as R  # noqa: E402
 from tidemark.plans.cdc_job import run_cdc  # noqa: E402
-from tidemark.session import ensure_checkpoint_root, local_session, scratch_folder  # noqa: E402
+from tidemark.session import local_session, scratch_folder  # noqa: E402
 from tidemark.sources import derived as X  # noqa: E402
 
 HEADLINE = [
@@ -29,7 +30,7 @@ HEADLINE = [
     "duplicate_groups_lineitem", "cdc_full_table", "cdc_flags", "dedupe_snapshot",
     "dedupe_hot_keys", "duplicate_groups_hot",
     "duplicate_groups_composite", "normalize_strings_orders", "cast_to_string_lineitem",
-    "cast_to_date",
+    "cast_to_date", "cdc_closed_history", "cdc_publish_roundtrip", "normalize_strings_documents",
 ]
 
 
@@ -43,7 +44,7 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app="tidemark-bench")
-    ensure_checkpoint_root(spark)
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-bench-"))
     times: dict[str, float] = {}
 
     for name in HEADLINE:

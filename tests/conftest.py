@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidemark.session import ensure_checkpoint_root, local_session  # noqa: E402
+from tidemark.session import local_session  # noqa: E402
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
@@ -15,7 +15,8 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(cores="*", shuffle_partitions=8, app="tidemark-tests")
-    ensure_checkpoint_root(s)          # tests own the session: private scratch root
+    # tests own the session: a private scratch root
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     yield s
     s.stop()
 

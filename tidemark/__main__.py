@@ -5,7 +5,8 @@
       [--compare C1,C2] [--order-by C1,C2] [--rows-per-file N] [--no-backup] [--evolve]
   republish --table T --root ROOT [--database DB]
   scd --kind 0|1|2 --url URL --source S --target T --keys K [--compare C1,C2]
-      [--partition-column C] [--num-partitions N] [--prop key=value ...] [--as-of D]
+      (--partition-column C | --bucket-column C | --single-task) [--num-partitions N] [--normalize]
+      [--prop key=value ...] [--as-of D]
 
 Connection properties (user, password, driver) come only from ``--prop``.
 Prints the run's counts as one JSON line.
@@ -49,7 +50,10 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--keys", required=True)
     s.add_argument("--compare", help="comma-separated compare columns (default: all shared)")
     s.add_argument("--partition-column")
+    s.add_argument("--bucket-column", help="split by remainders of this whole-number column")
     s.add_argument("--num-partitions", type=int)
+    s.add_argument("--single-task", action="store_true", help="read each table in one task")
+    s.add_argument("--normalize", action="store_true", help="match string keys on trim(upper())")
     s.add_argument("--prop", action="append", default=[], help="JDBC property key=value")
     s.add_argument("--as-of")
     a = ap.parse_args(argv)
@@ -75,7 +79,8 @@ def main(argv: list[str] | None = None) -> int:
         props = dict(p.split("=", 1) for p in a.prop)
         out = run_scd_jdbc(spark, a.kind, a.url, a.source, a.target, a.keys, properties=props,
                            partition_column=a.partition_column, num_partitions=a.num_partitions,
-                           as_of=a.as_of, compare=a.compare.split(",") if a.compare else None)
+                           bucket_column=a.bucket_column, single_task=a.single_task,
+                           normalize=a.normalize, as_of=a.as_of, compare=a.compare.split(",") if a.compare else None)
     print(json.dumps(out, default=str))
     return 0
 

@@ -271,6 +271,16 @@ select {_list(CUST_PLAIN, 's.')} from src s where not exists (select 1 from cur0
 s1 as (select k, nm, bal, case when k % 7 = 0 then null else seg end as seg from prep0),
 t1 as (select k, nm, bal, case when k % 11 = 0 then null else seg end as seg from cur0),
 {_scd1(dedupe('src1', 's1', 'k', ['nm', 'bal', 'seg', 'k']), 'src1', 't1', 'k', CUST_PLAIN, ['bal', 'seg'])}""",
+    "scd0_publish": f"""with {CUSTOMER},
+{CUST_SRC}
+select {_list(CUST_PLAIN)} from cur0
+union all
+select {_list(CUST_PLAIN, 's.')} from src s where not exists (select 1 from cur0 t where t.k = s.k)""",
+    "scd1_publish": f"""with {CUSTOMER},
+{_scd1(CUST_SRC, 'src', 'cur0', 'k', CUST_PLAIN, ['bal', 'seg'])}""",
+    "scd2_publish": f"""with {CUSTOMER},
+t2 as (select k, nm, bal, seg, 1 as flag, cast(null as date) as expiry_date from cur0),
+{_scd2(CUST_SRC, 'src', 't2', 'k', CUST_PLAIN, ['bal', 'seg'])}""",
     "scd2_initial": f"""with {CUSTOMER}
 select {_list(CUST_PLAIN)}, 1 as flag, cast(null as date) as expiry_date from b""",
     "scd2_delta": f"""with {CUSTOMER},

@@ -24,6 +24,7 @@ from ..operators.dedupe import dedupe
 from ..session import ensure_checkpoint_root, scratch_folder
 from ..sources import derived as X
 from .cdc_job import run_cdc
+from .scd_job import read_scd2_parquet, run_scd_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,6 +226,28 @@ def q_scd2_delta(spark, d):
                     compare=["bal", "seg"])
 
 
+def _two_loads(spark, d, kind: int) -> str:
+    """Both customer snapshots loaded one after the other into Parquet."""
+    ensure_checkpoint_root(spark)
+    path = scratch_folder(spark, f"scd{kind}-target")
+    kw = {} if kind == 0 else {"compare": ["bal", "seg"]}
+    run_scd_parquet(spark, kind, X.customer_cur0(spark, d), path, ["k"], as_of=X.CURRENT_DAY, **kw)
+    run_scd_parquet(spark, kind, X.customer_prep0(spark, d), path, ["k"], as_of=X.AS_OF, **kw)
+    return path
+
+
+def q_scd0_publish(spark, d):
+    return spark.read.parquet(_two_loads(spark, d, 0))
+
+
+def q_scd1_publish(spark, d):
+    return spark.read.parquet(_two_loads(spark, d, 1))
+
+
+def q_scd2_publish(spark, d):
+    return read_scd2_parquet(spark, _two_loads(spark, d, 2))
+
+
 # -------------------------------------------------------------- orders pair
 
 def q_cdc_orders_next_state(spark, d):

@@ -5,7 +5,8 @@ shared scratch folder before it reaches the target: a plan that reads a
 table must never write into it directly (an overwrite truncates before the
 read, an append can be re-read by a retried task). Type 0 stages and appends
 only the new rows; types 1 and 2 stage the full next state and replace the
-target with it in one write (JDBC: truncate + insert, DDL kept).
+target with it in one write (JDBC: truncate + insert, DDL kept; Parquet type 2:
+only the versions in force and those that expire on the load's day).
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
+from ..functions.sqltext import as_date
 from ..operators import scd as S
 from ..session import stage_folder
 from ..sources.files import path_exists
-from ..sources.jdbc import read_jdbc, write_jdbc
+from ..sources.jdbc import jdbc_count, read_jdbc, write_jdbc
 from .cdc_job import resolve_stamps
 from .publish import verify_staged, write_observed
 
@@ -64,9 +67,11 @@ def run_scd(spark: SparkSession, kind: int, source: DataFrame, target: DataFrame
         try:
             publish(staged, mode)
         except Exception as e:
-            # the verified next state stays staged: publishing it again recovers
-            raise RuntimeError(f"publish failed; the verified rows are staged at {path}; "
-                               f"publish them again with mode {mode!r}") from e
+            # an append may have stored some rows already: only a new run, whose anti
+            # join skips the stored keys, is safe. A replacement can be published again
+            how = ("run the load again; keys already stored are skipped" if kind == 0 else
+                   f"publish them again with mode {mode!r}")
+            raise RuntimeError(f"publish failed; the verified rows are staged at {path}; {how}") from e
     counts = {k: v for k, v in observed.items() if k != "_total"}
     return {"kind": kind, "mode": mode, "staged": path, **counts}
 
@@ -75,14 +80,21 @@ def run_scd_jdbc(spark: SparkSession, kind: int, url: str, source_table: str,
                  target_table: str, keys: str | Iterable[str], *,
                  properties: dict | None = None, partition_column: str | None = None,
                  num_partitions: int | None = None, predicates: list[str] | None = None,
-                 **kw) -> dict:
-    """The database flavour: read source and target over JDBC (split by
-    ``partition_column`` ranges, or by ``predicates`` when the column is
-    skewed), publish back over JDBC."""
+                 bucket_column: str | None = None, single_task: bool = False, **kw) -> dict:
+    """The database flavour: read source and target over JDBC, split as
+    ``read_jdbc`` says, publish back over JDBC. Types 1 and 2 replace the
+    target by what was read, so before anything is written the rows the split
+    reads are compared with the database's own counts."""
     read = lambda t: read_jdbc(spark, url, t, properties=properties,
-                               partition_column=partition_column,
-                               num_partitions=num_partitions, predicates=predicates)
+                               partition_column=partition_column, num_partitions=num_partitions,
+                               predicates=predicates, bucket_column=bucket_column,
+                               single_task=single_task)
     source, target = read(source_table), read(target_table)
+    for name, df in ((source_table, source), (target_table, target)):
+        there, got = jdbc_count(spark, url, name, properties), df.count()
+        if there != got:
+            raise RuntimeError(f"the split reads {got} of {there} rows of {name}; "
+                               "its conditions must be disjoint and complete")
 
     def publish(df: DataFrame, mode: str) -> None:
         write_jdbc(df, url, target_table, mode, properties=properties,
@@ -92,17 +104,56 @@ def run_scd_jdbc(spark: SparkSession, kind: int, url: str, source_table: str,
 
 
 def run_scd_parquet(spark: SparkSession, kind: int, source: DataFrame, target_path: str,
-                    keys: str | Iterable[str], **kw) -> dict:
-    """The file flavour: the target is a Parquet folder (may not exist yet,
-    in which case the source schema starts it empty)."""
-    if path_exists(spark, target_path):
-        target = spark.read.parquet(target_path)
-    else:
-        target = source.limit(0)
-        if kind == 2:
-            target = S.scd2_frame(target.withColumn("flag", F.lit(1)))
+                    keys: str | Iterable[str], *, as_of=None, **kw) -> dict:
+    """The file flavour: the target is a Parquet folder (may not exist yet, in
+    which case the source schema starts it empty).
+
+    Type 2 keeps one folder per ``flag`` and ``expiry_date``. A load reads and
+    replaces the versions in force (``flag=1``) and the folder of versions
+    that expire on its own day; older history is neither read nor rewritten."""
+    if kind == 2:
+        return _scd2_parquet(spark, source, target_path, keys, as_of=as_of, **kw)
+    target = (spark.read.parquet(target_path) if path_exists(spark, target_path)
+              else source.limit(0))
 
     def publish(df: DataFrame, mode: str) -> None:
         df.write.mode(mode).parquet(target_path)
     kw.setdefault("stage_key", target_path)
-    return run_scd(spark, kind, source, target, keys, publish, **kw)
+    return run_scd(spark, kind, source, target, keys, publish, as_of=as_of, **kw)
+
+
+def _scd2_parquet(spark: SparkSession, source: DataFrame, path: str, keys, *, as_of=None,
+                  **kw) -> dict:
+    as_of = str(as_date(resolve_stamps(spark, as_of, load_ts="").as_of))
+    parts = [C.SCD2_FLAG, C.SCD2_EXPIRY]
+    live, today = (f"{path.rstrip('/')}/{C.SCD2_FLAG}={flag}" for flag in (C.LATEST, C.EXPIRED))
+    today = f"{today}/{C.SCD2_EXPIRY}={as_of}"
+
+    def stored(folder: str, flag: int, expiry: str | None) -> DataFrame | None:
+        if not path_exists(spark, folder):
+            return None
+        df = spark.read.option("recursiveFileLookup", "true").parquet(folder)
+        return df.withColumns({C.SCD2_FLAG: F.lit(flag), C.SCD2_EXPIRY: F.lit(expiry).cast("date")})
+
+    target = stored(live, C.LATEST, None)
+    if target is None:
+        if path_exists(spark, path):
+            raise ValueError(f"{path} has no {C.SCD2_FLAG}={C.LATEST} folder; it is not a type-2 "
+                             "target in this layout, or has lost its current versions")
+        target = S.scd2_frame(source.limit(0).withColumn(C.SCD2_FLAG, F.lit(C.LATEST)))
+    expired = stored(today, C.EXPIRED, as_of)
+    if expired is not None:          # a second load on one day must not lose the first one's
+        target = target.unionByName(expired, allowMissingColumns=True)
+
+    def publish(df: DataFrame, mode: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).parquet(path))
+    kw.setdefault("stage_key", path)
+    return run_scd(spark, 2, source, target, keys, publish, as_of=as_of, **kw)
+
+
+def read_scd2_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A type-2 target as ``run_scd_parquet`` writes it, all versions."""
+    df = spark.read.parquet(path)
+    return df.withColumns({C.SCD2_FLAG: F.col(C.SCD2_FLAG).cast("int"),
+                           C.SCD2_EXPIRY: F.col(C.SCD2_EXPIRY).cast("date")})

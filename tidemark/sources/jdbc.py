@@ -39,25 +39,50 @@ def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
     """(min, max) of ``column``, computed by the database; the name is
     quoted with Spark's dialect for ``url``."""
     real = _resolve_column(spark, url, table, column, properties)
-    quoted = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url) \
-        .quoteIdentifier(real)
+    quoted = _quoted(spark, url, real)
     q = f"SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table}"
     row = (spark.read.format("jdbc").options(**_options(url, properties))
            .option("query", q).load().first())
     return row[0], row[1]
 
 
+def _quoted(spark: SparkSession, url: str, name: str) -> str:
+    return spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(name)
+
+
+def bucket_predicates(spark: SparkSession, url: str, table: str, column: str, n: int,
+                      properties: dict | None = None) -> list[str]:
+    """``n`` conditions that every row meets exactly one of: the remainder of
+    the absolute value, NULLs in the first."""
+    c = _quoted(spark, url, _resolve_column(spark, url, table, column, properties))
+    out = [f"MOD(ABS({c}), {n}) = {i}" for i in range(n)]
+    return [f"({out[0]} OR {c} IS NULL)", *out[1:]]
+
+
+def jdbc_count(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> int:
+    """Rows of ``table``, counted by the database."""
+    return int(spark.read.format("jdbc").options(**_options(url, properties))
+               .option("query", f"SELECT COUNT(*) AS n FROM {table}").load().first()[0])
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict | None = None,
               partition_column: str | None = None, lower_bound=None, upper_bound=None,
               num_partitions: int | None = None, fetch_size: int = 10000,
-              predicates: list[str] | None = None) -> DataFrame:
-    """A database table as a DataFrame, read in parallel when
-    ``partition_column`` is given (equal-width ranges of that column) or when
-    ``predicates`` are given: one task per WHERE condition, which the caller
-    makes disjoint and complete. Use predicates when the values of the
-    partition column are skewed, e.g. hash buckets computed by the database
-    (``MOD(key, 64) = 0`` ... ``MOD(key, 64) = 63``), so no range holds a third
-    of the table."""
+              predicates: list[str] | None = None, bucket_column: str | None = None,
+              single_task: bool = False) -> DataFrame:
+    """A database table as a DataFrame, read in parallel: by equal-width ranges
+    of ``partition_column``, or, when its values are skewed, by ``num_partitions``
+    remainders of the whole-number ``bucket_column`` (complete for negative and
+    NULL values, see ``bucket_predicates``), or by ``predicates`` of the caller,
+    which must be disjoint and complete. Reading through one task must be asked
+    for with ``single_task``."""
+    if bucket_column:
+        predicates = bucket_predicates(spark, url, table, bucket_column,
+                                       num_partitions or spark.sparkContext.defaultParallelism,
+                                       properties)
+    if not (predicates or partition_column or single_task):
+        raise ValueError(f"name a split of {table} (partition_column, bucket_column or predicates), "
+                         "or pass single_task=True")
     if predicates:
         props = {k: str(v) for k, v in (properties or {}).items()}
         props["fetchsize"] = str(fetch_size)
