@@ -31,6 +31,32 @@ select p.page_id, host, path, best.rule as rule, coalesce(best.v, 'allow') as ve
 from p left join fit using (page_id)
 """
 
+LINES = r"""
+with l as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+w as (select doc_id, ls, unnest(generate_series(0, len(ls) - 3)) as pos from l where len(ls) >= 3),
+win as (
+  select doc_id, pos, ls[pos + 1] as a, ls[pos + 2] as b, ls[pos + 3] as c from w
+  where regexp_matches(ls[pos + 1] || ls[pos + 2] || ls[pos + 3], '[^\x20\x09-\x0D]')),
+later as (
+  select doc_id, pos from win
+  qualify row_number() over (partition by a, b, c order by doc_id, pos) > 1),
+cov as (select distinct doc_id, pos + d as line from later, (values (0), (1), (2)) v(d)),
+runs as (
+  select doc_id, min(line) as s, max(line) as e
+  from (select doc_id, line, line - row_number() over (partition by doc_id order by line) as g from cov)
+  group by doc_id, g),
+cut as (
+  select doc_id, string_agg(s || '-' || e, ',' order by s) as removed, sum(e - s + 1) as n_removed
+  from runs group by doc_id),
+lines as (select doc_id, unnest(ls) as x, unnest(generate_series(0, len(ls) - 1)) as line from l),
+kept as (
+  select doc_id, string_agg(x, chr(10) order by line) as text
+  from lines anti join cov using (doc_id, line) group by doc_id)
+select l.doc_id, coalesce(k.text, '') as text, len(ls) as n_lines,
+       coalesce(cast(n_removed as bigint), 0) as n_removed, coalesce(removed, '') as removed
+from l left join kept k on k.doc_id = l.doc_id left join cut on cut.doc_id = l.doc_id
+"""
+
 NEAR = rf"""
 with recursive w as (
   select doc_id, regexp_extract_all({ASCII_LOWER}, '[^\x20\x09-\x0D]+') as ws from documents),
@@ -54,5 +80,6 @@ select doc_id, n as n_shingles, component_id, doc_id = component_id as kept from
 SQL = {
     "op1_exact_dedup": EXACT,
     "op3_url_filter": URL,
+    "op4_line_dedup": LINES,
     "op5_minhash_near_dedup": NEAR,
 }
