@@ -32,6 +32,9 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, checkpointed, shuffle_partitions
 
 
+HOT_GROUPS = 50_000    # at most so many groups of about 150 bytes are broadcast
+
+
 class CountingQuotientFilter:
     """Fingerprints of ``bits`` bits, split into a quotient (the slot run) and
     a remainder. Runs are stored in quotient order, remainders sorted inside
@@ -153,12 +156,26 @@ def copy_groups(digest: DataFrame) -> DataFrame:
                     F.col("keep.rid").alias("keep_rid"), F.col("n").alias("group_size")))
 
 
+def with_groups(digest: DataFrame) -> DataFrame:
+    """``digest`` with keep_id, keep_rid and group_size (NULL if alone).
+
+    Rows of a text with more than ``1 / HOT_GROUPS`` of all rows do not meet in
+    one task: there are fewer than ``HOT_GROUPS`` such texts, so their groups
+    are broadcast, and only the other rows are shuffled."""
+    keys = ["text_sha256", "n_bytes"]
+    groups = checkpointed(copy_groups(digest))
+    limit = max(1000, digest.count() // HOT_GROUPS)
+    hot = F.broadcast(groups.filter(F.col("group_size") > limit))
+    cold = groups.filter(F.col("group_size") <= limit)
+    return (digest.join(hot, keys)
+            .unionByName(digest.join(hot, keys, "left_anti").join(cold, keys, "left")))
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The decision for every row of ``docs``: doc_id, keep_id, group_size,
     kept, text_sha256."""
-    digest = checkpointed(digests(docs, id_col, text_col))
     alone = F.col("keep_rid").isNull()
-    return (digest.join(copy_groups(digest), ["text_sha256", "n_bytes"], "left")
+    return (with_groups(checkpointed(digests(docs, id_col, text_col)))
             .select("doc_id",
                     F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -175,7 +192,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     One key per row (id and text) decides, so copies of a text spread evenly
     over the tasks and only the dropped keys are shuffled besides the rows."""
     digest = checkpointed(digests(docs, id_col, text_col))
-    marked = checkpointed(digest.join(copy_groups(digest), ["text_sha256", "n_bytes"])
+    marked = checkpointed(with_groups(digest).filter("group_size is not null")
                           .select(_row_key(F.col("doc_id"), F.col("text_sha256")).alias("row_key"),
                                   (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("stays")))
     gone = marked.filter("not stays").select("row_key").distinct()
