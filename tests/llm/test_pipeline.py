@@ -3,8 +3,10 @@
 import corpus_pipeline
 import oracle
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tidemark.llm.common import row_number
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -33,3 +35,21 @@ def test_pipeline(spark):
     tokens = {r.doc_id: r for r in q["op6_sentencepiece"](spark, SF01).collect()}
     assert out and {r.doc_id for r in out} <= good
     assert all(tuple(r) == tuple(tokens[r.doc_id]) for r in out)
+
+
+def test_row_numbers_outlive_a_change_of_cores(spark, tmp_root):
+    path = f"{tmp_root}/many"
+    (spark.range(40_000).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 512), 6).alias("text"))
+     .repartition(3).write.option("parquet.block.size", 1 << 20).parquet(path))
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    seen = []
+    try:
+        for cores in (16, 2):            # as if executors went away between two scans
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", cores)
+            docs = spark.read.parquet(path)
+            seen.append(dict(docs.select("id", row_number(docs)).collect()))
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        if before is None:
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert seen[0] == seen[1]

@@ -39,5 +39,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def row_number(docs: DataFrame) -> Column:
+    """A number per row that is the same in every scan of ``docs``, a table scan
+    or a checkpoint. Left alone, Spark splits files by the cores it has at that
+    moment, so a lost executor would number the next scan's rows differently.
+    The split is therefore fixed for the session, unless it is set already."""
+    conf = docs.sparkSession.conf
+    if conf.get("spark.sql.files.minPartitionNum", None) is None:
+        conf.set("spark.sql.files.minPartitionNum",
+                 str(docs.sparkSession.sparkContext.defaultParallelism))
+    return F.monotonically_increasing_id()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, checkpointed, text_or_empty
+from .common import WORD, checkpointed, row_number, text_or_empty
 
 SPAN = 3
 NEW_LINE = "\n"
@@ -40,7 +40,7 @@ def windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return F.struct(i.alias("pos"), F.xxhash64(*[x["a"] for x in at]).alias("h1"),
                         F.xxhash64(*[x["b"] for x in at]).alias("h2"), counts.alias("counts"))
 
-    return (docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"),
+    return (docs.select(row_number(docs).alias("rid"), F.col(id_col).alias("doc_id"),
                         lines.alias("lines"))
             .filter(F.size("lines") >= SPAN)
             .select("rid", "doc_id", hashed.alias("hashed"))
@@ -72,7 +72,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, text without the covered lines, n_lines, n_removed, and the
     removed intervals (``cut``)."""
     cut = covered_lines(docs, id_col, text_col)
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"),
+    rows = docs.select(row_number(docs).alias("rid"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"),
                        F.split(text_or_empty(F.col(text_col)), NEW_LINE).alias("lines"))
     n = F.size("lines")

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, word_count
+from .common import checkpointed, row_number, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5            # of all words
@@ -46,7 +46,7 @@ CHUNK = 1 << 14        # grid points made per row of the first expansion
 def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                        word_count(F.col(text_col)).alias("size"),
-                       F.monotonically_increasing_id().alias("rid"))
+                       row_number(docs).alias("rid"))
 
 
 def targets(rows: DataFrame) -> DataFrame:
@@ -195,6 +195,6 @@ def materialise_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``docs`` must be a table scan or a checkpoint (rows meet by number)."""
     _, _, pieces = mix(docs, id_col, text_col, source_col)
     starts = pieces.filter("start = 0").select("rid", "slot")
-    return (docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid"))
+    return (docs.select(F.struct("*").alias("row"), row_number(docs).alias("rid"))
             .join(starts, "rid").select("row", "slot", "rid")
             .repartitionByRange("slot", "rid").sortWithinPartitions("slot", "rid").select("row.*"))

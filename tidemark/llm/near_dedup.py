@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, text_or_empty
+from .common import checkpointed, row_number, text_or_empty
 from .components import connected_components
 
 SHINGLE = 5
@@ -281,7 +281,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = text_or_empty(F.col(text_col))
     signatures = F.pandas_udf(_signatures, "n_shingles long, set_key binary, bands array<long>")
     numbered = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
-                           F.monotonically_increasing_id().alias("rid"))
+                           row_number(docs).alias("rid"))
     signed = checkpointed(numbered.select("rid", "doc_id", signatures("text").alias("s"))
                           .select("rid", "doc_id", "s.*"))
     classes = checkpointed(
@@ -320,5 +320,5 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component, the one with its smallest id."""
     gone = (near_groups(docs, id_col, text_col).filter("rid <> keep_rid").select("rid"))
-    return (docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid"))
+    return (docs.select(F.struct("*").alias("row"), row_number(docs).alias("rid"))
             .join(gone, "rid", "left_anti").select("row.*"))
