@@ -18,6 +18,9 @@ documents are linked when 100 * |A & B| >= 75 * |A | B|.
   and no link between components is lost, and a bucket of n near copies costs
   about n tests instead of n^2.
 * Every link is confirmed on the full sets of 64-bit shingle hashes.
+* What is found out per bucket or component (pivots, smallest sizes, heads) is
+  stored before it is joined to the rows. Adaptive execution splits a hot
+  bucket only if both sides of the join come straight from a shuffle.
 
 Defined results: NULL, empty and blank texts have no set, are linked with
 nothing and are their own component; a component is named by its smallest id
@@ -195,7 +198,7 @@ def _with_bounds(members: DataFrame, sets: DataFrame) -> DataFrame:
            .filter("k = 1").groupBy("cid").agg(F.collect_list("shingle").alias("own")))
     bounds = F.pandas_udf(_bounds, ", ".join(f"{c} long" for c in ("u", *BITS)))
     known = used.join(own, "cid", "left").select("cid", bounds("shingles", "own").alias("b"))
-    least = members.groupBy("key").agg(F.min("n").alias("least"))
+    least = checkpointed(members.groupBy("key").agg(F.min("n").alias("least")))
     shared = F.col("n") - F.col("u")
     return (members.join(known.select("cid", "b.*"), "cid").join(least, "key")
             .filter((shared >= F.col("least")) | _similar_enough(shared, F.col("n"), F.col("least")))
@@ -218,15 +221,16 @@ def _joined(labels: DataFrame, links: DataFrame, first: bool) -> DataFrame:
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of buckets that still hold several components, with ``comp``."""
     here = members.join(labels, "cid")
-    mixed = (here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo <> hi").select("key"))
+    mixed = checkpointed(here.groupBy("key")
+                         .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                         .filter("lo <> hi").select("key"))
     return checkpointed(here.join(mixed, "key", "left_semi"))
 
 
 def _outside_main(here: DataFrame) -> DataFrame:
     """The rows of each bucket that are not in its largest component."""
     sizes = here.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("k", "comp")).alias("main"))
+    main = checkpointed(sizes.groupBy("key").agg(F.max(F.struct("k", "comp")).alias("main")))
     return (here.join(main, "key").filter(F.col("comp") != F.col("main.comp")).drop("main"))
 
 
@@ -262,7 +266,8 @@ def _class_components(members: DataFrame, sets: DataFrame) -> DataFrame:
             pivots = _pivots(here, F.col("u") / F.col("n"))
         else:
             pivots = _outside_main(here)
-        pivots = pivots.select("key", *[F.col(c).alias("p_" + c) for c in here.columns if c != "key"])
+        pivots = checkpointed(pivots.select(
+            "key", *[F.col(c).alias("p_" + c) for c in here.columns if c != "key"]))
         may = _may_link(F.col("n"), F.col("p_n"))
         if turn:
             may = may & _may_share("", "p_")
@@ -289,7 +294,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .agg(F.min("rid").alias("cid"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid"))
              .alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
     bands = classes.select("cid", "n", F.explode("bands").alias("key"))
-    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
+    shared = checkpointed(bands.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
+                          .filter("k > 1").select("key"))
     members = checkpointed(bands.join(shared, "key", "left_semi"))
     wanted = members.select(F.col("cid").alias("rid")).distinct()
     sets = checkpointed(numbered.select("rid", "text").join(wanted, "rid", "left_semi")
@@ -298,7 +304,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     named = (classes.select("set_key", "first", "cid").join(labels, "cid", "left")
              .select("set_key", "first", F.coalesce("comp", "cid").alias("comp")))
-    heads = named.groupBy("comp").agg(F.min("first").alias("head"))
+    heads = checkpointed(named.groupBy("comp").agg(F.min("first").alias("head")))
     named = named.join(heads, "comp").select("set_key", F.col("head.doc_id").alias("component_id"),
                                              F.col("head.rid").alias("keep_rid"))
     empty = F.col("n_shingles") == 0
