@@ -57,6 +57,7 @@ def covered_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = (found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1").select("h1", "h2", F.col("first.rid").alias("rid0"),
                                      F.col("first.pos").alias("pos0")))
+    first = checkpointed(first)       # straight from a shuffle, a very common window can be split
     later = (found.join(first, ["h1", "h2"]).filter("rid <> rid0 or pos <> pos0")
              .select("rid", "pos"))
     in_order = Window.partitionBy("rid").orderBy("pos")
