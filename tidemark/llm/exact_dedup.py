@@ -190,13 +190,15 @@ def _row_key(doc_id: Column, sha: Column) -> Column:
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that exact_dedup drops, with all its columns.
     One key per row (id and text) decides, so copies of a text spread evenly
-    over the tasks and only the dropped keys are shuffled besides the rows."""
+    over the tasks and only the dropped keys are shuffled besides the rows. The
+    keys are stored first: adaptive execution can then split a row that occurs
+    very often."""
     digest = checkpointed(digests(docs, id_col, text_col))
     marked = checkpointed(with_groups(digest).filter("group_size is not null")
                           .select(_row_key(F.col("doc_id"), F.col("text_sha256")).alias("row_key"),
                                   (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("stays")))
-    gone = marked.filter("not stays").select("row_key").distinct()
-    repeated = marked.filter("stays").groupBy("row_key").count().filter("count > 1")
+    gone = checkpointed(marked.filter("not stays").select("row_key").distinct())
+    repeated = checkpointed(marked.filter("stays").groupBy("row_key").count().filter("count > 1"))
     sha = F.sha2(ascii_lower(F.col(text_col)).cast("binary"), 256)
     rows = docs.select(F.struct("*").alias("row"), _row_key(F.col(id_col), sha).alias("row_key"))
     out = rows.join(gone, "row_key", "left_anti")
