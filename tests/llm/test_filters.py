@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -75,6 +76,47 @@ def test_labels_agree_with_the_verdicts(spark):
         assert r.kept == (quality == 1 and not r.base_failed)
 
 
+def test_labels_of_clean_short_texts(spark):
+    """All ten labelled good texts of 20 to 33 words, where length and
+    vocabulary used to abstain, stay; no labelled bad one gets in."""
+    sf1 = "/root/testdata/sf0.1"
+    verdicts = {r.doc_id: r for r in quality_verdicts(
+        spark.read.parquet(f"{sf1}/documents.parquet")).collect()}
+    labels = duck(sf1).sql("select doc_id, quality from labels").fetchall()
+    wrong = [(i, verdicts[i].n_words) for i, quality in labels
+             if verdicts[i].kept != (quality == 1 and not verdicts[i].base_failed)]
+    assert wrong == []
+
+
+@pytest.mark.parametrize("words", ["a a a a a b", "one two three four five six seven eight"])
+def test_hot_copies_change_no_verdict(spark, words):
+    """A third of the rows are copies of one text, of stuttering or of clean
+    words; the other verdicts are those of the table without copies."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    text = " ".join(f"{w}{k}" for k in range(5) for w in words.split())
+    hot = spark.range(500).selectExpr("-1 - id as doc_id", f"'{text}' as text")
+    one, many = ({r.doc_id: (r.p_good, r.kept) for r in quality_verdicts(docs.union(h)).collect()}
+                 for h in (hot.limit(1), hot))
+    assert {i: many[i] for i in one} == one
+
+
+def test_hot_near_copies_flip_no_pattern():
+    """A pattern seen on half of all documents leaves clean texts in and texts
+    with two bad votes out."""
+    def code(s):
+        return sum("BAG".index(x) * 3 ** i for i, x in enumerate(s))
+
+    seen = {"GGGGGGGGGG": 7830, "GABBGGGGGG": 313, "GGBAGGGGGG": 286, "GGGGGGGGGA": 198,
+            "GGGGGGGGAA": 175, "AGGGGGGGGG": 158, "GABAGGGGGG": 25, "GGGGGGBBGG": 7}
+    for hot in seen:
+        counts = {code(s): math.sqrt(n + 9000 * (s == hot)) for s, n in seen.items()}
+        m = fit_label_model(counts, len(RULES))
+        for s in seen:
+            logit = np.log(m.good / (1 - m.good)) + sum(
+                np.log(t[1]["BAG".index(x)] / t[0]["BAG".index(x)]) for x, t in zip(s, m.by_rule))
+            assert (logit > 0) == ("B" not in s), (hot, s)
+
+
 def test_quality_of_odd_rows(docs_of):
     rows = [(1, None), (2, ""), (3, "x " * 30_000), (None, "a b"), (1, None)]
     got = quality_verdicts(docs_of(rows)).collect()

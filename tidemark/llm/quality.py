@@ -1,7 +1,7 @@
 """Quality rules as weak supervision.
 
 Each rule votes on every document: good, bad, or abstain. Nobody says how far
-a rule can be trusted: expectation-maximisation estimates, from all documents,
+a rule can be trusted: expectation-maximisation estimates, from the documents,
 the share of good documents and for each rule how often it votes good, bad or
 abstains on good and on bad documents. A document stays when its posterior
 probability of being good reaches the threshold; one odd vote does not reject
@@ -9,7 +9,13 @@ it as an all-must-pass filter would, unless that vote is worth it.
 
 What the estimation needs is the number of documents per pattern of votes, at
 most 3^rules rows whatever the number of documents. The counts come from one
-aggregation over all rows.
+aggregation over all rows that pass the base rule; the others are rejected
+anyway, and would teach what votes on short junk mean. Copies of a text count
+once, and n texts of one pattern count as sqrt(n): they are seldom independent
+(templates, near copies), and a common pattern would become a class of its own.
+Two bounds hold in every step of the estimation, whatever the corpus: a bad vote
+is at most ``BAD_ODDS`` times as frequent on good documents as on bad ones, and
+an abstention, where a rule has no opinion, at least ``ABSTAIN_ODDS`` times.
 
 Defined results: NULL or empty text has no words, fails the base rule and is
 rejected; repeated rows and ties get equal verdicts; an empty table gives no
@@ -31,6 +37,7 @@ from .common import checkpointed, text_or_empty
 
 BAD, ABSTAIN, GOOD = 0, 1, 2
 THRESHOLD = 0.5
+BAD_ODDS, ABSTAIN_ODDS = 0.01, 0.5
 WINDOW = 8
 
 STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -110,7 +117,7 @@ RULES = (
     Rule("stutter", "n_words >= 10 and n_same_next > 0.25 * n_words",
          "n_same_next <= 0.08 * n_words"),
     Rule("vocabulary", "n_words >= 30 and n_distinct < 2 * sqrt(n_words)",
-         "n_distinct > 5 * sqrt(n_words)"),
+         "n_distinct > least(5 * sqrt(n_words), 0.7 * n_words)"),     # the second below 51 words
     Rule("repeated_windows", "n_repeat_words > 0.3 * n_words", "n_repeat_words <= 0.05 * n_words"),
     Rule("repeated_lines", "n_lines >= 5 and n_dup_lines > 0.5 * n_lines", "n_dup_lines = 0"),
 )
@@ -118,14 +125,15 @@ BASE_FAILED = "n_words < 20 or 100 * n_repeat_words > 30 * n_words"
 
 
 def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Whole rows (``row``), their statistics (``st``) and the code of their
-    votes in base 3 (``votes``)."""
-    rows = docs.select(F.struct("*").alias("row"),
-                       F.pandas_udf(stats_of, STATS)(text_or_empty(F.col(text_col))).alias("st"))
+    """Whole rows (``row``), their statistics (``st``), the code of their votes
+    in base 3 (``votes``) and a hash of their text (``text_hash``)."""
+    text = text_or_empty(F.col(text_col))
+    rows = docs.select(F.struct("*").alias("row"), F.pandas_udf(stats_of, STATS)(text).alias("st"),
+                       F.xxhash64(text).alias("text_hash"))
     vote = " + ".join(f"{3 ** i} * (case when {r.bad} then {BAD} when {r.good} then {GOOD} "
                       f"else {ABSTAIN} end)" for i, r in enumerate(RULES))
-    return (rows.select("row", "st", "st.*")
-            .select("row", "st", F.expr(vote).cast("int").alias("votes"),
+    return (rows.select("row", "text_hash", "st", "st.*")
+            .select("row", "text_hash", "st", F.expr(vote).cast("int").alias("votes"),
                     F.expr(BASE_FAILED).alias("base_failed")))
 
 
@@ -146,9 +154,10 @@ class LabelModel:
         return out
 
 
-def fit_label_model(patterns: dict[int, int], n_rules: int, rounds: int = 100) -> LabelModel:
+def fit_label_model(patterns: dict[int, float], n_rules: int, rounds: int = 100) -> LabelModel:
     """EM over counts of vote patterns. The priors (a few documents' worth)
-    say which class is which: good documents seldom get bad votes."""
+    say which class is which: good documents seldom get bad votes. The bounds
+    keep that meaning where few bad documents are left to learn it from."""
     codes = np.array(sorted(patterns), dtype=np.int64)
     counts = np.array([patterns[c] for c in codes], dtype=float)
     votes = (codes[:, None] // 3 ** np.arange(n_rules)) % 3
@@ -162,6 +171,9 @@ def fit_label_model(patterns: dict[int, int], n_rules: int, rounds: int = 100) -
         post = post / post.sum(axis=1, keepdims=True) * counts[:, None]
         new = np.einsum("pc,pjv->jcv", post, seen) + prior
         new /= new.sum(axis=2, keepdims=True)
+        new[:, 1, BAD] = np.minimum(new[:, 1, BAD], BAD_ODDS * new[:, 0, BAD])
+        new[:, 1, ABSTAIN] = np.maximum(new[:, 1, ABSTAIN], ABSTAIN_ODDS * new[:, 0, ABSTAIN])
+        new /= new.sum(axis=2, keepdims=True)
         share = (post[:, 1].sum() + 8.5) / (counts.sum() + 10)
         done = abs(share - good) < 1e-9 and np.abs(new - table).max() < 1e-9
         good, table = float(min(max(share, 1e-6), 1 - 1e-6)), new
@@ -171,8 +183,9 @@ def fit_label_model(patterns: dict[int, int], n_rules: int, rounds: int = 100) -
 
 
 def _fit(scored: DataFrame) -> LabelModel:
-    patterns = scored.groupBy("votes").count().collect()      # at most 3^rules rows
-    return fit_label_model({r["votes"]: r["count"] for r in patterns}, len(RULES))
+    patterns = (scored.filter(~F.col("base_failed")).groupBy("votes")
+                .agg(F.countDistinct("text_hash").alias("n")).collect())      # at most 3^rules rows
+    return fit_label_model({r["votes"]: math.sqrt(r["n"]) for r in patterns}, len(RULES))
 
 
 def _kept(model: LabelModel, threshold: float) -> tuple[Column, Column]:
@@ -184,8 +197,8 @@ def quality_verdicts(docs: DataFrame, threshold: float = THRESHOLD, id_col: str
                      text_col: str = "text") -> DataFrame:
     """doc_id, the statistics, base_failed, p_good and kept of every row."""
     scored = checkpointed(with_stats(docs.select(id_col, text_col), text_col)
-                          .select(F.col(f"row.{id_col}").alias("doc_id"), "st", "votes",
-                                  "base_failed"))
+                          .select(F.col(f"row.{id_col}").alias("doc_id"), "text_hash", "st",
+                                  "votes", "base_failed"))
     p_good, kept = _kept(_fit(scored), threshold)
     return scored.select("doc_id", "st.*", "base_failed", p_good, kept)
 
