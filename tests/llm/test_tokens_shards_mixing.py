@@ -75,6 +75,16 @@ def test_shards_are_gapless_and_grow_into_the_new_one(docs_of):
     assert all(grown[r.doc_id] == r.grown_shard for r in got if r.doc_id is not None)
 
 
+def test_buckets_of_a_hot_key_stay_small(docs_of):
+    """One id with a third of all bytes: its shard gets more buckets."""
+    rows = [(7, "x" * 84)] * 1000 + [(i, "x" * 84) for i in range(100, 2100)]
+    got = external_shuffle(docs_of(rows), bucket_bytes=5000).collect()
+    size = collections.Counter()
+    for r in got:
+        size[r.shard, r.bucket] += r.size
+    assert len(got) == 3000 and max(size.values()) < 3 * 5000
+
+
 def test_shuffle_is_random_and_repeats(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     a, b = ([tuple(r) for r in external_shuffle(docs, n_shards=2).orderBy("shard", "slot").collect()]

@@ -3,8 +3,9 @@
 Pass 1 scatters the records into buckets by seeded hashes. A record's shard
 follows rendezvous hashing of its key (the ``key`` law): the shard with the
 largest seeded hash wins, so one more shard takes rows only into itself. Each
-shard is cut into buckets of about ``bucket_bytes``, again by a seeded hash,
-now of the single row, so that a repeated key spreads over the buckets.
+shard is cut into buckets of about ``bucket_bytes``, as many as its own bytes
+need, again by a seeded hash, now of the single row, so that a repeated key
+spreads over the buckets.
 
 Pass 2 brings one bucket at a time into memory, puts it into a defined order,
 permutes it with a seeded Fisher-Yates shuffle (``shuffle``), and numbers the
@@ -63,22 +64,27 @@ def external_shuffle(docs: DataFrame, n_shards: int = 40, seed: int = 20240601,
 
 def shuffle_records(rows: DataFrame, n_shards: int, seed: int, bucket_bytes: int) -> DataFrame:
     """Both passes over the stored output of ``records``."""
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    per_shard = max(1, math.ceil(total / n_shards / bucket_bytes))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.col("text_crc32")))
+    sizes = (rows.groupBy(rendezvous_shard(key, n_shards, seed).alias("shard"))
+             .agg(F.sum("size").alias("bytes")).collect())                   # n_shards rows at most
+    per_shard = [1] * n_shards
+    for r in sizes:
+        per_shard[r["shard"]] = math.ceil(r["bytes"] / bucket_bytes)
+    n_buckets = F.element_at(F.array(*[F.lit(n).cast("long") for n in per_shard]),
+                             F.col("shard") + 1)
 
     # pass 1: scatter
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.col("text_crc32")))
     placed = (rows.withColumn("key", key)
               .withColumn("shard", rendezvous_shard(F.col("key"), n_shards, seed))
               .withColumn("grown_shard",
                           F.when(_score(F.col("key"), n_shards, seed)
                                  > _score(F.col("key"), F.col("shard"), seed), F.lit(n_shards))
                           .otherwise(F.col("shard")))
-              .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "rid"), F.lit(per_shard)))
+              .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "rid"), n_buckets))
               .drop("key"))
 
     # pass 2: shuffle each bucket in memory
-    n_parts = max(shuffle_partitions(rows.sparkSession), min(n_shards * per_shard, 1 << 16))
+    n_parts = max(shuffle_partitions(rows.sparkSession), min(sum(per_shard), 1 << 16))
     item = F.struct(F.xxhash64(F.lit(seed + 2), "rid").alias("h"), "rid", "doc_id", "size",
                     "text_crc32", "grown_shard")
     buckets = (placed.repartition(n_parts, "shard", "bucket")
