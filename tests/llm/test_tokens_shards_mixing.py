@@ -106,6 +106,22 @@ def test_write_shards(spark, docs_of, tmp_root):
     assert all(sorted(x) == list(range(len(x))) for x in by.values())
 
 
+def test_the_query_writes_the_shards(spark, monkeypatch, tmp_root):
+    """op8 writes whole rows, and says of them what the assignment says."""
+    from tidemark.llm import queries
+    monkeypatch.setattr(queries, "scratch_folder", lambda s, name: f"{tmp_root}/{name}", raising=False)
+    got = queries.op8_sharding(spark, SF01).collect()
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    back = spark.read.parquet(f"{tmp_root}/shards")
+    assert back.select(docs.columns).exceptAll(docs).isEmpty() and back.count() == len(got) == 1000
+    texts = {r["_shard"]: set() for r in back.collect()}
+    for r in back.collect():
+        texts[r["_shard"]].add((r["_slot"], r.doc_id, zlib.crc32((r.text or "").encode())))
+    assert all((r.slot, r.doc_id, r.text_crc32) in texts[r.shard] for r in got)
+    want = external_shuffle(docs).drop("bucket", "rid").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 # ---------------------------------------------------------------- mixing
 
 def brute_targets(rows):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_root, scratch_folder
 from .common import table
 from .exact_dedup import exact_dedup
 from .line_dedup import dedup_lines
@@ -14,7 +15,7 @@ from .pii import pseudonymise
 from .quality import quality_verdicts
 from .secret_scan import scan_secrets
 from .sentencepiece_codec import token_digests
-from .shard import external_shuffle
+from .shard import write_shards, written_shards
 from .url_filter import judge_urls
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -68,7 +69,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return external_shuffle(table(spark, sf_dir, "documents")).drop("bucket", "rid")
+    """The shards are written; the rows are what the written shards hold."""
+    ensure_checkpoint_root(spark)
+    path = scratch_folder(spark, "shards")
+    write_shards(table(spark, sf_dir, "documents"), path)
+    return written_shards(spark, path)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

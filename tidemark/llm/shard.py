@@ -7,9 +7,11 @@ shard is cut into buckets of about ``bucket_bytes``, as many as its own bytes
 need, again by a seeded hash, now of the single row, so that a repeated key
 spreads over the buckets.
 
-Pass 2 brings one bucket at a time into memory, puts it into a defined order,
-permutes it with a seeded Fisher-Yates shuffle (``shuffle``), and numbers the
-records; buckets follow one another inside their shard.
+Pass 2 takes one bucket at a time, puts it into a defined order, permutes it
+with a seeded Fisher-Yates shuffle of its places (``shuffle``), and numbers the
+records; buckets follow one another inside their shard. ``write_shards`` moves
+the whole rows this way and writes the shards; ``external_shuffle`` only assigns
+shard and slot.
 
 Defined results: NULL text has no bytes (size 16); a NULL id is placed by its
 text's checksum; repeated rows share a shard (same key) and get different
@@ -22,11 +24,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, shuffle_partitions, text_or_empty
+from .common import checkpointed, row_number, shuffle_partitions, text_or_empty
 
 OVERHEAD = 16          # bytes a record takes besides its text
 BUCKET_BYTES = 64 << 20
@@ -44,13 +46,15 @@ def rendezvous_shard(key: Column, n_shards: int, seed: int) -> Column:
 
 
 def records(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-            rid: Column | None = None) -> DataFrame:
-    """The small columns of every record, and a number of its own (``rid``)."""
+            rid: Column | None = None, *more: str) -> DataFrame:
+    """The small columns of every record, a number of its own (``rid``), and
+    ``more`` columns as they are."""
     t = text_or_empty(F.col(text))
     return docs.select(F.col(doc_id).alias("doc_id"),
                        (F.octet_length(t) + F.lit(OVERHEAD)).cast("long").alias("size"),
                        F.crc32(t.cast("binary")).alias("text_crc32"),
-                       (F.monotonically_increasing_id() if rid is None else rid).alias("rid"))
+                       (F.monotonically_increasing_id() if rid is None else rid).alias("rid"),
+                       *more)
 
 
 def external_shuffle(docs: DataFrame, n_shards: int = 40, seed: int = 20240601,
@@ -58,63 +62,86 @@ def external_shuffle(docs: DataFrame, n_shards: int = 40, seed: int = 20240601,
                      text_col: str = "text") -> DataFrame:
     """Shard and slot of every row: doc_id, size, text_crc32, law, shard,
     slot, grown_shard (the shard if there were one more), bucket, rid."""
-    return shuffle_records(checkpointed(records(docs, id_col, text_col)), n_shards, seed,
-                           bucket_bytes)
+    rows = checkpointed(records(docs, id_col, text_col))
+    return (shuffle_records(rows, rows, n_shards, seed, bucket_bytes)
+            .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
+                    "grown_shard", "bucket", "rid"))
 
 
-def shuffle_records(rows: DataFrame, n_shards: int, seed: int, bucket_bytes: int) -> DataFrame:
-    """Both passes over the stored output of ``records``."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.col("text_crc32")))
-    sizes = (rows.groupBy(rendezvous_shard(key, n_shards, seed).alias("shard"))
+def _key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.col("text_crc32")))
+
+
+def _scatter(rows: DataFrame, n_shards: int, seed: int, per_shard: list[int]) -> DataFrame:
+    """Pass 1: ``rows`` (doc_id, text_crc32, rid and any others) with their
+    shard, grown_shard and bucket."""
+    n_buckets = F.element_at(F.array(*[F.lit(n).cast("long") for n in per_shard]),
+                             F.col("shard") + 1)
+    return (rows.withColumn("key", _key())
+            .withColumn("shard", rendezvous_shard(F.col("key"), n_shards, seed).cast("int"))
+            .withColumn("grown_shard",
+                        F.when(_score(F.col("key"), n_shards, seed)
+                               > _score(F.col("key"), F.col("shard"), seed), F.lit(n_shards))
+                        .otherwise(F.col("shard")).cast("int"))
+            .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "rid"), n_buckets))
+            .drop("key"))
+
+
+def shuffle_records(small: DataFrame, rows: DataFrame, n_shards: int, seed: int,
+                    bucket_bytes: int) -> DataFrame:
+    """Both passes over ``rows``, of which ``small`` holds the stored output of
+    ``records``: ``rows`` with shard, grown_shard, bucket and slot. The rows are
+    shuffled once; a bucket's permutation is an array of its places."""
+    sizes = (small.groupBy(rendezvous_shard(_key(), n_shards, seed).alias("shard"))
              .agg(F.sum("size").alias("bytes")).collect())                   # n_shards rows at most
     per_shard = [1] * n_shards
     for r in sizes:
         per_shard[r["shard"]] = math.ceil(r["bytes"] / bucket_bytes)
-    n_buckets = F.element_at(F.array(*[F.lit(n).cast("long") for n in per_shard]),
-                             F.col("shard") + 1)
+    n_parts = max(shuffle_partitions(small.sparkSession), min(sum(per_shard), 1 << 16))
 
-    # pass 1: scatter
-    placed = (rows.withColumn("key", key)
-              .withColumn("shard", rendezvous_shard(F.col("key"), n_shards, seed))
-              .withColumn("grown_shard",
-                          F.when(_score(F.col("key"), n_shards, seed)
-                                 > _score(F.col("key"), F.col("shard"), seed), F.lit(n_shards))
-                          .otherwise(F.col("shard")))
-              .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "rid"), n_buckets))
-              .drop("key"))
-
-    # pass 2: shuffle each bucket in memory
-    n_parts = max(shuffle_partitions(rows.sparkSession), min(sum(per_shard), 1 << 16))
-    item = F.struct(F.xxhash64(F.lit(seed + 2), "rid").alias("h"), "rid", "doc_id", "size",
-                    "text_crc32", "grown_shard")
-    buckets = (placed.repartition(n_parts, "shard", "bucket")
-               .groupBy("shard", "bucket").agg(F.array_sort(F.collect_list(item)).alias("items"))
-               .sortWithinPartitions("shard", "bucket")
-               .withColumn("items", F.shuffle("items", seed + 3)))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
-    starts = (placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
-              .select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
-    return (buckets.select("shard", "bucket", F.posexplode("items").alias("pos", "item"))
-            .join(starts, ["shard", "bucket"])
-            .select("item.doc_id", "item.size", "item.text_crc32", F.lit("key").alias("law"),
-                    F.col("shard").cast("int").alias("shard"),
-                    (F.col("start") + F.col("pos")).cast("long").alias("slot"),
-                    F.col("item.grown_shard").cast("int").alias("grown_shard"),
-                    "bucket", "item.rid"))
+    # Fisher-Yates of each bucket; in a fixed order, as the generator runs on
+    places = (_scatter(small, n_shards, seed, per_shard)
+              .groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+              .repartition(n_parts, "shard", "bucket").sortWithinPartitions("shard", "bucket")
+              .select("shard", "bucket", "start",
+                      F.shuffle(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")),
+                                seed + 3).alias("places")))
+    within = Window.partitionBy("shard", "bucket").orderBy("h", "rid")
+    return (_scatter(rows, n_shards, seed, per_shard).withColumn("h", F.xxhash64(F.lit(seed + 2), "rid"))
+            .repartition(n_parts, "shard", "bucket")
+            .withColumn("at", F.row_number().over(within))
+            .join(places, ["shard", "bucket"])
+            .withColumn("slot", (F.col("start") + F.element_at("places", F.col("at"))).cast("long"))
+            .drop("h", "at", "start", "places"))
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 40, seed: int = 20240601,
                  bucket_bytes: int = BUCKET_BYTES, id_col: str = "doc_id",
                  text_col: str = "text") -> None:
-    """Write whole rows as one folder per shard, sorted by slot (column
-    ``_slot``). The scatter pass stores the rows in the checkpoint folder once;
-    rows meet their slot by their number, so repeated rows need no window."""
-    stored = checkpointed(docs.select(F.struct("*").alias("row"),
-                                      F.monotonically_increasing_id().alias("rid")))
-    slots = shuffle_records(records(stored, f"row.{id_col}", f"row.{text_col}", F.col("rid")),
-                            n_shards, seed, bucket_bytes)
-    (stored.join(slots.select("rid", F.col("shard").alias("_shard"), F.col("slot").alias("_slot"),
-                              F.col("bucket").alias("_bucket")), "rid")
-     .repartition("_shard", "_bucket").sortWithinPartitions("_shard", "_slot")
-     .select("row.*", "_shard", "_slot").write.partitionBy("_shard").parquet(path))
+    """Write whole rows as one folder per shard, sorted by slot (columns
+    ``_shard``, ``_slot`` and ``_grown_shard``). ``docs`` is a table scan or a
+    checkpoint: it is read once for the small columns, which are stored, and
+    once for the rows, which are shuffled once."""
+    rid = row_number(docs)
+    small = checkpointed(records(docs, id_col, text_col, rid))
+    rows = docs.select(F.struct("*").alias("row"), rid.alias("rid"))
+    rows = records(rows, f"row.{id_col}", f"row.{text_col}", F.col("rid"), "row")
+    (shuffle_records(small, rows, n_shards, seed, bucket_bytes)
+     .sortWithinPartitions("shard", "slot")
+     .select("row.*", F.col("shard").alias("_shard"), F.col("slot").alias("_slot"),
+             F.col("grown_shard").alias("_grown_shard"))
+     .write.partitionBy("_shard").parquet(path))
+
+
+def written_shards(spark: SparkSession, path: str, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row that
+    ``write_shards`` wrote, from the written texts."""
+    back = spark.read.parquet(path)
+    return (records(back, id_col, text_col, F.lit(0), "_shard", "_slot", "_grown_shard")
+            .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"),
+                    F.col("_shard").cast("int").alias("shard"), F.col("_slot").alias("slot"),
+                    F.col("_grown_shard").alias("grown_shard")))
