@@ -228,6 +228,35 @@ def test_pseudonyms_keep_format_and_links(docs_of):
     assert (got[1].n_found, got[5].n_found) == (8, 0)
 
 
+def test_pseudonyms_of_other_scripts_and_groupings(docs_of):
+    """Nothing stays in clear, and one value gets one pseudonym however it is
+    written; years and dates after a number stay out of it."""
+    rows = [(1, "юрий@почта.рф ЮРИЙ@почта.рф 李明@mail.example.cn jose\u0301@mail2.example.com."),
+            (2, "+44 20 7946 0958, +442079460958, +44-20-7946-0958; +49 30 1234567 02/30/2001"),
+            (3, "+15552345678 555-234-5678 (555) 234-5678 5552345678 +1 555 234 5678 15552345678"),
+            (4, "3782-822463-10005 3782 822463 10005 378282246310005 3782-822463-10006"),
+            (5, "0.5552345678 a5552345678 1700000000 2024-5552345678 5552345678-9")]
+    got = {r.doc_id: r for r in pseudonymise(docs_of(rows)).collect()}
+
+    def digits(x):
+        return re.sub("[^0-9]", "", x)
+    a, b, c, d = got[1].text.split(" ")
+    assert a == b and a.endswith("@почта.рф") and len({a, c, d}) == 3 and got[1].n_email == 4
+    assert not re.search("юрий|李|jose", " ".join(x.split("@")[0] for x in (a, b, c, d)), re.I)
+    new = got[2].text
+    uk = re.match(r"(\+44 \d\d \d{4} \d{4}), (\+44\d{10}), (\+44-\d\d-\d{4}-\d{4}); ", new).groups()
+    assert len({digits(x) for x in uk}) == 1 and digits(uk[0]) != "442079460958"
+    assert new.endswith(" 02/30/2001") and "1234567" not in new and got[2].n_e164 == 4
+    assert got[3].n_phone == 6 and got[3].n_e164 == 0
+    flat = digits(got[3].text)
+    ten = flat[1:11]
+    assert ten != "5552345678" and flat == f"1{ten}{ten}{ten}{ten}1{ten}1{ten}"
+    cards = re.match(r"(\d{4}-\d{6}-\d{5}) (\d{4} \d{6} \d{5}) (\d{15}) 3782-822463-10006$",
+                     got[4].text).groups()
+    assert len({digits(x) for x in cards}) == 1 and luhn(cards[2]) and cards[2] != "378282246310005"
+    assert got[5].text == rows[4][1]
+
+
 def test_pseudonyms_are_a_permutation(docs_of):
     ips = [f"10.0.{i // 256}.{i % 256}" for i in range(600)]
     days = [f"19{y:02d}-{m:02d}-17" for y in range(30, 80) for m in range(1, 13)]

@@ -2,14 +2,19 @@
 
 Found and validated: payment cards (13 to 19 digits, Luhn), North American
 phone numbers, E.164 numbers, US social security numbers, IPv4 addresses,
-dates, and the local part of e-mail addresses. Every value is replaced by a
-keyed permutation of itself within its format:
+dates, and the local part of e-mail addresses. Numbers may be grouped by spaces,
+dots or dashes, which do not count for the pseudonym; a +1 and ten digits are a
+phone number however they are grouped, and so are ten digits alone with valid
+area and exchange codes. Every value is replaced by a keyed permutation of
+itself within its format:
 
 * The value is a number in a domain a x b, or for e-mail a string of letters
   and digits in two halves. Each round adds to one half a SHA-256 of the key,
   the format, the round and the other half, modulo the size of that half. Every
   round can be undone, so the whole is a permutation of the format: equal values
   get equal pseudonyms in all documents, different values different ones.
+* An e-mail's local part with characters beyond ASCII is not permuted but
+  replaced by a keyed 128-bit token: equal values stay linked, the length does not.
 * Pseudonyms are valid values again: cards get a new check digit, area and
   exchange codes begin with 2 to 9, dates stay in their century block (1930-2029
   and so on) and are real days. Separators, a leading +1, the e-mail's domain,
@@ -30,7 +35,8 @@ KEY = "tidemark-pseudonyms"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERNS = {         # in order of precedence at one place
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+){1,8}",
+    "email": (r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++"
+              r"@[\p{L}\p{M}\p{N}-]++(?:\.[\p{L}\p{M}\p{N}-]+){1,8}"),
     "ipv4": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9])",
     "date": (r"(?<![0-9])(?:1[89]|20)[0-9]{2}-[01][0-9]-[0-3][0-9](?![0-9])"
              r"|(?<![0-9.])[0-3][0-9]\.[01][0-9]\.(?:1[89]|20)[0-9]{2}(?![0-9])"
@@ -38,9 +44,14 @@ PATTERNS = {         # in order of precedence at one place
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "phone": (r"(?<![0-9A-Za-z])\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9A-Za-z])"
               r"|(?<![0-9A-Za-z])(?:\+?1[-. ]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[-. ])"
-              r"[2-9][0-9]{2}[-. ][0-9]{4}(?![0-9A-Za-z])"),
-    "e164": r"(?<![0-9A-Za-z+])\+[1-9][0-9]{7,14}(?![0-9A-Za-z])",
-    "card": (r"(?<![0-9A-Za-z])(?:[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{13,19})"
+              r"[2-9][0-9]{2}[-. ][0-9]{4}(?![0-9A-Za-z])"
+              r"|(?<![0-9A-Za-z+])\+1(?:[-. ]?[0-9]){10}(?![0-9A-Za-z])"
+              r"|(?<![0-9A-Za-z.,/_+-])1?[2-9][0-9]{2}[2-9][0-9]{6}(?![0-9A-Za-z/_-]|[.,][0-9])"),
+    "e164": (r"(?<![0-9A-Za-z+])\+[1-9][0-9]{7,14}(?![0-9A-Za-z])"
+             r"|(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}[-. ](?:\([0-9]{1,4}\)[-. ]?)?"
+             r"[0-9](?:[-. ]?[0-9]){6,11}(?![0-9A-Za-z/])"),
+    "card": (r"(?<![0-9A-Za-z])(?:[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4}(?: [0-9]{4}){3}"
+             r"|[0-9]{4}-[0-9]{6}-[0-9]{5}|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{13,19})"
              r"(?![0-9A-Za-z])"),
 }
 ANY = "|".join(PATTERNS.values())
@@ -160,8 +171,8 @@ def _e164(m: Column, key: str) -> Column:
         p = feistel(F.substring(d, F.lit(4), half), F.substring(d, half + 4, rest),
                     F.pow(F.lit(10.0), half).cast("long"), F.pow(F.lit(10.0), rest).cast("long"),
                     key, "e164")
-        return F.concat(F.lit("+"), F.substring(d, 1, 3),
-                        _let(p, lambda x: F.concat(_padded(x["l"], half), _padded(x["r"], rest))))
+        return _into(m, _let(p, lambda x: F.concat(
+            F.substring(d, 1, 3), _padded(x["l"], half), _padded(x["r"], rest))))
 
     return _let(_digits(m), swap)
 
@@ -218,8 +229,9 @@ def _date(m: Column, key: str) -> Column:
 
 
 def _email(m: Column, key: str) -> Column:
-    """The local part, letters and digits in their places. Letters other than
-    a-z and marks stay."""
+    """The local part, letters and digits in their places. Punctuation stays.
+    A local part with other letters, digits or marks becomes a keyed token of 32
+    hexadecimal digits, the same for either letter case."""
     local = F.substring_index(m, "@", 1)
     places = F.transform(_chars(local), lambda c: F.struct(
         c.alias("c"),
@@ -256,7 +268,10 @@ def _email(m: Column, key: str) -> Column:
 
         return F.array_join(F.transform(new, char), "")
 
-    return F.concat(_let(places, swap), F.lit("@"), F.substring_index(m, "@", -1))
+    token = F.substring(F.sha2(F.concat_ws(":", F.lit(f"{key}:email"), F.lower(m)).cast("binary"), 256),
+                        1, 32)
+    return F.concat(F.when(local.rlike(r"[^\x00-\x7F]"), token).otherwise(_let(places, swap)),
+                    F.lit("@"), F.substring_index(m, "@", -1))
 
 
 _SWAPS = {"email": _email, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "phone": _phone,
