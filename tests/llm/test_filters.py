@@ -203,6 +203,23 @@ def test_random_tokens_are_added_and_words_are_not(docs_of):
     assert sum(got[i] for i in range(40, 80)) == 0 and got[500] == 0
 
 
+def test_uuids_are_added_and_slugs_are_not(docs_of):
+    """Random UUIDs are hex in five parts; digits evenly used fail a test
+    against 64 symbols."""
+    rng = random.Random(6)
+    keys = []
+    for k in range(60):
+        x = list("0123456789abcdef" * 2)
+        rng.shuffle(x)
+        x = "".join(x).upper() if k % 2 else "".join(x)
+        keys.append("-".join((x[:8], x[8:12], x[12:16], x[16:20], x[20:])))
+    slugs = [f"chapter-{k}-section-paragraph-line-2024-" + "a" * k for k in range(10, 50)]
+    got = {r.doc_id: r.n_random for r in scan_secrets(
+        docs_of([(i, f"see {x} here") for i, x in enumerate(keys + slugs)])).collect()}
+    assert sum(got[i] for i in range(60)) >= 57
+    assert sum(got[i] for i in range(60, 100)) == 0
+
+
 # -------------------------------------------------------------------- PII
 
 def luhn(d):

@@ -99,8 +99,11 @@ def _two_sided(z: Column) -> Column:
 
 def with_p_values(tokens: DataFrame) -> DataFrame:
     """Adds encoding, n, p (column ``token``). Tokens without a digit, or
-    without a letter, have no encoding and drop out."""
+    without a letter, have no encoding and drop out. Dashes and underscores
+    between hexadecimal parts (a UUID) are not part of the token."""
     body = F.regexp_replace("token", "=+$", "")
+    parts = F.regexp_replace(body, "[-_]", "")
+    body = F.when(parts.rlike(ALPHABETS["hex"][0]), parts).otherwise(body)
     encoding, symbols = F.lit(None).cast("string"), F.lit(None).cast("string")
     for name, (pattern, alphabet) in reversed(ALPHABETS.items()):
         encoding = F.when(F.col("body").rlike(pattern), F.lit(name)).otherwise(encoding)
