@@ -10,7 +10,7 @@ from tidemark.plans.cdc_job import run_cdc
 from tidemark.plans.publish import TablePaths, StagingMismatch, verify_staged, write_observed
 from tidemark.sources import derived as X
 from tidemark.sources.files import read_current, read_target
-from conftest import SF001
+from paths import SF001
 
 OPEN = dt.date(9999, 12, 31)
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import checks
 from tidemark.operators.dedupe import dedupe
-from conftest import SF01
+from paths import SF01
 
 
 def test_filtered_rows_and_count(spark):

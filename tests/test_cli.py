@@ -5,7 +5,7 @@ import json
 from tidemark.__main__ import main
 from tidemark.plans.publish import TablePaths
 from tidemark.sources import derived as X
-from conftest import SF001
+from paths import SF001
 
 
 def test_cli_cdc(spark, tmp_root, capsys):

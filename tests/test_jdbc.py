@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.scd_job import read_scd2_parquet, run_scd_jdbc, run_scd_parquet
 from tidemark.sources.jdbc import read_jdbc, write_jdbc
-from conftest import SF001
+from paths import SF001
 
 DRIVER = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from oracle import compare, duck
-from conftest import SF01
+from paths import SF01
 from tidemark.plans.registry import QUERIES
 
 NAMES = sorted(QUERIES)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import scd
 from tidemark.operators.snapshot_diff import Stamps
 from tidemark.sources import derived as X
-from conftest import SF01
+from paths import SF01
 
 ST = Stamps("2024-06-01", "2024-06-01 00:00:00")
 SCHEMA = "k int, name string, sal double"

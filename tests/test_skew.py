@@ -2,7 +2,7 @@
 before the shuffle. Checked at run time from the exchange's own metrics."""
 
 import __spark_entry__ as E
-from conftest import SF01
+from paths import SF01
 
 
 def shuffle_records_written(df) -> list[int]:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import snapshot_diff as sd
 from tidemark.sources import derived as X
-from conftest import SF01
+from paths import SF01
 
 ST = sd.Stamps("2024-06-01", "2024-06-01 00:00:00")
 CUR_SCHEMA = ("k string, v int, row_md5 string, audit_flag string, bgn_dt date, end_dt date, "
