@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_root, scratch_folder
-from .common import table
+from .common import ascii_lower, table
 from .exact_dedup import exact_dedup
+from .importance import importance_ranks
 from .line_dedup import dedup_lines
+from .merkle import fold, leaf_digest, merkle_manifest, proof_digest
 from .mixing import mix_to_weights
 from .near_dedup import near_dedup
 from .pii import pseudonymise
@@ -84,6 +86,26 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every proof, and the root it gives for the stored row. Where 5 divides the
+    checksum of the id, the row is tampered with: its text has lost its capitals."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    text = F.when(F.col("text").isNotNull(), ascii_lower(F.col("text")))
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    manifest = merkle_manifest(docs, also={"changed": F.when(tampered, leaf_digest([*fields, text]))})
+    folded = fold(F.coalesce("changed", "leaf"), F.col("proof"))
+    return (manifest.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
+                            folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "n_features", "weight", "score", "rank"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_rules, op3_url_filter, op4_line_dedup, op5_minhash_near_dedup,
-    op6_sentencepiece, op7_pii, op8_sharding, op9_mixing, op10_secret_scan)}
+    op6_sentencepiece, op7_pii, op8_sharding, op9_mixing, op10_secret_scan,
+    op12_merkle_manifest, op13_importance_resampling)}

@@ -77,9 +77,120 @@ m as (select a as doc_id, min(b) as component_id from reach group by a)
 select doc_id, n as n_shingles, component_id, doc_id = component_id as kept from m join n using (doc_id)
 """
 
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    data = (f"flatten(list_transform(range(0, strlen({text})), lambda i: "
+            f"[cast('0x' || substr(hex({text}), 2 * i + 1, 2) as bigint), 0, 0, 0, 0, 0, 0, 0]))")
+    return (f"xor(list_reduce([4294967295::bigint] || {data}, lambda c, v: "
+            "xor(xor(c, v) >> 1, 3988292384 * (xor(c, v) & 1))), 4294967295)")
+
+
+def _merkle(levels: int = 6) -> str:
+    """Trees of up to 16 ** levels leaves a source, and as many sources."""
+    def field(c: str) -> str:
+        return f"coalesce(strlen(cast({c} as varchar)) || ':' || {c}, '-')"
+
+    def tree(name: str, grp: str) -> list[str]:
+        out = []
+        for k in range(levels):
+            out.append(f"""{name}{k + 1} as (
+  select {grp}, pos // 16 as pos, (n + 15) // 16 as n,
+         case when n > 1 then sha256(string_agg(h, '' order by pos)) else any_value(h) end as h
+  from {name}{k} group by {grp}, pos // 16, n)""")
+            frame = f"over (partition by {grp}, pos // 16 order by pos rows between"
+            out.append(f"""{name}_side{k} as (
+  select {grp}, pos, n > 1 as used,
+         coalesce(string_agg(h, '') {frame} unbounded preceding and 1 preceding), '') as l,
+         coalesce(string_agg(h, '') {frame} 1 following and unbounded following), '') as r
+  from {name}{k})""")
+        return out
+
+    def climb(name: str, grp: str, rows: str, pos: str, keep: str) -> list[str]:
+        out = []
+        for k in range(levels):
+            out.append(f"""{rows}{k + 1} as (
+  select {keep}, {pos}, case when used then sha256(l || folded || r) else folded end as folded,
+         case when used then sibs || l || r else sibs end as sibs
+  from {rows}{k} x join {name}_side{k} s
+    on x.{grp} is not distinct from s.{grp} and x.{pos} // {16 ** k} = s.pos)""")
+        return out
+
+    text = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    head = [field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    keep = "doc_id, x.source, leaf"
+    parts = [
+        f"""leaves as (
+  select doc_id, source, sha256({" || ".join([*head, field("text")])}) as leaf,
+         case when {_crc32("cast(doc_id as varchar)")} % 5 = 0
+              then sha256({" || ".join([*head, field(text)])}) end as changed
+  from documents)""",
+        """placed as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as spot,
+         count(*) over (partition by source) as n from leaves)""",
+        "t0 as (select source, spot as pos, n, leaf as h from placed)",
+        *tree("t", "source"),
+        f"""s0 as (
+  select 0 as g, row_number() over (order by source nulls first) - 1 as pos, count(*) over () as n,
+         h, source from t{levels})""",
+        *tree("s", "g"),
+        f"root as (select h as root from s{levels})",
+        "up0 as (select doc_id, source, leaf, spot, coalesce(changed, leaf) as folded, '' as sibs from placed)",
+        *climb("t", "source", "up", "spot", keep),
+        f"""over0 as (
+  select doc_id, leaf, s0.h as subroot, 0 as g, s0.pos as spot, folded, sibs
+  from up{levels} u join s0 on u.source is not distinct from s0.source)""",
+        *climb("s", "g", "over", "spot", "doc_id, leaf, subroot, x.g"),
+    ]
+    return ("with " + ",\n".join(parts) + f"""
+select doc_id, leaf, subroot, root, sha256(sibs) as proof_sha256, folded as folded_root,
+       folded = root as verified
+from over{levels} cross join root
+""")
+
+
+def _importance() -> str:
+    def features(table: str) -> str:
+        return f"""
+  select id, array_to_string(ws[i:i + k - 1], ' ') as f
+  from (select id, ws, k, unnest(generate_series(1, len(ws) - k + 1)) as i
+        from {table}, (values (1), (2), (3)) v(k))"""
+
+    words = rf"regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws"
+    return f"""
+with d as (select row_number() over () as id, doc_id, {words} from documents),
+b as (select row_number() over () as id, {words} from benchmark),
+df as materialized ({features("d")}),
+bf as materialized ({features("b")}),
+sums as materialized (
+  select f, {_crc32("f")} % 10000 as bucket from (select f from df union select f from bf)),
+s as (select bucket, count(*) as s from df join sums using (f) group by bucket),
+t as (select bucket, count(*) as t from bf join sums using (f) group by bucket),
+gain as (
+  select bucket, cast(floor(1000 * ln(((coalesce(t, 0) + 1)::double * ((select count(*) from df) + 10000)::double)
+         / ((coalesce(s, 0) + 1)::double * ((select count(*) from bf) + 10000)::double))) as bigint) as gain
+  from s full join t using (bucket)),
+w as (
+  select id, count(*) as n_features, cast(sum(gain) as bigint) as weight
+  from df join sums using (f) join gain using (bucket) group by id),
+x as (
+  select d.id, doc_id, len(ws) as n_words, coalesce(n_features, 0) as n_features,
+         coalesce(weight, 0) as weight, coalesce(weight, 0) + cast(floor(-1000 * ln(-ln(
+           (cast('0x' || substr(sha256('42:' || doc_id), 1, 8) as bigint) + 0.5::double) / 4294967296))) as bigint) as score
+  from d left join w on d.id = w.id),
+r as (
+  select id, row_number() over (order by score desc, doc_id) as place, count(*) over () as m
+  from x where n_words >= 20)
+select doc_id, n_features, weight, score, case when place <= 5 * m // 100 then place end as rank
+from x left join r on x.id = r.id
+"""
+
+
 SQL = {
     "op1_exact_dedup": EXACT,
     "op3_url_filter": URL,
     "op4_line_dedup": LINES,
     "op5_minhash_near_dedup": NEAR,
+    "op12_merkle_manifest": _merkle(),
+    "op13_importance_resampling": _importance(),
 }
