@@ -9,6 +9,7 @@ from ..session import ensure_checkpoint_root, scratch_folder
 from .common import ascii_lower, table
 from .exact_dedup import exact_dedup
 from .importance import importance_ranks
+from .licences import scan_licences
 from .line_dedup import dedup_lines
 from .merkle import fold, leaf_digest, merkle_manifest, proof_digest
 from .mixing import mix_to_weights
@@ -86,6 +87,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def labels(places):
+        return F.array_join(F.array_sort(F.array_distinct(places["label"])), ",")
+
+    base = F.filter("places", lambda p: p["exact"])
+    return (scan_licences(table(spark, sf_dir, "documents")).withColumn("base", base)
+            .select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+                    F.array_min(F.col("base.first")).alias("first_word"),
+                    F.array_max(F.col("base.first")).alias("last_word"),
+                    labels(F.col("base")).alias("base_labels"), labels(F.col("places")).alias("labels"),
+                    F.coalesce(F.array_max(F.col("places.share")), F.lit(0.0)).alias("score")))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every proof, and the root it gives for the stored row. Where 5 divides the
     checksum of the id, the row is tampered with: its text has lost its capitals."""
@@ -108,4 +122,4 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_rules, op3_url_filter, op4_line_dedup, op5_minhash_near_dedup,
     op6_sentencepiece, op7_pii, op8_sharding, op9_mixing, op10_secret_scan,
-    op12_merkle_manifest, op13_importance_resampling)}
+    op11_license_scan, op12_merkle_manifest, op13_importance_resampling)}
