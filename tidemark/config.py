@@ -34,3 +34,4 @@ STAGE_DIR = "temp"
 BACKUP_DIR = "currbackup"
 REJECT_DIR = "rejected"
 RUNS_DIR = "runs"
+VERSIONS_DIR = "versions"

@@ -14,14 +14,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
+from pyspark.sql.window import Window
 
 from ..functions.keys import (all_present, any_null, match_key_names, resolve,
                               with_match_key)
 from ..functions.sqltext import ident, named_struct, type_sql
 
+ROWS_PER_KEY = "_tm_rows_per_key"
+
 
 def pack(df: DataFrame, columns: Sequence[str], types: Mapping[str, DataType], alias: str,
          extra: Sequence[tuple[str, str]] = ()) -> Column:
@@ -44,11 +47,13 @@ def pack(df: DataFrame, columns: Sequence[str], types: Mapping[str, DataType], a
 
 def full_outer_on_key(left: DataFrame, left_name: str, right: DataFrame, right_name: str,
                       keys: Sequence[str], normalize: bool,
-                      right_struct: Callable[[DataFrame], Column]) -> DataFrame:
+                      right_struct: Callable[[DataFrame], Column],
+                      rows_per_key: Observation | None = None) -> DataFrame:
     """``left`` (keyed, packed as ``left_name``) full outer join ``right`` on
     the match key; ``right_struct(df)`` packs a right row as ``right_name``.
     Output columns: the match key, ``left_name``, ``right_name``; an absent
-    side is a NULL struct."""
+    side is a NULL struct. ``rows_per_key`` observes the most right rows that one
+    key has (``ROWS_PER_KEY``), in the partitioning that the join needs anyway."""
     mk = match_key_names(len(keys))
     rkeys = [resolve(right, k) for k in keys]
 
@@ -56,8 +61,13 @@ def full_outer_on_key(left: DataFrame, left_name: str, right: DataFrame, right_n
         keyed = with_match_key(df, rkeys, normalize)
         return keyed.select(*[F.col(m) for m in mk], right_struct(keyed).alias(right_name))
 
+    present = side(right.where(all_present(rkeys)))
+    if rows_per_key is not None:
+        counted = present.withColumn(ROWS_PER_KEY, F.count(F.lit(1)).over(Window.partitionBy(*mk)))
+        present = (counted.observe(rows_per_key, F.max(ROWS_PER_KEY).alias(ROWS_PER_KEY))
+                   .drop(ROWS_PER_KEY))
     matched = left.select(*[F.col(m) for m in mk], F.col(left_name)).join(
-        side(right.where(all_present(rkeys))), on=mk, how="full_outer")
+        present, on=mk, how="full_outer")
     lonely = side(right.where(any_null(rkeys)))
     return matched.unionByName(lonely.select(
         *[F.col(m) for m in mk],

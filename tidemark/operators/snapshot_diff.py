@@ -27,7 +27,7 @@ import datetime as _dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -240,7 +240,8 @@ def new_versions(classified: DataFrame, stamps: Stamps) -> DataFrame:
 
 
 def _aligned_join(prep: DataFrame, current: DataFrame, keys: Sequence[str], compare,
-                  fingerprint, normalize: bool, evolve: bool) -> tuple[DataFrame, list[str]]:
+                  fingerprint, normalize: bool, evolve: bool,
+                  rows_per_key: Observation | None = None) -> tuple[DataFrame, list[str]]:
     """Full outer join of prep and current on the match key, each side packed
     in one struct in prep's columns and types; adds ``flag``. Columns that only
     the stored rows have are an error, or with ``evolve`` follow prep's columns
@@ -265,7 +266,7 @@ def _aligned_join(prep: DataFrame, current: DataFrame, keys: Sequence[str], comp
                  for a, t in zip(C.AUDIT_COLUMNS, AUDIT_TYPES)]
         return pack(df, data, ptypes, _OLD, audit)
 
-    j = full_outer_on_key(left, _NEW, current, _OLD, keys, normalize, old_struct)
+    j = full_outer_on_key(left, _NEW, current, _OLD, keys, normalize, old_struct, rows_per_key)
     n, o = ident(_NEW), ident(_OLD)
     changed = null_safe_differs([(ident(_NEW, c), ident(_OLD, c)) for c in cmp])
     flag = (f"CASE WHEN {o} IS NULL THEN {string_lit(C.INSERTED)} "
@@ -291,20 +292,23 @@ def diff_flags(prep: DataFrame, current: DataFrame, keys: str | Iterable[str], *
 def next_state(prep: DataFrame, current: DataFrame, keys: str | Iterable[str],
                stamps: Stamps, *, compare: Iterable[str] | None = None,
                fingerprint: str | None = C.FINGERPRINT_COLUMN, normalize: bool = True,
-               evolve: bool = False, tag: bool = False) -> DataFrame:
+               evolve: bool = False, tag: bool = False,
+               rows_per_key: Observation | None = None) -> DataFrame:
     """The rows a run writes: new current versions (I, U), unchanged current
     rows with their own stamps (Z) and closed rows (U, D) with
     ``end_dt = as_of - 1``. ``tag`` adds the ``_change`` column
     (I, U, Z for open rows; C, D for closed rows).
 
-    Expects one prep row per key (``prepare_snapshot``). ``evolve``: go on
-    when the extract lacks stored columns (see ``_aligned_join``).
+    Expects one prep row per key (``prepare_snapshot``) and observes in
+    ``rows_per_key`` the most current rows of one key. ``evolve``: go on when
+    the extract lacks stored columns (see ``_aligned_join``).
 
     An updated key is exploded into two change letters, any other into one;
     the letter then picks each column's side, so wide rows are built once and
     inside generated code."""
     keys = as_list(keys)
-    j, data = _aligned_join(prep, current, keys, compare, fingerprint, normalize, evolve)
+    j, data = _aligned_join(prep, current, keys, compare, fingerprint, normalize, evolve,
+                            rows_per_key)
     f, change = ident(_FLAG), ident(CHANGE)
     I, U, Z = (string_lit(x) for x in (C.INSERTED, C.UPDATED, C.UNCHANGED))
     j = j.withColumn(CHANGE, F.expr(

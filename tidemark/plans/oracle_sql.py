@@ -339,3 +339,6 @@ ot2 as (select *, 1 as flag, cast(null as date) as expiry_date from ocur0),
   from orders)
 select o_orderkey, o_datetext, cast(try_strptime(o_datetext, '%m-%d-%Y') as date) as o_date from t""",
 }
+
+# published another way, the same table
+SQL["cdc_atomic_publish"] = SQL["cdc_publish_roundtrip"]

@@ -62,6 +62,10 @@ class TablePaths:
     def runs(self) -> str:
         return self._p(C.RUNS_DIR)
 
+    @property
+    def versions(self) -> str:
+        return self._p(C.VERSIONS_DIR)
+
     @property
     def rejected(self) -> str:
         return self._p(C.REJECT_DIR)

@@ -25,6 +25,7 @@ from ..session import ensure_checkpoint_root, scratch_folder
 from ..sources import derived as X
 from .cdc_job import run_cdc
 from .scd_job import read_scd2_parquet, run_scd_parquet
+from .versioned_job import run_cdc_versioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,6 +196,21 @@ def q_cdc_publish_roundtrip(spark, d):
     return ts_text(spark.table(f"{db}.customer"))
 
 
+def q_cdc_atomic_publish(spark, d):
+    """The same three loads, each shown by one step of the view; returns the view."""
+    ensure_checkpoint_root(spark)
+    root = scratch_folder(spark, "cdc-versions")
+    db = "tidemark_av_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/_catalog'")
+    load = lambda prep, as_of, ts: run_cdc_versioned(spark, "customer", CUST_KEY, root, db, as_of=as_of,
+                                                     load_ts=ts, prep=prep)
+    load(X.customer_cur0(spark, d).withColumn(C.FINGERPRINT_COLUMN, X.row_md5("bal", "seg")),
+         X.CURRENT_DAY, X.LOAD_TS_CURRENT)
+    load(X.customer_prep(spark, d), X.AS_OF, X.LOAD_TS_AS_OF)
+    load(X.customer_prep_rerun(spark, d), X.AS_OF, X.LOAD_TS_RERUN)
+    return ts_text(spark.table(f"{db}.customer"))
+
+
 # ------------------------------------------------------ SCD, customer pair
 
 def _empty_like(spark, df: DataFrame) -> DataFrame:

@@ -7,21 +7,31 @@ read, an append can be re-read by a retried task). Type 0 stages and appends
 only the new rows; types 1 and 2 stage the full next state and replace the
 target with it in one write (JDBC: truncate + insert, DDL kept; Parquet type 2:
 only the versions in force and those that expire on the load's day).
+
+Each load keeps a record beside its staged copies (``plans.run_log``). A load
+that stopped before its copy was verified has not touched the target and is
+forgotten; one that stopped later is completed from that copy by the next load,
+before the target is read: a replacement that stopped half-way must never be
+taken for the target's state. Staged copies alternate between two folders, so a
+new load never overwrites the copy that a completion may need.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.sqltext import as_date
+from ..functions.keys import as_list
 from ..operators import scd as S
 from ..session import stage_folder
 from ..sources.files import path_exists
 from ..sources.jdbc import jdbc_count, read_jdbc, write_jdbc
+from . import run_log
 from .cdc_job import resolve_stamps
 from .publish import verify_staged, write_observed
 
@@ -39,41 +49,91 @@ def next_state(kind: int, source: DataFrame, target: DataFrame, keys, stamps, **
     raise ValueError("kind must be 0, 1 or 2")
 
 
-def run_scd(spark: SparkSession, kind: int, source: DataFrame, target: DataFrame,
-            keys: str | Iterable[str], publish: Callable[[DataFrame, str], None], *,
-            as_of=None, compare: Iterable[str] | None = None, normalize: bool = False,
-            order_by=None, stage_path: str | None = None, stage_key: str = "") -> dict:
+class PublishFailed(RuntimeError):
+    """The verified rows are staged but not all published; run the load again."""
+
+
+Publish = Callable[[DataFrame, str], None]
+
+
+def run_scd(spark: SparkSession, kind: int, source: DataFrame,
+            target: DataFrame | Callable[[], DataFrame], keys: str | Iterable[str],
+            publish: Publish, *, as_of=None, compare: Iterable[str] | None = None,
+            normalize: bool = False, order_by=None, evolve: bool = False,
+            state_path: str | None = None, stage_key: str = "",
+            lease_ttl: float = run_log.TTL) -> dict:
     """Compute, stage, verify and publish one SCD load.
 
-    ``publish(df, mode)`` writes the staged rows to the target with mode
-    ``append`` (type 0) or ``overwrite`` (types 1, 2). The rows are staged in
-    ``stage_path``, by default the staging folder of ``stage_key`` (the
-    target's name) under ``spark.checkpoint.dir``, reused by every run."""
+    ``target`` is called after an unfinished run has been completed, and gives the
+    target as it then is. ``publish(df, mode)`` writes the staged rows to the
+    target with mode ``append`` (type 0) or ``overwrite`` (types 1, 2).
+    ``state_path`` holds the record, the lease and two staged copies in turn, by
+    default the folder of ``stage_key`` (the target's name) under
+    ``spark.checkpoint.dir``. Running a load again after any failure is safe."""
     # SCD rows carry a date only (expiry_date); no load timestamp is written
     stamps = resolve_stamps(spark, as_of, load_ts="")
-    if kind == 2:
-        target = S.scd2_frame(target)
-    nxt = next_state(kind, source, target, keys, stamps, compare=compare,
-                     normalize=normalize, order_by=order_by)
-    if kind == 0:
-        rows, mode = nxt.where(F.col(S.CHANGE) == S.NEW), "append"
-    else:
-        rows, mode = nxt, "overwrite"
-    path = stage_path or stage_folder(spark, f"scd{kind}", stage_key)
-    observed = write_observed(rows, path, S.CHANGE, ALL_CHANGES, name=f"scd{kind}")
-    verify_staged(spark, path, S.CHANGE, observed)
-    staged = spark.read.parquet(path).drop(S.CHANGE)
-    if kind != 0 or observed[S.NEW]:            # type 0 with no new key: nothing to append
+    read_target = target if callable(target) else lambda: target
+    keys = as_list(keys)
+    path = state_path or stage_folder(spark, f"scd{kind}", stage_key)
+    runs, run_id = f"{path}/{C.RUNS_DIR}", run_log.new_run_id()
+    with run_log.Lease(spark, runs, run_id, lease_ttl) as lease:
+        last = run_log.last_state(spark, runs)
+        result: dict = {"kind": kind}
+        if last and last["state"] in (run_log.VERIFIED, run_log.PUBLISHING):
+            _complete(spark, runs, last, read_target, publish, lease)
+            result["completed"] = last["run_id"]
+        now = read_target()
+        if kind == 2:
+            now = S.scd2_frame(now)
+        nxt = next_state(kind, source, now, keys, stamps, compare=compare,
+                         normalize=normalize, order_by=order_by, evolve=evolve)
+        if kind == 0:
+            rows, mode = nxt.where(F.col(S.CHANGE) == S.NEW), "append"
+        else:
+            rows, mode = nxt, "overwrite"
+        slot = 1 - last["slot"] if last else 0
+        stage = f"{path}/{slot}"
+        observed = write_observed(rows, stage, S.CHANGE, ALL_CHANGES, name=f"scd{kind}")
+        facts = {"slot": slot, "stage": stage, "observed": observed, "mode": mode, "keys": keys,
+                 "normalize": normalize, "token": lease.token}
+        lease.check()
+        run_log.write_state(spark, runs, run_id, run_log.STAGED, facts)
+        verify_staged(spark, stage, S.CHANGE, observed)
+        run_log.write_state(spark, runs, run_id, run_log.VERIFIED, facts)
+        _publish(spark, runs, facts | {"run_id": run_id}, publish, lease)
+        counts = {k: v for k, v in observed.items() if k != "_total"}
+        return {**result, "mode": mode, "staged": stage, **counts}
+
+
+def _publish(spark: SparkSession, runs: str, run: dict, publish: Publish, lease: run_log.Lease,
+             rows: DataFrame | None = None) -> None:
+    """Publish a verified staged copy (or ``rows``, what is left of it), with a
+    record before and after."""
+    facts = {k: v for k, v in run.items() if k not in ("run_id", "state")} | {"token": lease.token}
+    lease.check()
+    run_log.write_state(spark, runs, run["run_id"], run_log.PUBLISHING, facts)
+    if run["mode"] != "append" or run["observed"][S.NEW]:      # type 0, no new key: nothing to append
+        staged = spark.read.parquet(run["stage"]).drop(S.CHANGE) if rows is None else rows
         try:
-            publish(staged, mode)
+            publish(staged, run["mode"])
         except Exception as e:
-            # an append may have stored some rows already: only a new run, whose anti
-            # join skips the stored keys, is safe. A replacement can be published again
-            how = ("run the load again; keys already stored are skipped" if kind == 0 else
-                   f"publish them again with mode {mode!r}")
-            raise RuntimeError(f"publish failed; the verified rows are staged at {path}; {how}") from e
-    counts = {k: v for k, v in observed.items() if k != "_total"}
-    return {"kind": kind, "mode": mode, "staged": path, **counts}
+            raise PublishFailed(f"publish failed; the verified rows are staged at {run['stage']}; run the "
+                                "load again, which completes this one first") from e
+    run_log.write_state(spark, runs, run["run_id"], run_log.DONE, facts)
+
+
+def _complete(spark: SparkSession, runs: str, run: dict, read_target: Callable[[], DataFrame],
+              publish: Publish, lease: run_log.Lease) -> None:
+    """Publish the staged copy of a run that stopped. A replacement is written
+    again, whole; of an append, the rows whose keys the target lacks (a database
+    commits task by task, so some may be there)."""
+    verify_staged(spark, run["stage"], S.CHANGE, run["observed"])
+    rows = None
+    if run["mode"] == "append" and run["observed"][S.NEW]:
+        staged = spark.read.parquet(run["stage"]).drop(S.CHANGE)
+        rows = S.new_keys(staged, read_target(), run["keys"], normalize=run["normalize"],
+                          dedupe_source=False, evolve=True)
+    _publish(spark, runs, run, publish, lease, rows)
 
 
 def run_scd_jdbc(spark: SparkSession, kind: int, url: str, source_table: str,
@@ -89,18 +149,40 @@ def run_scd_jdbc(spark: SparkSession, kind: int, url: str, source_table: str,
                                partition_column=partition_column, num_partitions=num_partitions,
                                predicates=predicates, bucket_column=bucket_column,
                                single_task=single_task)
-    source, target = read(source_table), read(target_table)
-    for name, df in ((source_table, source), (target_table, target)):
+
+    def whole(name: str) -> DataFrame:
+        df = read(name)
         there, got = jdbc_count(spark, url, name, properties), df.count()
         if there != got:
             raise RuntimeError(f"the split reads {got} of {there} rows of {name}; "
                                "its conditions must be disjoint and complete")
+        return df
 
     def publish(df: DataFrame, mode: str) -> None:
         write_jdbc(df, url, target_table, mode, properties=properties,
                    num_partitions=num_partitions)
     kw.setdefault("stage_key", f"{url}|{target_table}")
-    return run_scd(spark, kind, source, target, keys, publish, **kw)
+    return run_scd(spark, kind, whole(source_table), lambda: whole(target_table), keys, publish, **kw)
+
+
+def read_parquet_target(spark: SparkSession, path: str, source: DataFrame) -> DataFrame:
+    """The Parquet target; empty, with the source's columns, if it has no files
+    (it doesn't exist, or a replacement stopped after it had removed them)."""
+    if path_exists(spark, path):
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+    return source.limit(0)
+
+
+def write_parquet(df: DataFrame, path: str, mode: str, partition_by: Iterable[str] = ()) -> None:
+    """Append to or replace a Parquet target; with partitions only those in ``df``."""
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    w.parquet(path)
 
 
 def run_scd_parquet(spark: SparkSession, kind: int, source: DataFrame, target_path: str,
@@ -113,11 +195,11 @@ def run_scd_parquet(spark: SparkSession, kind: int, source: DataFrame, target_pa
     that expire on its own day; older history is neither read nor rewritten."""
     if kind == 2:
         return _scd2_parquet(spark, source, target_path, keys, as_of=as_of, **kw)
-    target = (spark.read.parquet(target_path) if path_exists(spark, target_path)
-              else source.limit(0))
+    def target() -> DataFrame:
+        return read_parquet_target(spark, target_path, source)
 
     def publish(df: DataFrame, mode: str) -> None:
-        df.write.mode(mode).parquet(target_path)
+        write_parquet(df, target_path, mode)
     kw.setdefault("stage_key", target_path)
     return run_scd(spark, kind, source, target, keys, publish, as_of=as_of, **kw)
 
@@ -135,19 +217,19 @@ def _scd2_parquet(spark: SparkSession, source: DataFrame, path: str, keys, *, as
         df = spark.read.option("recursiveFileLookup", "true").parquet(folder)
         return df.withColumns({C.SCD2_FLAG: F.lit(flag), C.SCD2_EXPIRY: F.lit(expiry).cast("date")})
 
-    target = stored(live, C.LATEST, None)
-    if target is None:
-        if path_exists(spark, path):
-            raise ValueError(f"{path} has no {C.SCD2_FLAG}={C.LATEST} folder; it is not a type-2 "
-                             "target in this layout, or has lost its current versions")
-        target = S.scd2_frame(source.limit(0).withColumn(C.SCD2_FLAG, F.lit(C.LATEST)))
-    expired = stored(today, C.EXPIRED, as_of)
-    if expired is not None:          # a second load on one day must not lose the first one's
-        target = target.unionByName(expired, allowMissingColumns=True)
+    def target() -> DataFrame:
+        now = stored(live, C.LATEST, None)
+        if now is None:
+            if path_exists(spark, path):
+                raise ValueError(f"{path} has no {C.SCD2_FLAG}={C.LATEST} folder; it is not a type-2 "
+                                 "target in this layout, or has lost its current versions")
+            now = S.scd2_frame(source.limit(0).withColumn(C.SCD2_FLAG, F.lit(C.LATEST)))
+        expired = stored(today, C.EXPIRED, as_of)
+        # a second load on one day must not lose the first one's
+        return now if expired is None else now.unionByName(expired, allowMissingColumns=True)
 
     def publish(df: DataFrame, mode: str) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(path))
+        write_parquet(df, path, mode, parts)
     kw.setdefault("stage_key", path)
     return run_scd(spark, 2, source, target, keys, publish, as_of=as_of, **kw)
 

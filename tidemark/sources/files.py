@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,84 @@ from .. import config as C
 from ..functions.keys import column
 
 
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and ``path`` as it names it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists (one metadata call on the driver)."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the entries of ``folder``; none if it doesn't exist."""
+    fs, p = _fs(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole (a few lines, such as a record)."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write or replace a small file."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if it exists. Of several callers one gets
+    True: HDFS creates exclusively, and for local files the operating system
+    does (the Hadoop client would look first and create then)."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    try:
+        if fs.getUri().getScheme() == "file":
+            nio = jvm.java.nio.file
+            options = spark.sparkContext._gateway.new_array(nio.OpenOption, 2)
+            options[0], options[1] = nio.StandardOpenOption.CREATE_NEW, nio.StandardOpenOption.WRITE
+            nio.Files.write(jvm.java.io.File(p.toUri().getPath()).toPath(), bytearray(text.encode()), options)
+            return True
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def modified_at(spark: SparkSession, path: str) -> int:
+    """When ``path`` was last written, in ms of the storage's clock."""
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
+
+
+def delete_file(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, False)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
