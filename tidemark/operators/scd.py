@@ -46,6 +46,12 @@ def _source(source: DataFrame, keys: Sequence[str], normalize: bool, dedupe_sour
     return with_match_key(valid, keys, normalize)
 
 
+def keyed_source(source: DataFrame, keys: str | Iterable[str], normalize: bool = False,
+                 order_by=None) -> DataFrame:
+    """One row per key of ``source``, none with a NULL key part, with match keys."""
+    return _source(source, as_list(keys), normalize, True, order_by)
+
+
 def _compare(target_data: Sequence[str], keys: Sequence[str], source: DataFrame,
              compare) -> list[str]:
     if compare is not None:

@@ -176,3 +176,15 @@ def repair(spark: SparkSession, name: str) -> None:
         if "NOT_A_PARTITIONED_TABLE" not in str(e) and "not partitioned" not in str(e).lower():
             raise
     spark.catalog.refreshTable(name)
+
+
+def reconcile(spark: SparkSession, name: str) -> dict[str, list[str]]:
+    """Bring the catalog's partitions and the folders of a table together, both
+    ways: folders without an entry are added, entries whose folder is gone are
+    dropped. Returns both, for the log."""
+    listed = lambda: {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    before = listed()
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+    after = listed()
+    return {"added": sorted(after - before), "dropped": sorted(before - after)}

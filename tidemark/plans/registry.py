@@ -21,9 +21,11 @@ from ..functions.cleaning import normalize_column_names, normalize_strings
 from ..operators import checks, scd
 from ..operators import snapshot_diff as sd
 from ..operators.dedupe import dedupe
+from ..operators.digest_diff import digest_next_state
 from ..session import ensure_checkpoint_root, scratch_folder
 from ..sources import derived as X
 from .cdc_job import run_cdc
+from .cow_job import read_cow, run_scd1_cow
 from .scd_job import read_scd2_parquet, run_scd_parquet
 from .versioned_job import run_cdc_versioned
 
@@ -260,6 +262,15 @@ def q_scd1_publish(spark, d):
     return spark.read.parquet(_two_loads(spark, d, 1))
 
 
+def q_scd1_copy_on_write(spark, d):
+    """Both customer snapshots, the second rewriting only files with changed rows."""
+    ensure_checkpoint_root(spark)
+    path = scratch_folder(spark, "scd1-cow")
+    for snapshot in (X.customer_cur0(spark, d), X.customer_prep0(spark, d)):
+        run_scd1_cow(spark, snapshot, path, ["k"], compare=["bal", "seg"], rows_per_file=1000)
+    return read_cow(spark, path).drop(scd.CHANGE)
+
+
 def q_scd2_publish(spark, d):
     return read_scd2_parquet(spark, _two_loads(spark, d, 2))
 
@@ -271,6 +282,14 @@ def q_cdc_orders_next_state(spark, d):
     return ts_text(sd.next_state(prep, X.orders_current(spark, d), ["k"], STAMPS))
 
 
+def q_cdc_digest_diff(spark, d):
+    """The same state through digests. The pair's changes lie everywhere, so buckets
+    of three keys, of which some are equal; real ones hold thousands."""
+    ensure_checkpoint_root(spark)
+    return ts_text(digest_next_state(X.orders_prep0(spark, d), X.orders_current(spark, d), ["k"], STAMPS,
+                                     bucket="k div 3"))
+
+
 def q_scd0_orders(spark, d):
     return scd.scd0(X.orders_prep0(spark, d), X.orders_cur0(spark, d), ["k"])
 

@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.sqltext import as_date
-from ..functions.keys import as_list
+from ..functions.keys import as_list, quote, resolve
 from ..operators import scd as S
 from ..session import stage_folder
 from ..sources.files import path_exists
-from ..sources.jdbc import jdbc_count, read_jdbc, write_jdbc
+from ..sources.jdbc import jdbc_count, move_statements, read_jdbc, run_once, write_jdbc
 from . import run_log
 from .cdc_job import resolve_stamps
 from .publish import verify_staged, write_observed
@@ -53,20 +53,23 @@ class PublishFailed(RuntimeError):
     """The verified rows are staged but not all published; run the load again."""
 
 
-Publish = Callable[[DataFrame, str], None]
+# rows to publish, and the facts of the run: mode, run_id, as_of, observed, ...
+Publish = Callable[[DataFrame, dict], None]
 
 
 def run_scd(spark: SparkSession, kind: int, source: DataFrame,
             target: DataFrame | Callable[[], DataFrame], keys: str | Iterable[str],
             publish: Publish, *, as_of=None, compare: Iterable[str] | None = None,
-            normalize: bool = False, order_by=None, evolve: bool = False,
+            normalize: bool = False, order_by=None, evolve: bool = False, move: bool = False,
             state_path: str | None = None, stage_key: str = "",
             lease_ttl: float = run_log.TTL) -> dict:
     """Compute, stage, verify and publish one SCD load.
 
     ``target`` is called after an unfinished run has been completed, and gives the
-    target as it then is. ``publish(df, mode)`` writes the staged rows to the
-    target with mode ``append`` (type 0) or ``overwrite`` (types 1, 2).
+    target as it then is. ``publish(df, run)`` writes the staged rows to the
+    target with ``run["mode"]`` ``append`` (type 0) or ``overwrite`` (types 1, 2).
+    With ``move`` only new and changed rows are staged, with their change letter,
+    mode ``move``; ``publish`` then must not act twice for one ``run["run_id"]``.
     ``state_path`` holds the record, the lease and two staged copies in turn, by
     default the folder of ``stage_key`` (the target's name) under
     ``spark.checkpoint.dir``. Running a load again after any failure is safe."""
@@ -87,7 +90,9 @@ def run_scd(spark: SparkSession, kind: int, source: DataFrame,
             now = S.scd2_frame(now)
         nxt = next_state(kind, source, now, keys, stamps, compare=compare,
                          normalize=normalize, order_by=order_by, evolve=evolve)
-        if kind == 0:
+        if move:
+            rows, mode = nxt.where(F.col(S.CHANGE).isin(S.NEW, S.CHANGED)), "move"
+        elif kind == 0:
             rows, mode = nxt.where(F.col(S.CHANGE) == S.NEW), "append"
         else:
             rows, mode = nxt, "overwrite"
@@ -95,13 +100,15 @@ def run_scd(spark: SparkSession, kind: int, source: DataFrame,
         stage = f"{path}/{slot}"
         observed = write_observed(rows, stage, S.CHANGE, ALL_CHANGES, name=f"scd{kind}")
         facts = {"slot": slot, "stage": stage, "observed": observed, "mode": mode, "keys": keys,
-                 "normalize": normalize, "token": lease.token}
+                 "normalize": normalize, "as_of": str(as_date(stamps.as_of)), "token": lease.token}
         lease.check()
         run_log.write_state(spark, runs, run_id, run_log.STAGED, facts)
         verify_staged(spark, stage, S.CHANGE, observed)
         run_log.write_state(spark, runs, run_id, run_log.VERIFIED, facts)
         _publish(spark, runs, facts | {"run_id": run_id}, publish, lease)
         counts = {k: v for k, v in observed.items() if k != "_total"}
+        if move:                     # unchanged and expired rows are not sent
+            counts = {k: counts[k] for k in (S.NEW, S.CHANGED)}
         return {**result, "mode": mode, "staged": stage, **counts}
 
 
@@ -112,10 +119,12 @@ def _publish(spark: SparkSession, runs: str, run: dict, publish: Publish, lease:
     facts = {k: v for k, v in run.items() if k not in ("run_id", "state")} | {"token": lease.token}
     lease.check()
     run_log.write_state(spark, runs, run["run_id"], run_log.PUBLISHING, facts)
-    if run["mode"] != "append" or run["observed"][S.NEW]:      # type 0, no new key: nothing to append
-        staged = spark.read.parquet(run["stage"]).drop(S.CHANGE) if rows is None else rows
+    if run["mode"] == "overwrite" or run["observed"]["_total"]:      # else nothing is new
+        if rows is None:
+            rows = spark.read.parquet(run["stage"])
+            rows = rows if run["mode"] == "move" else rows.drop(S.CHANGE)
         try:
-            publish(staged, run["mode"])
+            publish(rows, run)
         except Exception as e:
             raise PublishFailed(f"publish failed; the verified rows are staged at {run['stage']}; run the "
                                 "load again, which completes this one first") from e
@@ -140,15 +149,21 @@ def run_scd_jdbc(spark: SparkSession, kind: int, url: str, source_table: str,
                  target_table: str, keys: str | Iterable[str], *,
                  properties: dict | None = None, partition_column: str | None = None,
                  num_partitions: int | None = None, predicates: list[str] | None = None,
-                 bucket_column: str | None = None, single_task: bool = False, **kw) -> dict:
+                 bucket_column: str | None = None, histogram_column: str | None = None,
+                 single_task: bool = False, move: bool = False, key_type: str = "VARCHAR(1000)",
+                 **kw) -> dict:
     """The database flavour: read source and target over JDBC, split as
     ``read_jdbc`` says, publish back over JDBC. Types 1 and 2 replace the
     target by what was read, so before anything is written the rows the split
-    reads are compared with the database's own counts."""
+    reads are compared with the database's own counts.
+
+    With ``move`` the target is not replaced: new and changed rows go to the table
+    ``<target>_TM_STAGE`` (string keys as ``key_type``), and one transaction of the
+    database applies them. Target keys must be unique (type 2: among rows in force)."""
     read = lambda t: read_jdbc(spark, url, t, properties=properties,
                                partition_column=partition_column, num_partitions=num_partitions,
                                predicates=predicates, bucket_column=bucket_column,
-                               single_task=single_task)
+                               histogram_column=histogram_column, single_task=single_task)
 
     def whole(name: str) -> DataFrame:
         df = read(name)
@@ -158,11 +173,38 @@ def run_scd_jdbc(spark: SparkSession, kind: int, url: str, source_table: str,
                                "its conditions must be disjoint and complete")
         return df
 
-    def publish(df: DataFrame, mode: str) -> None:
-        write_jdbc(df, url, target_table, mode, properties=properties,
-                   num_partitions=num_partitions)
+    def publish(df: DataFrame, run: dict) -> None:
+        if run["mode"] == "move":
+            _move(spark, kind, url, target_table, df, run, properties, num_partitions, key_type)
+        else:
+            write_jdbc(df, url, target_table, run["mode"], properties=properties,
+                       num_partitions=num_partitions)
     kw.setdefault("stage_key", f"{url}|{target_table}")
-    return run_scd(spark, kind, whole(source_table), lambda: whole(target_table), keys, publish, **kw)
+    return run_scd(spark, kind, whole(source_table), lambda: whole(target_table), keys, publish,
+                   move=move, **kw)
+
+
+def _move(spark: SparkSession, kind: int, url: str, target: str, rows: DataFrame, run: dict,
+          properties: dict | None, num_partitions: int | None, key_type: str) -> None:
+    """New and changed rows into a staging table beside the target, then one
+    transaction that applies them. A failure before its commit leaves the target as
+    it was; the run's mark, set in the same transaction, keeps it from acting twice."""
+    stage = f"{target}_TM_STAGE"
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    keys = [resolve(rows, k) for k in run["keys"]]
+    texts = {k for k in keys if types[k] == "string"}
+    columns = [c for c in rows.columns if c != S.CHANGE]
+    names = {c.lower(): c for c in columns}
+    column_types = ", ".join([f"{quote(S.CHANGE)} VARCHAR(1)"] + [f"{quote(k)} {key_type}" for k in sorted(texts)])
+    write_jdbc(rows, url, stage, "overwrite", truncate=False, properties=properties,
+               num_partitions=num_partitions, column_types=column_types)
+    sent = jdbc_count(spark, url, stage, properties)
+    if sent != run["observed"]["_total"]:
+        raise RuntimeError(f"{stage} holds {sent} rows, {run['observed']['_total']} were sent")
+    run_once(spark, url, run["run_id"], move_statements(
+        spark, kind, url, stage, target, keys, columns, texts if run["normalize"] else set(), S.CHANGE,
+        names.get(C.SCD2_FLAG, ""), names.get(C.SCD2_EXPIRY, ""), as_date(run["as_of"]), C.LATEST, C.EXPIRED),
+        properties)
 
 
 def read_parquet_target(spark: SparkSession, path: str, source: DataFrame) -> DataFrame:
@@ -198,8 +240,8 @@ def run_scd_parquet(spark: SparkSession, kind: int, source: DataFrame, target_pa
     def target() -> DataFrame:
         return read_parquet_target(spark, target_path, source)
 
-    def publish(df: DataFrame, mode: str) -> None:
-        write_parquet(df, target_path, mode)
+    def publish(df: DataFrame, run: dict) -> None:
+        write_parquet(df, target_path, run["mode"])
     kw.setdefault("stage_key", target_path)
     return run_scd(spark, kind, source, target, keys, publish, as_of=as_of, **kw)
 
@@ -228,8 +270,8 @@ def _scd2_parquet(spark: SparkSession, source: DataFrame, path: str, keys, *, as
         # a second load on one day must not lose the first one's
         return now if expired is None else now.unionByName(expired, allowMissingColumns=True)
 
-    def publish(df: DataFrame, mode: str) -> None:
-        write_parquet(df, path, mode, parts)
+    def publish(df: DataFrame, run: dict) -> None:
+        write_parquet(df, path, run["mode"], parts)
     kw.setdefault("stage_key", path)
     return run_scd(spark, 2, source, target, keys, publish, as_of=as_of, **kw)
 
