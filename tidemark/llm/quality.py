@@ -10,12 +10,12 @@ it as an all-must-pass filter would, unless that vote is worth it.
 What the estimation needs is the number of documents per pattern of votes, at
 most 3^rules rows whatever the number of documents. The counts come from one
 aggregation over all rows that pass the base rule; the others are rejected
-anyway, and would teach what votes on short junk mean. Copies of a text count
-once, and n texts of one pattern count as sqrt(n): they are seldom independent
-(templates, near copies), and a common pattern would become a class of its own.
-Two bounds hold in every step of the estimation, whatever the corpus: a bad vote
-is at most ``BAD_ODDS`` times as frequent on good documents as on bad ones, and
-an abstention, where a rule has no opinion, at least ``ABSTAIN_ODDS`` times.
+anyway, and would teach what votes on short junk mean. Copies and near copies count
+about once: what is counted are distinct min-hashes of five-word shingles, which
+two texts share as often as their sets overlap. Priors say what is expected of any
+rule (bad documents fail one or two of ten, good ones few) and weigh ``PRIOR_SHARE``
+of the documents, so the data overrule them: a rule that votes bad at random on
+both classes is estimated so, and its vote then moves the posterior little.
 
 Defined results: NULL or empty text has no words, fails the base rule and is
 rejected; repeated rows and ties get equal verdicts; an empty table gives no
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -37,12 +38,16 @@ from .common import checkpointed, text_or_empty
 
 BAD, ABSTAIN, GOOD = 0, 1, 2
 THRESHOLD = 0.5
-BAD_ODDS, ABSTAIN_ODDS = 0.01, 0.5
+PRIOR_SHARE = 0.1                      # weight of the priors, as a share of the documents
+EXPECTED = np.array([[0.15, 0.10, 0.75],       # bad, abstain, good votes on bad documents
+                     [0.01, 0.09, 0.90]])      # and on good ones
+GOOD_SHARE = 0.9
 WINDOW = 8
+SHINGLE = 5
 
 STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
          "n_lines long, n_upper long, n_exclaim long, n_same_next long, n_distinct long, "
-         "n_punct long")
+         "n_punct long, sketch long")
 SYMBOLS = "#*$%&|<>"
 PUNCT = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -77,6 +82,21 @@ def repeated_window_words(ids: np.ndarray) -> int:
     return int((np.cumsum(cover[:-1]) > 0).sum())
 
 
+def near_copy_sketch(words: list[bytes], ids: np.ndarray) -> int:
+    """The smallest hash of a five-word shingle (of fewer words, of all). ``words``
+    are the distinct ones, ``ids`` their places."""
+    if not len(ids):
+        return 0
+    u = np.fromiter(map(crc32, words), np.uint64, len(words))[ids]
+    n = max(1, len(u) - SHINGLE + 1)
+    h = np.zeros(n, np.uint64)
+    for k in range(min(SHINGLE, len(u))):
+        h += (u[k:k + n] + np.uint64(1)) * MIX[k]
+    h ^= h >> np.uint64(29)
+    h *= MIX[5]
+    return int(h.min().view(np.int64))
+
+
 def text_stats(text: str | None) -> tuple:
     text = text or ""
     data = text.encode("utf-8", "surrogatepass")
@@ -88,7 +108,7 @@ def text_stats(text: str | None) -> tuple:
             sum(text.count(c) for c in SYMBOLS), len(lines) - len(set(lines)),
             repeated_window_words(ids), len(lines), sum(map(bytes.isupper, words)),
             text.count("!"), int((ids[1:] == ids[:-1]).sum()), len(numbers),
-            len(data) - len(data.translate(None, PUNCT)))
+            len(data) - len(data.translate(None, PUNCT)), near_copy_sketch(list(numbers), ids))
 
 
 def stats_of(texts: pd.Series) -> pd.DataFrame:
@@ -118,22 +138,23 @@ RULES = (
          "n_same_next <= 0.08 * n_words"),
     Rule("vocabulary", "n_words >= 30 and n_distinct < 2 * sqrt(n_words)",
          "n_distinct > least(5 * sqrt(n_words), 0.7 * n_words)"),     # the second below 51 words
-    Rule("repeated_windows", "n_repeat_words > 0.3 * n_words", "n_repeat_words <= 0.05 * n_words"),
-    Rule("repeated_lines", "n_lines >= 5 and n_dup_lines > 0.5 * n_lines", "n_dup_lines = 0"),
+    # these two are seen on clean texts as well; what they are worth is estimated
+    Rule("repeated_windows", "n_repeat_words > 0.1 * n_words", "n_repeat_words <= 0.02 * n_words"),
+    Rule("repeated_lines", "n_lines >= 5 and n_dup_lines > 0.1 * n_lines", "n_dup_lines = 0"),
 )
 BASE_FAILED = "n_words < 20 or 100 * n_repeat_words > 30 * n_words"
 
 
 def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Whole rows (``row``), their statistics (``st``), the code of their votes
-    in base 3 (``votes``) and a hash of their text (``text_hash``)."""
-    text = text_or_empty(F.col(text_col))
-    rows = docs.select(F.struct("*").alias("row"), F.pandas_udf(stats_of, STATS)(text).alias("st"),
-                       F.xxhash64(text).alias("text_hash"))
+    in base 3 (``votes``) and whether they fail the base rule. The statistics are
+    marked as not deterministic, or filters on them would compute them again."""
+    stats = F.pandas_udf(stats_of, STATS).asNondeterministic()
+    rows = docs.select(F.struct("*").alias("row"), stats(text_or_empty(F.col(text_col))).alias("st"))
     vote = " + ".join(f"{3 ** i} * (case when {r.bad} then {BAD} when {r.good} then {GOOD} "
                       f"else {ABSTAIN} end)" for i, r in enumerate(RULES))
-    return (rows.select("row", "text_hash", "st", "st.*")
-            .select("row", "text_hash", "st", F.expr(vote).cast("int").alias("votes"),
+    return (rows.select("row", "st", "st.*")
+            .select("row", "st", F.expr(vote).cast("int").alias("votes"),
                     F.expr(BASE_FAILED).alias("base_failed")))
 
 
@@ -154,16 +175,15 @@ class LabelModel:
         return out
 
 
-def fit_label_model(patterns: dict[int, float], n_rules: int, rounds: int = 100) -> LabelModel:
-    """EM over counts of vote patterns. The priors (a few documents' worth)
-    say which class is which: good documents seldom get bad votes. The bounds
-    keep that meaning where few bad documents are left to learn it from."""
+def fit_label_model(patterns: dict[int, float], n_rules: int, rounds: int = 500) -> LabelModel:
+    """EM over counts of vote patterns, from the priors."""
     codes = np.array(sorted(patterns), dtype=np.int64)
     counts = np.array([patterns[c] for c in codes], dtype=float)
     votes = (codes[:, None] // 3 ** np.arange(n_rules)) % 3
     seen = np.stack([votes == v for v in (BAD, ABSTAIN, GOOD)], axis=2).astype(float)
-    prior = 10 * np.array([[0.3, 0.3, 0.4], [0.01, 0.19, 0.8]])
-    good, table = 0.85, np.tile(prior / 10, (n_rules, 1, 1))
+    weight = max(PRIOR_SHARE * counts.sum(), 1.0)
+    prior = weight * EXPECTED
+    good, table = GOOD_SHARE, np.tile(EXPECTED, (n_rules, 1, 1))
     for _ in range(rounds):
         by_class = np.einsum("pjv,jcv->pc", seen, np.log(table)) + np.log([1 - good, good])
         by_class -= by_class.max(axis=1, keepdims=True) if len(codes) else 0
@@ -171,12 +191,9 @@ def fit_label_model(patterns: dict[int, float], n_rules: int, rounds: int = 100)
         post = post / post.sum(axis=1, keepdims=True) * counts[:, None]
         new = np.einsum("pc,pjv->jcv", post, seen) + prior
         new /= new.sum(axis=2, keepdims=True)
-        new[:, 1, BAD] = np.minimum(new[:, 1, BAD], BAD_ODDS * new[:, 0, BAD])
-        new[:, 1, ABSTAIN] = np.maximum(new[:, 1, ABSTAIN], ABSTAIN_ODDS * new[:, 0, ABSTAIN])
-        new /= new.sum(axis=2, keepdims=True)
-        share = (post[:, 1].sum() + 8.5) / (counts.sum() + 10)
+        share = float((post[:, 1].sum() + weight * GOOD_SHARE) / (counts.sum() + weight))
         done = abs(share - good) < 1e-9 and np.abs(new - table).max() < 1e-9
-        good, table = float(min(max(share, 1e-6), 1 - 1e-6)), new
+        good, table = share, new
         if done:
             break
     return LabelModel(good, table)
@@ -184,8 +201,8 @@ def fit_label_model(patterns: dict[int, float], n_rules: int, rounds: int = 100)
 
 def _fit(scored: DataFrame) -> LabelModel:
     patterns = (scored.filter(~F.col("base_failed")).groupBy("votes")
-                .agg(F.countDistinct("text_hash").alias("n")).collect())      # at most 3^rules rows
-    return fit_label_model({r["votes"]: math.sqrt(r["n"]) for r in patterns}, len(RULES))
+                .agg(F.countDistinct("st.sketch").alias("n")).collect())      # at most 3^rules rows
+    return fit_label_model({r["votes"]: float(r["n"]) for r in patterns}, len(RULES))
 
 
 def _kept(model: LabelModel, threshold: float) -> tuple[Column, Column]:
@@ -195,17 +212,18 @@ def _kept(model: LabelModel, threshold: float) -> tuple[Column, Column]:
 
 def quality_verdicts(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """doc_id, the statistics, base_failed, p_good and kept of every row."""
+    """doc_id, the statistics, base_failed, n_bad_votes, p_good and kept of every row."""
     scored = checkpointed(with_stats(docs.select(id_col, text_col), text_col)
-                          .select(F.col(f"row.{id_col}").alias("doc_id"), "text_hash", "st",
-                                  "votes", "base_failed"))
+                          .select(F.col(f"row.{id_col}").alias("doc_id"), "st", "votes", "base_failed"))
     p_good, kept = _kept(_fit(scored), threshold)
-    return scored.select("doc_id", "st.*", "base_failed", p_good, kept)
+    bad = sum(((F.floor(F.col("votes") / 3 ** i) % 3 == BAD).cast("long") for i in range(len(RULES))), F.lit(0))
+    return scored.select("doc_id", "st.*", "base_failed", bad.cast("long").alias("n_bad_votes"), p_good,
+                         kept).drop("sketch")
 
 
 def keep_good(docs: DataFrame, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that the rules reject. The statistics are
-    computed in both passes (estimate, then judge) rather than storing or
-    shuffling the texts in between."""
+    computed once in each of two passes (estimate, then judge) rather than storing
+    or shuffling the texts in between."""
     p_good, kept = _kept(_fit(with_stats(docs.select(text_col), text_col)), threshold)
     return with_stats(docs, text_col).filter(kept).select("row.*")
