@@ -5,18 +5,23 @@ Patterns, leftmost and non-overlapping per kind: assignments to a name such as
 ``token`` (value of 12 or more characters), access key ids (18 or more), and
 lower-case hexadecimal runs (16 or more).
 
-Other tokens of 20 or more characters with a digit are tested. Their encoding
-is inferred from their characters (hex, base32, base36, base64). Under the
-hypothesis that a token is uniformly random in its alphabet, three tests give
-p-values: chi-squared uniformity over equal parts of the alphabet, the
-Wald-Wolfowitz runs test about its middle, and lag-1 serial correlation. The
-three are combined by Bonferroni. Benjamini-Hochberg, per encoding and length
-class (tests of longer tokens have more power), releases tokens as not random
-with a false-discovery rate of at most ``FDR``: of the tokens released, at most
-that share is expected to be random. The tokens not released, and long enough
-for ``MIN_BITS`` of randomness, are added as spans of kind ``random``. p-values
-are counted in tenths of a decade, rounded up, so the step-up procedure needs
-a table of bounded size only, counted over all tokens.
+Every other token that would carry ``MIN_BITS`` of randomness if it were random is
+tested: 11 characters of base64, 14 letters, 16 hexadecimal digits. Its encoding is
+inferred from its characters. Under the hypothesis that it is uniformly random in
+its alphabet, four tests give p-values: chi-squared uniformity over equal parts of
+the alphabet, the Wald-Wolfowitz runs test about its middle, lag-1 serial
+correlation, and a directed test of uniformity: how much likelier the token's pairs
+of characters are among all long tokens of the corpus than in a random token, a sum
+whose mean and variance under randomness are exact. Words, names and paths look
+even to the first three when they are short; the last one tells them by their
+spelling, whatever the language. The four are combined by Bonferroni.
+Benjamini-Hochberg, per encoding and length class (tests of longer tokens have more
+power), releases tokens as not random with a false-discovery rate of at most
+``FDR``: of the tokens released, at most that share is expected to be random. What
+is not released is added as spans of kind ``random``. Each distinct token counts
+once, in the pair counts and in the procedure, so a text with many copies decides
+nothing. p-values are counted in tenths of a decade, rounded up, so the step-up
+procedure needs a table of bounded size only, counted over all tokens.
 
 Positions are code points, the end exclusive. Defined results: NULL counts as
 empty and has no spans; equal rows get equal spans; an empty table gives no
@@ -25,6 +30,8 @@ rows. Texts are scanned whole.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,19 +44,28 @@ ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 # least length can stand in the pattern
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 KINDS = ("assign", "access", "hex", "random")
 MIN_ASSIGN = 12
 FDR = 0.01
 MIN_BITS = 64
 ALPHABETS = {        # name: (pattern, symbols)
     "hex": (r"^(?:[0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
+    "letters": (r"^(?:[A-Z]?[a-z]+|[A-Z]+)$", "abcdefghijklmnopqrstuvwxyz"),
     "base32": (r"^[A-Z2-7]+$", "abcdefghijklmnopqrstuvwxyz234567"),
     "base36": (r"^(?:[0-9a-z]+|[0-9A-Z]+)$", "0123456789abcdefghijklmnopqrstuvwxyz"),
     "base64": (r"^[A-Za-z0-9+/_-]+$",
                "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 }
 
+MIN_LENGTH = {name: math.ceil(MIN_BITS / math.log2(len(symbols))) for name, (_, symbols) in ALPHABETS.items()}
+TOKEN = rf"[A-Za-z0-9+/_-]{{{min(MIN_LENGTH.values())},}}={{0,2}}"
+FOLDED = "abcdefghijklmnopqrstuvwxyz0123456789+"      # pairs are counted without case
+# The commonest letter pairs of English, commonest first; they stand in
+# for spelling where a corpus has few long words
+COMMON_PAIRS = ("th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le "
+                "ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur").split()
+PRIOR_WEIGHT = 20
+
 
 def _hits(kind: str, pattern: str) -> Column:
     """Lengths of the text before each match, of the match, and of its value."""
@@ -93,30 +109,86 @@ def _upper_normal(z: Column) -> Column:
     return F.lit(0.5) * poly * t * F.exp(-x * x)
 
 
+def _above(z: Column) -> Column:
+    """P(Z > z)."""
+    return F.when(z >= 0, _upper_normal(F.abs(z))).otherwise(1 - _upper_normal(F.abs(z)))
+
+
 def _two_sided(z: Column) -> Column:
     return F.lit(2.0) * _upper_normal(F.abs(z))
 
 
-def with_p_values(tokens: DataFrame) -> DataFrame:
-    """Adds encoding, n, p (column ``token``). Tokens without a digit, or
-    without a letter, have no encoding and drop out. Dashes and underscores
-    between hexadecimal parts (a UUID) are not part of the token."""
+def _folded(body: Column) -> Column:
+    return F.translate(F.lower(body), "/_-", "+++")
+
+
+def pair_table(tokens: DataFrame) -> dict[str, int]:
+    """How often each pair of (folded) characters stands in the distinct tokens."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length("f") - 1), lambda i: F.substring(F.col("f"), i, F.lit(2)))
+    rows = (tokens.select(_folded(F.regexp_replace("token", "=+$", "")).alias("f"))
+            .select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n")))
+    return {r["pair"]: r["n"] for r in rows.collect()}                 # at most 37 * 37 rows
+
+
+def pair_scores(counts: dict[str, int]) -> dict[str, tuple[list[float], float, float, float]]:
+    """Per encoding: the log ratio of each pair's share among ``counts`` (less the
+    token's own) to its share in random tokens, and under randomness the ratio's
+    mean, its variance and the covariance of two pairs that share a character."""
+    weight = {a + b: 0.5 + counts.get(a + b, 0) + PRIOR_WEIGHT * (a + b in COMMON_PAIRS)
+              for a in FOLDED for b in FOLDED}
+    total = sum(weight.values())
+    out = {}
+    for name, (_, symbols) in ALPHABETS.items():
+        share = {c: 0.0 for c in FOLDED}
+        for x in symbols.lower().replace("/", "+"):
+            share[x] += 1 / len(symbols)
+        u = [share[c] for c in FOLDED]
+        score = [[math.log(weight[a + b] / total / (u[i] * u[j])) if u[i] * u[j] else 0.0
+                  for j, b in enumerate(FOLDED)] for i, a in enumerate(FOLDED)]
+        n = range(len(FOLDED))
+        mean = sum(u[i] * u[j] * score[i][j] for i in n for j in n)
+        var = sum(u[i] * u[j] * (score[i][j] - mean) ** 2 for i in n for j in n)
+        cov = sum(u[b] * sum(u[i] * score[i][b] for i in n) * sum(u[j] * score[b][j] for j in n)
+                  for b in n) - mean ** 2
+        # a token's own pair is among the counts: without it, or it would vouch for itself
+        others = [math.log(max(weight[a + b] - 1, 0.5) / total / (u[i] * u[j])) if u[i] * u[j] else 0.0
+                  for i, a in enumerate(FOLDED) for j, b in enumerate(FOLDED)]
+        out[name] = others, mean, var, cov
+    return out
+
+
+def _numbers(values: list[float]) -> Column:
+    """A constant array, folded once by the optimiser."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
+def with_p_values(tokens: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """Adds encoding, n, k, p (column ``token``); tokens too short for ``MIN_BITS`` in
+    their alphabet drop out. Dashes and underscores between hexadecimal parts (a
+    UUID) are not part of the token."""
     body = F.regexp_replace("token", "=+$", "")
     parts = F.regexp_replace(body, "[-_]", "")
     body = F.when(parts.rlike(ALPHABETS["hex"][0]), parts).otherwise(body)
-    encoding, symbols = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name, (pattern, alphabet) in reversed(ALPHABETS.items()):
-        encoding = F.when(F.col("body").rlike(pattern), F.lit(name)).otherwise(encoding)
-        symbols = F.when(F.col("body").rlike(pattern), F.lit(alphabet)).otherwise(symbols)
+    scores = pair_scores(counts)
+    names = list(ALPHABETS)
+    number = F.lit(None).cast("int")
+    for i, name in reversed(list(enumerate(names))):
+        number = F.when(F.col("body").rlike(ALPHABETS[name][0]), F.lit(i)).otherwise(number)
+    pick = lambda values: F.element_at(values, F.col("number") + 1)
     plain = F.when(F.col("encoding") == "base64", F.translate("body", "-_", "+/")).otherwise(
         F.lower("body"))
-    out = (tokens.withColumn("body", body)
-           .filter(F.col("body").rlike("[0-9]") & F.col("body").rlike("[A-Za-z]"))
-           .withColumn("encoding", encoding).withColumn("symbols", symbols)
-           .withColumn("k", F.length("symbols")).withColumn("plain", plain)
-           .withColumn("n", F.length("plain"))
+    out = (tokens.withColumn("body", body).withColumn("number", number)
+           .withColumn("encoding", pick(F.array(*[F.lit(x) for x in names])))
+           .withColumn("symbols", pick(F.array(*[F.lit(ALPHABETS[x][1]) for x in names])))
+           .withColumn("k", F.length("symbols")).withColumn("n", F.length("body"))
+           .filter(F.col("n") * F.log2(F.col("k").cast("double")) >= MIN_BITS)
+           .withColumn("plain", plain).withColumn("folded", _folded(F.col("body")))
            .withColumn("x", F.expr("transform(split(plain, ''), c -> instr(symbols, c) - 1)"))
+           .withColumn("y", F.expr(f"transform(split(folded, ''), c -> instr('{FOLDED}', c) - 1)"))
            .withColumn("parts", F.expr("int(greatest(2, least(k, n div 5)))")))
+    table, width = _numbers([x for name in names for x in scores[name][0]]), len(FOLDED)
+    pairs = F.zip_with(F.slice("y", F.lit(1), F.col("n") - 1), F.slice("y", F.lit(2), F.col("n") - 1),
+                       lambda a, b: F.element_at(table, F.col("number") * width ** 2 + a * width + b + 1))
     out = (out.withColumn("chi", F.expr(
         "aggregate(sequence(0, parts - 1), 0D, (acc, c) -> acc + "
         "power(size(filter(x, v -> v * parts div k = c)) - n / parts, 2) * parts / n)"))
@@ -129,12 +201,11 @@ def with_p_values(tokens: DataFrame) -> DataFrame:
            .withColumn("var", F.expr("aggregate(x, 0D, (acc, v) -> acc + power(v - mean, 2))"))
            .withColumn("lag", F.expr(
                "aggregate(zip_with(slice(x, 1, n - 1), slice(x, 2, n - 1), "
-               "(a, b) -> (a - mean) * (b - mean)), 0D, (acc, v) -> acc + v)")))
+               "(a, b) -> (a - mean) * (b - mean)), 0D, (acc, v) -> acc + v)"))
+           .withColumn("pairs", F.aggregate(pairs, F.lit(0.0), lambda acc, v: acc + v)))
     df = F.col("parts") - 1
     cube = F.pow(F.col("chi") / df, F.lit(1.0 / 3))          # Wilson-Hilferty
     z_chi = (cube - (1 - F.lit(2.0) / (9 * df))) / F.sqrt(F.lit(2.0) / (9 * df))
-    p_chi = F.when(z_chi >= 0, _upper_normal(F.abs(z_chi))).otherwise(
-        1 - _upper_normal(F.abs(z_chi)))
     n, n1 = F.col("n").cast("double"), F.col("n1").cast("double")
     n0 = n - n1
     mu = 2 * n1 * n0 / n + 1
@@ -143,13 +214,18 @@ def with_p_values(tokens: DataFrame) -> DataFrame:
         _two_sided((F.col("runs") - mu) / F.sqrt(spread)))
     p_lag = F.when(F.col("var") == 0, F.lit(0.0)).otherwise(
         _two_sided((F.col("lag") / F.col("var") + 1 / n) * F.sqrt(n)))
-    return out.withColumn("p", F.least(F.lit(1.0), 3 * F.least(p_chi, p_runs, p_lag)))
+    mean, var, cov = (pick(_numbers([scores[name][i] for name in names])) for i in (1, 2, 3))
+    pair_var = (n - 1) * var + 2 * (n - 2) * cov
+    p_pairs = F.when(pair_var < 1e-9, F.lit(1.0)).otherwise(
+        _above((F.col("pairs") - (n - 1) * mean) / F.sqrt(pair_var)))
+    return out.withColumn("p", F.least(F.lit(1.0), 4 * F.least(_above(z_chi), p_runs, p_lag, p_pairs)))
 
 
-def random_tokens(tokens: DataFrame) -> DataFrame:
-    """The rows of ``tokens`` whose token the false-discovery procedure does
-    not release as non-random."""
-    tested = (checkpointed(with_p_values(tokens).select(*tokens.columns, "encoding", "n", "k", "p"))
+def random_tokens(spans: DataFrame) -> DataFrame:
+    """The rows of ``spans`` whose token the false-discovery procedure does not
+    release as non-random. Tokens are tested once, however often they occur."""
+    tokens = checkpointed(spans.select("token").distinct())
+    tested = (checkpointed(with_p_values(tokens, pair_table(tokens)).select("token", "encoding", "n", "p"))
               .withColumn("length_class", F.floor(F.log2(F.col("n").cast("double"))).cast("int"))
               .withColumn("decade", F.floor(-10 * F.log10(F.greatest("p", F.lit(1e-10)))).cast("int")))
     stratum = ["encoding", "length_class"]
@@ -157,15 +233,14 @@ def random_tokens(tokens: DataFrame) -> DataFrame:
     smaller = Window.partitionBy(*stratum).orderBy(F.col("decade").desc())
     passes = F.pow(F.lit(10.0), -F.col("decade") / 10) <= (
         F.lit(FDR) * F.col("up_to") / F.col("m"))
-    # at most 4 encodings x 31 length classes
+    # at most 5 encodings x 31 length classes
     cut = (table.withColumn("up_to", F.sum("c").over(smaller))
            .withColumn("m", F.sum("c").over(Window.partitionBy(*stratum)))
            .filter(passes).groupBy(*stratum).agg(F.min("decade").alias("release_from")))
-    bits = F.col("n") * F.log2(F.col("k").cast("double"))
-    return (tested.join(F.broadcast(cut), stratum, "left")
-            .filter((F.col("release_from").isNull() | (F.col("decade") < F.col("release_from")))
-                    & (bits >= MIN_BITS))
-            .select(*tokens.columns, "p"))
+    kept = (tested.join(F.broadcast(cut), stratum, "left")
+            .filter(F.col("release_from").isNull() | (F.col("decade") < F.col("release_from")))
+            .select("token", "p"))
+    return spans.join(checkpointed(kept), "token")
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,7 +253,8 @@ def _all_spans(found: DataFrame) -> DataFrame:
     base = spans.filter("kind = 'access' or kind = 'hex' or "
                         f"(kind = 'assign' and value >= {MIN_ASSIGN})")
     known = base.select("rid", "end").distinct()      # a token that a pattern has found already
-    added = random_tokens(spans.filter("kind = 'random'").join(known, ["rid", "end"], "left_anti"))
+    others = checkpointed(spans.filter("kind = 'random'").join(known, ["rid", "end"], "left_anti"))
+    added = random_tokens(others)
     cols = ["rid", "kind", "start", "end"]
     return base.select(*cols).unionByName(added.select(*cols))
 
