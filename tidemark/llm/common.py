@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_root
 
+_MOVING = re.compile(r"(?m)^[\s:+|*()\d-]*(?:Exchange|Sort|Coalesce|Sample|\w*Limit|TakeOrdered|\w+Join|Union)")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -39,6 +41,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stable_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` if each scan of it gives the same rows in the same order: a table
+    scan or a checkpoint, and what works row by row on them. Anything with a
+    shuffle, a limit or a sample in its plan is checkpointed, as its rows could
+    come in another order the next time."""
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    return checkpointed(docs) if _MOVING.search(plan) else docs
+
+
 def row_number(docs: DataFrame) -> Column:
     """A number per row that is the same in every scan of ``docs``, a table scan
     or a checkpoint. Left alone, Spark splits files by the cores it has at that

@@ -22,7 +22,8 @@ itself within its format:
 
 Everything is computed inside the row, so there is no shuffle. Defined results:
 NULL text stays NULL; empty text stays empty; equal rows get equal texts; an
-empty table gives no rows. Texts are processed whole.
+empty table gives no rows; other columns, whatever their names, are not read.
+Texts are processed whole.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-KEY = "tidemark-pseudonyms"
+MIN_KEY = 16            # bytes
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERNS = {         # in order of precedence at one place
@@ -298,9 +299,12 @@ def _count_of(name: str) -> Column:
     return F.size(F.filter("kinds", lambda k: k == name)).cast("long")
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, id_col: str = "doc_id",
+def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """doc_id, the text with pseudonyms, n_found, and per kind its count."""
+    """doc_id, the text with pseudonyms, n_found, and per kind its count. Whoever has
+    ``key`` can undo the permutations: keep it secret, and long."""
+    if len(key.encode()) < MIN_KEY:
+        raise ValueError(f"the key must have {MIN_KEY} bytes or more")
     found = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .withColumn("swaps", F.when(F.col("text").rlike("[0-9@]") & F.col("text").rlike(ANY),

@@ -22,6 +22,8 @@ from .shard import write_shards, written_shards
 from .url_filter import judge_urls
 
 TOKENIZER = "piece_bpe_32k.model"
+# a key for tests over made-up data; a real one is a secret of the caller's
+PSEUDONYM_KEY = "test key, known to all"
 
 # (verdict, host, path)
 URL_RULES = (
@@ -68,15 +70,15 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(table(spark, sf_dir, "documents"))
+    return pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shards are written; the rows are what the written shards hold."""
     ensure_checkpoint_root(spark)
-    path = scratch_folder(spark, "shards")
-    write_shards(table(spark, sf_dir, "documents"), path)
-    return written_shards(spark, path)
+    path, docs = scratch_folder(spark, "shards"), table(spark, sf_dir, "documents")
+    write_shards(docs, path)
+    return written_shards(spark, path, docs.schema)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

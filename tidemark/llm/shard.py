@@ -13,11 +13,16 @@ records; buckets follow one another inside their shard. ``write_shards`` moves
 the whole rows this way and writes the shards; ``external_shuffle`` only assigns
 shard and slot.
 
-Defined results: NULL text has no bytes (size 16); a NULL id is placed by its
-text's checksum; repeated rows share a shard (same key) and get different
-slots; a text longer than ``bucket_bytes`` makes its own bucket that large.
-The row hash needs a stable scan order, so the small columns are written once
-to the checkpoint folder. An empty table gives no rows.
+Each bucket is a partition of its own (``repartitionById``), so no task holds two
+and their size is what a task needs.
+
+Defined results: NULL text has no bytes (size 16); all NULL ids are one key, whose
+rows share a shard and spread over its buckets; repeated rows share a shard (same
+key) and get different slots; a text longer than ``bucket_bytes`` makes its own
+bucket that large. An empty table gives no rows. Written rows stand in one struct
+column, so their own columns may have any name. The row hash needs a stable scan
+order: what isn't a scan or a checkpoint is checkpointed first, and the small
+columns are written once to the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -26,9 +31,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from .common import checkpointed, row_number, shuffle_partitions, text_or_empty
+from .common import checkpointed, row_number, stable_rows, text_or_empty
 
 OVERHEAD = 16          # bytes a record takes besides its text
 BUCKET_BYTES = 64 << 20
@@ -62,28 +68,29 @@ def external_shuffle(docs: DataFrame, n_shards: int = 40, seed: int = 20240601,
                      text_col: str = "text") -> DataFrame:
     """Shard and slot of every row: doc_id, size, text_crc32, law, shard,
     slot, grown_shard (the shard if there were one more), bucket, rid."""
-    rows = checkpointed(records(docs, id_col, text_col))
+    rows = checkpointed(records(docs, id_col, text_col))        # numbered once, then stored
     return (shuffle_records(rows, rows, n_shards, seed, bucket_bytes)
             .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
                     "grown_shard", "bucket", "rid"))
 
 
 def _key() -> Column:
-    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.col("text_crc32")))
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
 
 
 def _scatter(rows: DataFrame, n_shards: int, seed: int, per_shard: list[int]) -> DataFrame:
     """Pass 1: ``rows`` (doc_id, text_crc32, rid and any others) with their
-    shard, grown_shard and bucket."""
-    n_buckets = F.element_at(F.array(*[F.lit(n).cast("long") for n in per_shard]),
-                             F.col("shard") + 1)
+    shard, grown_shard and bucket (numbered through all shards)."""
+    first = [sum(per_shard[:s]) for s in range(n_shards)]
+    of_shard = lambda xs: F.element_at(F.array(*[F.lit(x).cast("long") for x in xs]), F.col("shard") + 1)
     return (rows.withColumn("key", _key())
             .withColumn("shard", rendezvous_shard(F.col("key"), n_shards, seed).cast("int"))
             .withColumn("grown_shard",
                         F.when(_score(F.col("key"), n_shards, seed)
                                > _score(F.col("key"), F.col("shard"), seed), F.lit(n_shards))
                         .otherwise(F.col("shard")).cast("int"))
-            .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "rid"), n_buckets))
+            .withColumn("bucket", (of_shard(first) + F.pmod(F.xxhash64(F.lit(seed + 1), "rid"),
+                                                            of_shard(per_shard))).cast("int"))
             .drop("key"))
 
 
@@ -97,7 +104,7 @@ def shuffle_records(small: DataFrame, rows: DataFrame, n_shards: int, seed: int,
     per_shard = [1] * n_shards
     for r in sizes:
         per_shard[r["shard"]] = math.ceil(r["bytes"] / bucket_bytes)
-    n_parts = max(shuffle_partitions(small.sparkSession), min(sum(per_shard), 1 << 16))
+    n_buckets = sum(per_shard)
 
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -105,15 +112,15 @@ def shuffle_records(small: DataFrame, rows: DataFrame, n_shards: int, seed: int,
     places = (_scatter(small, n_shards, seed, per_shard)
               .groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
               .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-              .repartition(n_parts, "shard", "bucket").sortWithinPartitions("shard", "bucket")
-              .select("shard", "bucket", "start",
+              .repartitionById(n_buckets, F.col("bucket")).sortWithinPartitions("bucket")
+              .select("bucket", "start",
                       F.shuffle(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")),
                                 seed + 3).alias("places")))
-    within = Window.partitionBy("shard", "bucket").orderBy("h", "rid")
+    within = Window.partitionBy("bucket").orderBy("h", "rid")
     return (_scatter(rows, n_shards, seed, per_shard).withColumn("h", F.xxhash64(F.lit(seed + 2), "rid"))
-            .repartition(n_parts, "shard", "bucket")
+            .repartitionById(n_buckets, F.col("bucket"))
             .withColumn("at", F.row_number().over(within))
-            .join(places, ["shard", "bucket"])
+            .join(places.hint("merge"), "bucket")
             .withColumn("slot", (F.col("start") + F.element_at("places", F.col("at"))).cast("long"))
             .drop("h", "at", "start", "places"))
 
@@ -121,27 +128,31 @@ def shuffle_records(small: DataFrame, rows: DataFrame, n_shards: int, seed: int,
 def write_shards(docs: DataFrame, path: str, n_shards: int = 40, seed: int = 20240601,
                  bucket_bytes: int = BUCKET_BYTES, id_col: str = "doc_id",
                  text_col: str = "text") -> None:
-    """Write whole rows as one folder per shard, sorted by slot (columns
-    ``_shard``, ``_slot`` and ``_grown_shard``). ``docs`` is a table scan or a
-    checkpoint: it is read once for the small columns, which are stored, and
-    once for the rows, which are shuffled once."""
+    """Write whole rows (struct ``row``) as one folder per ``shard``, sorted by
+    ``slot``, with ``grown_shard``. ``docs`` is read once for the small columns,
+    which are stored, and once for the rows, which are shuffled once."""
+    docs = stable_rows(docs)
     rid = row_number(docs)
     small = checkpointed(records(docs, id_col, text_col, rid))
     rows = docs.select(F.struct("*").alias("row"), rid.alias("rid"))
     rows = records(rows, f"row.{id_col}", f"row.{text_col}", F.col("rid"), "row")
     (shuffle_records(small, rows, n_shards, seed, bucket_bytes)
-     .sortWithinPartitions("shard", "slot")
-     .select("row.*", F.col("shard").alias("_shard"), F.col("slot").alias("_slot"),
-             F.col("grown_shard").alias("_grown_shard"))
-     .write.partitionBy("_shard").parquet(path))
+     .sortWithinPartitions("shard", "slot").select("row", "shard", "slot", "grown_shard")
+     .write.partitionBy("shard").parquet(path))
 
 
-def written_shards(spark: SparkSession, path: str, id_col: str = "doc_id",
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """row, shard, slot and grown_shard of what ``write_shards`` wrote from rows
+    of ``schema``."""
+    whole = StructType([StructField("row", schema), StructField("slot", LongType()),
+                        StructField("grown_shard", IntegerType()), StructField("shard", IntegerType())])
+    return spark.read.schema(whole).parquet(path)
+
+
+def written_shards(spark: SparkSession, path: str, schema: StructType, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row that
     ``write_shards`` wrote, from the written texts."""
-    back = spark.read.parquet(path)
-    return (records(back, id_col, text_col, F.lit(0), "_shard", "_slot", "_grown_shard")
-            .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"),
-                    F.col("_shard").cast("int").alias("shard"), F.col("_slot").alias("slot"),
-                    F.col("_grown_shard").alias("grown_shard")))
+    back = read_shards(spark, path, schema)
+    return (records(back, f"row.{id_col}", f"row.{text_col}", F.lit(0), "shard", "slot", "grown_shard")
+            .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"))
