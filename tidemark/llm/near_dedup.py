@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, row_number, text_or_empty
+from .common import checkpointed, row_number, text_or_empty, stable_rows
 from .components import connected_components
 
 SHINGLE = 5
@@ -283,6 +283,7 @@ def _class_components(members: DataFrame, sets: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row: rid, doc_id, n_shingles, component_id, and keep_rid, the
     number of the one row of its component that stays."""
+    docs = stable_rows(docs)
     text = text_or_empty(F.col(text_col))
     signatures = F.pandas_udf(_signatures, "n_shingles long, set_key binary, bands array<long>")
     numbered = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
@@ -325,6 +326,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component, the one with its smallest id."""
+    docs = stable_rows(docs)
     gone = (near_groups(docs, id_col, text_col).filter("rid <> keep_rid").select("rid"))
     return (docs.select(F.struct("*").alias("row"), row_number(docs).alias("rid"))
             .join(gone, "rid", "left_anti").select("row.*"))
