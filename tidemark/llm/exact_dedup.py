@@ -8,9 +8,9 @@ Two texts are equal when they are identical after lower-casing A-Z.
 2. The blocks of a bucket meet in one task and merge losslessly: remainders
    are kept sorted, so a merge is one ordered pass that adds counts. A text
    that holds a third of all rows is one entry per partition by then.
-3. Only fingerprints with a count above one go on to verification, where the
-   normalised bytes (SHA-256 and byte length) decide which rows are equal.
-   Fingerprints that merely collide fall apart again here.
+3. Only fingerprints with a count above one go on to verification: SHA-256 of the
+   normalised bytes and their number decide which rows are equal (the bytes
+   themselves aren't moved). Fingerprints that merely collide fall apart here.
 
 Defined results: NULL text counts as empty, so all NULL and empty texts are
 one group. Of equal texts the row with the largest id stays; a NULL id loses
@@ -88,18 +88,28 @@ def merge_filters(filters: list[CountingQuotientFilter]) -> CountingQuotientFilt
     return CountingQuotientFilter.of(filters[0].bits, keys, counts)
 
 
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of all runs, ascending, and the sums of their counts."""
+    k, c = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(k, kind="stable")
+    k, c = k[order], c[order]
+    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.empty(0, np.int64)
+    return k[first], np.add.reduceat(c, first) if len(k) else c
+
+
 def _partition_filters(bucket_bits: int):
     bits = 64 - bucket_bits
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        runs: list[tuple[np.ndarray, np.ndarray]] = []       # each more than twice the next
         for batch in batches:
             new = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            new, n = np.unique(new, return_counts=True)
-            both, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            total = np.zeros(len(both), np.int64)
-            np.add.at(total, where, np.concatenate([counts, n]))
-            keys, counts = both, total
+            runs.append(np.unique(new, return_counts=True))
+            while len(runs) > 1 and len(runs[-2][0]) <= 2 * len(runs[-1][0]):
+                runs[-2:] = [_summed(*zip(*runs[-2:], strict=True))]
+        if not runs:
+            return
+        keys, counts = _summed(*zip(*runs, strict=True))
         if not len(keys):
             return
         bucket = (keys >> np.uint64(bits)).astype(np.int64)

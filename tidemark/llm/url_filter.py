@@ -44,7 +44,7 @@ def path_of(url: Column) -> Column:
 class UrlTrie:
     """Nested dicts. A host node maps labels to nodes and, under ``None``,
     holds its path trie; a path node maps segments to nodes and, under
-    ``None``, the prefixes of a segment that end a rule."""
+    ``None``, the prefixes of a segment that end a rule, by their length."""
 
     def __init__(self, rules: Iterable[Rule]):
         self.root: dict = {}
@@ -62,7 +62,7 @@ class UrlTrie:
             node = node.setdefault(None, {})
             for segment in whole:
                 node = node.setdefault(segment, {})
-            ends = node.setdefault(None, {})
+            ends = node.setdefault(None, {}).setdefault(len(last), {})
             if ends.setdefault(last, (verdict, host + path)) != (verdict, host + path):
                 raise ValueError(f"two verdicts for {host + path}")
 
@@ -84,9 +84,10 @@ class UrlTrie:
     def _longest_path(node: dict, segments: list[str]) -> tuple[str, str] | None:
         best = None
         for segment in segments:
-            if ends := node.get(None):
-                fits = (segment[:k] for k in range(len(segment), -1, -1) if segment[:k] in ends)
-                best = ends.get(next(fits, None), best)
+            for length, ends in sorted(node.get(None, {}).items(), reverse=True):
+                if length <= len(segment) and (found := ends.get(segment[:length])):
+                    best = found
+                    break
             node = node.get(segment)
             if node is None:
                 break
