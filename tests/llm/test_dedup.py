@@ -160,6 +160,35 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
     assert got == {n: 0 if n < 100 else 100 if n < 200 else 200 for e in edges for n in e}
 
 
+def test_components_of_a_path_that_falls_and_rises(spark, monkeypatch):
+    """Ids fall to the middle of a path and rise again; rounds stay logarithmic."""
+    from tidemark.llm import components
+    rounds = []
+    real = components.checkpointed
+    monkeypatch.setattr(components, "checkpointed", lambda df: rounds.append(1) or real(df))
+    n = 1600
+    path = [*range(n - 1, -1, -2), *range(1 - n % 2, n, 2)]
+    path = list(dict.fromkeys(path))
+    got = connected_components(spark.createDataFrame(list(zip(path, path[1:])), "a long, b long")).collect()
+    assert len(got) == len(path) and {r.component for r in got} == {min(path)}
+    assert (len(rounds) - 2) // 3 <= 20
+
+
+def test_millions_of_fingerprints_in_one_partition():
+    import time
+
+    import pyarrow as pa
+    from tidemark.llm.exact_dedup import _partition_filters
+    rng = np.random.default_rng(0)
+    batches = [pa.RecordBatch.from_arrays([pa.array(rng.integers(-2**63, 2**63 - 1, 10_000))], ["fp"])
+               for _ in range(200)]
+    began = time.process_time()
+    out = list(_partition_filters(4)(iter(batches + batches[:1])))
+    blocks = out[0].column(1).to_pylist()
+    assert sum(int(CountingQuotientFilter.from_bytes(b).counts.sum()) for b in blocks) == 2_010_000
+    assert time.process_time() - began < 8
+
+
 # ------------------------------------------------------------------ lines
 
 def brute_lines(rows):

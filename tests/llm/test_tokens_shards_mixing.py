@@ -7,12 +7,13 @@ import re
 import zlib
 
 import sentencepiece
+from pyspark.sql import functions as F
 
 from tidemark.llm.mixing import mix, mix_to_weights, van_der_corput
 from tidemark.llm.queries import tokenizer_path
 from tidemark.llm.sentencepiece_codec import (PrefixTableCodec, decode_ids, encode_texts,
                                               load_vocabulary, token_digests)
-from tidemark.llm.shard import external_shuffle, write_shards
+from tidemark.llm.shard import external_shuffle, read_shards, write_shards
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -97,31 +98,55 @@ def test_shuffle_is_random_and_repeats(spark):
 
 def test_write_shards(spark, docs_of, tmp_root):
     rows = [(i, f"text {i}") for i in range(200)] + [(1, "text 1")]
-    write_shards(docs_of(rows), f"{tmp_root}/shards", n_shards=5, bucket_bytes=1000)
-    back = spark.read.parquet(f"{tmp_root}/shards").collect()
-    assert collections.Counter((r.doc_id, r.text) for r in back) == collections.Counter(rows)
+    names = ["shard", "_shard", "slot", "grown_shard", "bucket", "rid", "h", "at", "places", "key", "row", "size"]
+    docs = docs_of(rows).withColumns({c: F.lit(-1) for c in names})
+    write_shards(docs.orderBy(F.rand(1)), f"{tmp_root}/shards", n_shards=5, bucket_bytes=1000)
+    back = read_shards(spark, f"{tmp_root}/shards", docs.schema).collect()
+    assert collections.Counter((r.row.doc_id, r.row.text) for r in back) == collections.Counter(rows)
+    assert all(r.row[c] == -1 for r in back for c in names)
     by = collections.defaultdict(list)
     for r in back:
-        by[r["_shard"]].append(r["_slot"])
+        by[r.shard].append(r.slot)
     assert all(sorted(x) == list(range(len(x))) for x in by.values())
 
 
+def test_a_task_holds_one_bucket(docs_of):
+    """Every bucket is a partition of its own, also with a hot key and no ids."""
+    for n in (600, 2400):
+        rows = [(None, "x" * 84)] * (n // 3) + [(i, "x" * 84) for i in range(n - n // 3)]
+        got = external_shuffle(docs_of(rows), bucket_bytes=5000).withColumn("task", F.spark_partition_id()).collect()
+        size, buckets = collections.Counter(), collections.defaultdict(set)
+        for r in got:
+            size[r.task] += r.size
+            buckets[r.task].add(r.bucket)
+        assert max(map(len, buckets.values())) == 1 and max(size.values()) < 2 * 5000
+        assert len({r.shard for r in got if r.doc_id is None}) == 1
+
+
 def test_the_query_writes_the_shards(spark, monkeypatch, tmp_root):
     """op8 writes whole rows, and says of them what the assignment says."""
     from tidemark.llm import queries
     monkeypatch.setattr(queries, "scratch_folder", lambda s, name: f"{tmp_root}/{name}", raising=False)
     got = queries.op8_sharding(spark, SF01).collect()
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
-    back = spark.read.parquet(f"{tmp_root}/shards")
-    assert back.select(docs.columns).exceptAll(docs).isEmpty() and back.count() == len(got) == 1000
-    texts = {r["_shard"]: set() for r in back.collect()}
+    back = read_shards(spark, f"{tmp_root}/shards", docs.schema)
+    assert back.select("row.*").exceptAll(docs).isEmpty() and back.count() == len(got) == 1000
+    texts = collections.defaultdict(set)
     for r in back.collect():
-        texts[r["_shard"]].add((r["_slot"], r.doc_id, zlib.crc32((r.text or "").encode())))
+        texts[r.shard].add((r.slot, r.row.doc_id, zlib.crc32((r.row.text or "").encode())))
     assert all((r.slot, r.doc_id, r.text_crc32) in texts[r.shard] for r in got)
     want = external_shuffle(docs).drop("bucket", "rid").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
 
 
+def test_the_query_over_an_empty_table(spark, tmp_root):
+    from tidemark.llm import queries
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_root}/documents.parquet")
+    out = queries.op8_sharding(spark, tmp_root)
+    assert out.collect() == [] and out.columns == queries.op8_sharding(spark, SF01).columns
+
+
 # ---------------------------------------------------------------- mixing
 
 def brute_targets(rows):
