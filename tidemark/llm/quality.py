@@ -19,7 +19,8 @@ both classes is estimated so, and its vote then moves the posterior little.
 
 Defined results: NULL or empty text has no words, fails the base rule and is
 rejected; repeated rows and ties get equal verdicts; an empty table gives no
-rows (the estimates are then the priors). Texts are processed whole. Words are
+rows (the estimates are then the priors); other columns, whatever their names,
+are kept as they are. Texts are processed whole. Words are
 runs of anything but ASCII white space.
 """
 

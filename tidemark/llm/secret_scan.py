@@ -25,7 +25,7 @@ procedure needs a table of bounded size only, counted over all tokens.
 
 Positions are code points, the end exclusive. Defined results: NULL counts as
 empty and has no spans; equal rows get equal spans; an empty table gives no
-rows. Texts are scanned whole.
+rows; other columns, whatever their names, are not read. Texts are scanned whole.
 """
 
 from __future__ import annotations
