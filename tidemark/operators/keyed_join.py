@@ -52,13 +52,15 @@ def full_outer_on_key(left: DataFrame, left_name: str, right: DataFrame, right_n
     """``left`` (keyed, packed as ``left_name``) full outer join ``right`` on
     the match key; ``right_struct(df)`` packs a right row as ``right_name``.
     Output columns: the match key, ``left_name``, ``right_name``; an absent
-    side is a NULL struct. ``rows_per_key`` observes the most right rows that one
+    side is a NULL struct. A ``right`` that stores its match key is joined on the
+    stored columns, so a table bucketed on them isn't shuffled. ``rows_per_key`` observes the most right rows that one
     key has (``ROWS_PER_KEY``), in the partitioning that the join needs anyway."""
     mk = match_key_names(len(keys))
     rkeys = [resolve(right, k) for k in keys]
 
     def side(df: DataFrame) -> DataFrame:
-        keyed = with_match_key(df, rkeys, normalize)
+        stored = set(mk) <= set(df.columns)
+        keyed = df if stored else with_match_key(df, rkeys, normalize)
         return keyed.select(*[F.col(m) for m in mk], right_struct(keyed).alias(right_name))
 
     present = side(right.where(all_present(rkeys)))

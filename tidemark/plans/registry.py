@@ -198,14 +198,14 @@ def q_cdc_publish_roundtrip(spark, d):
     return ts_text(spark.table(f"{db}.customer"))
 
 
-def q_cdc_atomic_publish(spark, d):
-    """The same three loads, each shown by one step of the view; returns the view."""
+def _versioned_loads(spark, d, buckets: int | None = None) -> DataFrame:
+    """The same three loads by the versioned job; the view it shows."""
     ensure_checkpoint_root(spark)
     root = scratch_folder(spark, "cdc-versions")
     db = "tidemark_av_" + root.rsplit("-", 1)[-1]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/_catalog'")
     load = lambda prep, as_of, ts: run_cdc_versioned(spark, "customer", CUST_KEY, root, db, as_of=as_of,
-                                                     load_ts=ts, prep=prep)
+                                                     load_ts=ts, prep=prep, buckets=buckets)
     load(X.customer_cur0(spark, d).withColumn(C.FINGERPRINT_COLUMN, X.row_md5("bal", "seg")),
          X.CURRENT_DAY, X.LOAD_TS_CURRENT)
     load(X.customer_prep(spark, d), X.AS_OF, X.LOAD_TS_AS_OF)
@@ -213,6 +213,16 @@ def q_cdc_atomic_publish(spark, d):
     return ts_text(spark.table(f"{db}.customer"))
 
 
+def q_cdc_atomic_publish(spark, d):
+    """Each load is shown by one step of the view."""
+    return _versioned_loads(spark, d)
+
+
+def q_cdc_bucketed_current(spark, d):
+    """Each load's join reads the open rows in place, bucketed on the match key."""
+    return _versioned_loads(spark, d, buckets=8)
+
+
 # ------------------------------------------------------ SCD, customer pair
 
 def _empty_like(spark, df: DataFrame) -> DataFrame:

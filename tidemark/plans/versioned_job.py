@@ -16,51 +16,119 @@ columns included. A query already planned goes on reading the previous open
 partition, which stays until ``keep`` newer versions exist; it is the backup as
 well, and ``rollback`` points the view at it again.
 
+With ``buckets`` the open rows of a run are a catalog table of their own,
+``<table>__open_<number>``, bucketed on the stored match key into as many parts as
+the next load's join has, one file each. That join reads them in place: only the
+extract is shuffled. The view then takes its open rows from that table. Loads with
+and without buckets, or with another number of them, may follow each other.
+
 Lease and record are those of ``plans.run_log``. A run that stopped after its rows
 were verified is completed by the next: both remaining steps can be done again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.keys import as_list, quote
+from ..functions.keys import MATCH_KEYS, as_list, match_key_names, quote, with_match_key
+from ..functions.sqltext import string_lit
 from ..operators import keyed_join
 from ..operators import snapshot_diff as sd
-from ..sources.files import delete_folder, partition_dir, path_exists, read_current
+from ..sources.files import delete_folder, partition_dir, partition_filter, path_exists, read_current
 from . import run_log
 from .cdc_job import (CHANGES, LostPartition, closed_date, read_extract, report_shared_keys,
                       resolve_stamps)
 from .publish import TablePaths, verify_staged, write_observed
 
 RUN = "run"
+MATCH_KEY = "tidemark.match_key"
 
 
 def base_name(database: str, table: str) -> str:
     return f"{database}.{table}__versions"
 
 
+def open_name(database: str, table: str, number: int | str) -> str:
+    return f"{database}.{table}__open_{number}"
+
+
 def _folder(paths: TablePaths, number: int) -> str:
     return f"{paths.versions}/{RUN}={number}"
 
 
-def _open_rows(spark: SparkSession, paths: TablePaths, number: int) -> DataFrame | None:
-    rows = read_current(spark, _folder(paths, number))
+def match_key_property(keys: Sequence[str], normalize: bool) -> str:
+    """How a stored match key was made; kept in the table's ``MATCH_KEY`` property."""
+    return json.dumps([[k.lower() for k in keys], normalize])
+
+
+def version_rows(spark: SparkSession, paths: TablePaths, database: str, number: int,
+                 match_key: str | None = None) -> DataFrame | None:
+    """The open rows of a version, with the match key they are bucketed on if it was
+    made as ``match_key`` says; None if they are gone."""
+    name = open_name(database, paths.table, number)
+    if not spark.catalog.tableExists(name):
+        rows = read_current(spark, _folder(paths, number))
+    elif path_exists(spark, partition_dir(_folder(paths, number), C.OPEN_END)):
+        rows = spark.table(name).where(partition_filter(C.OPEN_END))
+        made = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect() if r["key"] == MATCH_KEY]
+        if made != [match_key]:
+            rows = rows.drop(*MATCH_KEYS)
+    else:
+        rows = None
     return None if rows is None else rows.drop(sd.CHANGE)
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """Plan shuffles with ``number`` partitions (None: as they are), so that they
+    meet a table of as many buckets; the session's own settings come back after."""
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    before = {c: spark.conf.get(c, None) for c in names} if number else {}
+    try:
+        for c in before:
+            spark.conf.set(c, str(number))
+        yield
+    finally:
+        for c, value in before.items():
+            if value is None:
+                spark.conf.unset(c)
+            else:
+                spark.conf.set(c, value)
+
+
+def _write_bucketed(rows: DataFrame, name: str, path: str, keys: Sequence[str], normalize: bool,
+                    buckets: int) -> dict[str, int]:
+    """Write a version as a catalog table bucketed on its match key. The join's
+    partitions are its buckets, so a task writes one file to each ``end_dt``."""
+    spark, mk, rows = rows.sparkSession, match_key_names(len(keys)), with_match_key(rows, keys, normalize)
+    obs = Observation("version")
+    metrics = [F.count_if(F.col(sd.CHANGE) == F.lit(c)).alias(c) for c in CHANGES]
+    (rows.observe(obs, *metrics, F.count(F.lit(1)).alias("_total"))
+     .write.format("parquet").mode("overwrite").option("partitionOverwriteMode", "static")
+     .option("path", path).partitionBy(C.PARTITION_COLUMN).bucketBy(buckets, *mk).sortBy(*mk)
+     .saveAsTable(name))
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES "
+              f"({string_lit(MATCH_KEY)} = {string_lit(match_key_property(keys, normalize))})")
+    return {k: int(v) for k, v in obs.get.items()}
+
+
 def run_cdc_versioned(spark: SparkSession, table: str, keys: str | Iterable[str], root: str,
                       database: str, *, as_of=None, load_ts=None, order_by=None,
                       compare: Iterable[str] | None = None,
                       fingerprint: str | None = C.FINGERPRINT_COLUMN, normalize: bool = True,
                       prep: DataFrame | None = None, evolve: bool = False, keep: int = 2,
-                      rows_per_file: int = 5_000_000, lease_ttl: float = run_log.TTL) -> dict:
+                      rows_per_file: int = 5_000_000, buckets: int | None = None,
+                      lease_ttl: float = run_log.TTL) -> dict:
     """Run one CDC load of ``table`` and show it through the view
-    ``<database>.<table>``; parameters and counts as ``run_cdc``."""
+    ``<database>.<table>``; parameters and counts as ``run_cdc``. ``buckets``: keep
+    the open rows in that many buckets of their match key (about their size divided
+    by that of a shuffle partition); the load's shuffles get as many partitions."""
     keys, paths, run_id = as_list(keys), TablePaths(root, table), run_log.new_run_id()
     result: dict = {"table": table}
     with run_log.Lease(spark, paths.runs, run_id, lease_ttl) as lease:
@@ -80,7 +148,8 @@ def run_cdc_versioned(spark: SparkSession, table: str, keys: str | Iterable[str]
 
         shown, number, kept = _versions(last)
         snap = sd.prepare_snapshot(valid, keys, order_by=order_by, normalize=normalize)
-        current = _open_rows(spark, paths, shown) if shown else None
+        current = (version_rows(spark, paths, database, shown, match_key_property(keys, normalize))
+                   if shown else None)
         if shown and current is None:
             raise LostPartition(f"version {shown} of {paths.versions} has no open partition")
         per_key = None
@@ -93,8 +162,12 @@ def run_cdc_versioned(spark: SparkSession, table: str, keys: str | Iterable[str]
                                  fingerprint=fingerprint, normalize=normalize, tag=True, rows_per_key=per_key)
             result["status"] = "incremental"
         stage = _folder(paths, number)
-        seen = write_observed(rows, stage, sd.CHANGE, CHANGES, partition_by=[C.PARTITION_COLUMN],
-                              name=f"{table}_version")
+        if buckets:
+            with shuffle_partitions(spark, buckets):
+                seen = _write_bucketed(rows, open_name(database, table, number), stage, keys, normalize, buckets)
+        else:
+            seen = write_observed(rows, stage, sd.CHANGE, CHANGES, partition_by=[C.PARTITION_COLUMN],
+                                  name=f"{table}_version")
         if per_key is not None and (per_key.get[keyed_join.ROWS_PER_KEY] or 0) > 1:
             report_shared_keys(current, keys, normalize)
         open_rows = sum(seen[c] for c in (C.INSERTED, C.UPDATED, C.UNCHANGED))
@@ -137,11 +210,12 @@ def _show(spark: SparkSession, paths: TablePaths, database: str, run: dict, leas
     if run["closed"]:
         compact = f"{run['stage']}-closed"          # few rows, but one file from every task of the diff
         files = max(1, -(-run["closed"] // run["rows_per_file"]))
-        spark.read.parquet(closed).drop(sd.CHANGE).repartition(files).write.mode("overwrite").parquet(compact)
+        spark.read.parquet(closed).drop(sd.CHANGE, *MATCH_KEYS).repartition(files).write.mode("overwrite").parquet(compact)
     _base_table(spark, base, paths, run)
     for lost in range(run["before"] + 1, number):   # versions rolled back
         _drop_partitions(spark, base, f"{RUN} = {lost}")
-    _add_partition(spark, base, number, C.OPEN_END.isoformat())
+    if not spark.catalog.tableExists(open_name(database, paths.table, number)):
+        _add_partition(spark, base, number, C.OPEN_END.isoformat())
     if run["closed"]:
         _add_partition(spark, base, number, run["closed_day"], compact)
     spark.catalog.refreshTable(base)
@@ -153,6 +227,16 @@ def _show(spark: SparkSession, paths: TablePaths, database: str, run: dict, leas
         if old < number and old not in run["kept"]:       # its closed rows stay
             _drop_partitions(spark, base, f"{RUN} = {old}, {C.PARTITION_COLUMN} = DATE'{C.OPEN_END.isoformat()}'")
             delete_folder(spark, _folder(paths, old))
+    for old in _bucketed_versions(spark, database, paths.table):
+        if old < number and old not in run["kept"]:
+            spark.sql(f"DROP TABLE IF EXISTS {open_name(database, paths.table, old)}")
+            delete_folder(spark, _folder(paths, old))
+
+
+def _bucketed_versions(spark: SparkSession, database: str, table: str) -> list[int]:
+    prefix = open_name(database, table, "").split(".", 1)[1].lower()
+    names = [r["tableName"].lower() for r in spark.sql(f"SHOW TABLES IN {database} LIKE '{prefix}*'").collect()]
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.removeprefix(prefix).isdigit())
 
 
 def _partitions(spark: SparkSession, base: str, spec: str) -> list[dict]:
@@ -192,8 +276,13 @@ def show_version(spark: SparkSession, database: str, table: str, number: int, co
     """Point the view at version ``number``: one statement, one catalog entry."""
     names = ", ".join([quote(c) for c in columns] + [C.PARTITION_COLUMN])
     end = f"DATE'{C.OPEN_END.isoformat()}'"
-    query = (f"SELECT {names} FROM {base_name(database, table)} WHERE {RUN} <= {number} "
-             f"AND ({C.PARTITION_COLUMN} < {end} OR {RUN} = {number})")
+    query = f"SELECT {names} FROM {base_name(database, table)} WHERE {RUN} <= {number} AND "
+    bucketed = open_name(database, table, number)
+    if spark.catalog.tableExists(bucketed):
+        query += (f"{C.PARTITION_COLUMN} < {end} UNION ALL "
+                  f"SELECT {names} FROM {bucketed} WHERE {C.PARTITION_COLUMN} = {end}")
+    else:
+        query += f"({C.PARTITION_COLUMN} < {end} OR {RUN} = {number})"
     view = f"{database}.{table}"
     spark.sql(f"ALTER VIEW {view} AS {query}" if spark.catalog.tableExists(view)
               else f"CREATE VIEW {view} AS {query}")
@@ -208,7 +297,7 @@ def rollback(spark: SparkSession, table: str, root: str, database: str) -> int:
         if last is None or last["state"] != run_log.DONE:
             raise RuntimeError(f"the last run of {table} is not done; run the load again first")
         before = last["before"]
-        if not before or _open_rows(spark, paths, before) is None:
+        if not before or version_rows(spark, paths, database, before) is None:
             raise RuntimeError(f"no version before {last['number']} of {table} is kept")
         lease.check()
         show_version(spark, database, table, before, last["columns"])
