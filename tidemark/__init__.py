@@ -19,6 +19,7 @@ from .operators import (Stamps, classify, close_history, count_check, count_valu
 from .plans.cdc_job import republish, run_cdc
 from .operators.digest_diff import digest_next_state
 from .plans.cow_job import read_cow, run_scd1_cow
+from .plans.manifest_backup import backup_version, damaged_files, restore_version
 from .plans.publish import reconcile
 from .plans.scd_job import run_scd, run_scd_jdbc, run_scd_parquet
 from .plans.versioned_job import rollback, run_cdc_versioned
@@ -33,5 +34,5 @@ __all__ = [
     "prepare_snapshot", "rebuild_current", "row_count", "scd0", "scd1", "scd2",
     "split_rejected", "republish", "run_cdc", "run_scd", "run_scd_jdbc",
     "run_scd_parquet", "digest_next_state", "read_cow", "run_scd1_cow", "reconcile", "rollback",
-    "run_cdc_versioned",
+    "run_cdc_versioned", "backup_version", "damaged_files", "restore_version",
 ]

@@ -35,3 +35,4 @@ BACKUP_DIR = "currbackup"
 REJECT_DIR = "rejected"
 RUNS_DIR = "runs"
 VERSIONS_DIR = "versions"
+BACKUPS_DIR = "backups"

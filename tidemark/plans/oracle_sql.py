@@ -343,5 +343,6 @@ select o_orderkey, o_datetext, cast(try_strptime(o_datetext, '%m-%d-%Y') as date
 # published another way, the same table
 SQL["cdc_atomic_publish"] = SQL["cdc_publish_roundtrip"]
 SQL["cdc_bucketed_current"] = SQL["cdc_publish_roundtrip"]
+SQL["cdc_manifest_restore"] = SQL["cdc_publish_roundtrip"]
 SQL["scd1_copy_on_write"] = SQL["scd1_publish"]
 SQL["cdc_digest_diff"] = SQL["cdc_orders_next_state"]

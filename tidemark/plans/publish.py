@@ -66,6 +66,10 @@ class TablePaths:
     def versions(self) -> str:
         return self._p(C.VERSIONS_DIR)
 
+    @property
+    def backups(self) -> str:
+        return self._p(C.BACKUPS_DIR)
+
     @property
     def rejected(self) -> str:
         return self._p(C.REJECT_DIR)

@@ -26,6 +26,7 @@ from ..session import ensure_checkpoint_root, scratch_folder
 from ..sources import derived as X
 from .cdc_job import run_cdc
 from .cow_job import read_cow, run_scd1_cow
+from .manifest_backup import backup_version, restore_version
 from .scd_job import read_scd2_parquet, run_scd_parquet
 from .versioned_job import run_cdc_versioned
 
@@ -198,8 +199,9 @@ def q_cdc_publish_roundtrip(spark, d):
     return ts_text(spark.table(f"{db}.customer"))
 
 
-def _versioned_loads(spark, d, buckets: int | None = None) -> DataFrame:
-    """The same three loads by the versioned job; the view it shows."""
+def _versioned_loads(spark, d, buckets: int | None = None, undo: bool = False) -> DataFrame:
+    """The same three loads by the versioned job; the view it shows. ``undo``: a wrong
+    extract comes before the last one, and the backup made before it is restored."""
     ensure_checkpoint_root(spark)
     root = scratch_folder(spark, "cdc-versions")
     db = "tidemark_av_" + root.rsplit("-", 1)[-1]
@@ -209,6 +211,10 @@ def _versioned_loads(spark, d, buckets: int | None = None) -> DataFrame:
     load(X.customer_cur0(spark, d).withColumn(C.FINGERPRINT_COLUMN, X.row_md5("bal", "seg")),
          X.CURRENT_DAY, X.LOAD_TS_CURRENT)
     load(X.customer_prep(spark, d), X.AS_OF, X.LOAD_TS_AS_OF)
+    if undo:
+        backup = backup_version(spark, "customer", root, db)
+        load(X.customer_cur0(spark, d).withColumn(C.FINGERPRINT_COLUMN, F.lit("wrong")), X.AS_OF, X.LOAD_TS_RERUN)
+        restore_version(spark, "customer", root, db, backup["version"])
     load(X.customer_prep_rerun(spark, d), X.AS_OF, X.LOAD_TS_RERUN)
     return ts_text(spark.table(f"{db}.customer"))
 
@@ -223,6 +229,11 @@ def q_cdc_bucketed_current(spark, d):
     return _versioned_loads(spark, d, buckets=8)
 
 
+def q_cdc_manifest_restore(spark, d):
+    """A wrong load undone from a backup that lists files instead of copying them."""
+    return _versioned_loads(spark, d, undo=True)
+
+
 # ------------------------------------------------------ SCD, customer pair
 
 def _empty_like(spark, df: DataFrame) -> DataFrame:

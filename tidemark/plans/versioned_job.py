@@ -40,7 +40,8 @@ from ..functions.keys import MATCH_KEYS, as_list, match_key_names, quote, with_m
 from ..functions.sqltext import string_lit
 from ..operators import keyed_join
 from ..operators import snapshot_diff as sd
-from ..sources.files import delete_folder, partition_dir, partition_filter, path_exists, read_current
+from ..sources.files import (delete_folder, list_names, partition_dir, partition_filter, path_exists,
+                             read_current)
 from . import run_log
 from .cdc_job import (CHANGES, LostPartition, closed_date, read_extract, report_shared_keys,
                       resolve_stamps)
@@ -222,15 +223,36 @@ def _show(spark: SparkSession, paths: TablePaths, database: str, run: dict, leas
     lease.check()
     show_version(spark, database, paths.table, number, run["columns"])
     run_log.write_state(spark, paths.runs, run["run_id"], run_log.DONE, facts)
-    for row in _partitions(spark, base, f"{C.PARTITION_COLUMN} = DATE'{C.OPEN_END.isoformat()}'"):
-        old = int(row[RUN])
-        if old < number and old not in run["kept"]:       # its closed rows stay
-            _drop_partitions(spark, base, f"{RUN} = {old}, {C.PARTITION_COLUMN} = DATE'{C.OPEN_END.isoformat()}'")
-            delete_folder(spark, _folder(paths, old))
-    for old in _bucketed_versions(spark, database, paths.table):
-        if old < number and old not in run["kept"]:
+    drop_versions(spark, paths, database, run)
+
+
+def is_registered(spark: SparkSession, database: str, table: str, number: int) -> bool:
+    """Whether the catalog has the open rows of a version."""
+    spec = f"{RUN} = {number}, {C.PARTITION_COLUMN} = DATE'{C.OPEN_END.isoformat()}'"
+    return (spark.catalog.tableExists(open_name(database, table, number))
+            or bool(partitions(spark, base_name(database, table), spec)))
+
+
+def pinned(spark: SparkSession, paths: TablePaths) -> list[int]:
+    """Versions that have a backup (``plans.manifest_backup``), ascending."""
+    return sorted(int(n.removesuffix(".json")) for n in list_names(spark, paths.backups) if n.endswith(".json"))
+
+
+def drop_versions(spark: SparkSession, paths: TablePaths, database: str, run: dict) -> None:
+    """Drop the open rows of versions before the shown one that are neither kept
+    nor have a backup; their closed rows stay."""
+    base, number, end = base_name(database, paths.table), run["number"], C.OPEN_END.isoformat()
+    stay = {*run["kept"], *pinned(spark, paths), number}
+    plain = [int(p[RUN]) for p in partitions(spark, base) if p[C.PARTITION_COLUMN] == end]
+    bucketed = _bucketed_versions(spark, database, paths.table)
+    for old in {*plain, *bucketed} - stay:
+        if old > number:
+            continue
+        if old in bucketed:
             spark.sql(f"DROP TABLE IF EXISTS {open_name(database, paths.table, old)}")
-            delete_folder(spark, _folder(paths, old))
+        else:
+            _drop_partitions(spark, base, f"{RUN} = {old}, {C.PARTITION_COLUMN} = DATE'{end}'")
+        delete_folder(spark, _folder(paths, old))
 
 
 def _bucketed_versions(spark: SparkSession, database: str, table: str) -> list[int]:
@@ -239,15 +261,18 @@ def _bucketed_versions(spark: SparkSession, database: str, table: str) -> list[i
     return sorted(int(n.removeprefix(prefix)) for n in names if n.removeprefix(prefix).isdigit())
 
 
-def _partitions(spark: SparkSession, base: str, spec: str) -> list[dict]:
+def partitions(spark: SparkSession, base: str, spec: str = "") -> list[dict]:
+    """The partitions of the base table (those that ``spec`` names), as the catalog
+    has them: a few for each run."""
+    where = f" PARTITION ({spec})" if spec else ""
     return [dict(p.split("=", 1) for p in r[0].split("/"))
-            for r in spark.sql(f"SHOW PARTITIONS {base} PARTITION ({spec})").collect()]
+            for r in spark.sql(f"SHOW PARTITIONS {base}{where}").collect()]
 
 
 def _drop_partitions(spark: SparkSession, base: str, spec: str) -> None:
     """Drop every partition that ``spec`` (of one or both columns) names."""
     specs = [f"PARTITION ({RUN} = {p[RUN]}, {C.PARTITION_COLUMN} = DATE'{p[C.PARTITION_COLUMN]}')"
-             for p in _partitions(spark, base, spec)]
+             for p in partitions(spark, base, spec)]
     if specs:
         spark.sql(f"ALTER TABLE {base} DROP IF EXISTS {', '.join(specs)}")
 
